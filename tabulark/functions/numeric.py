@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -26,18 +27,34 @@ def total(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body or its lambdas use it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def array_sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+
+
 def softmax(scores: Column) -> Column:
     """Softmax over an array of scores, shifted by the row maximum."""
-    raised = F.transform(scores, lambda s: F.exp(s - F.array_max(scores)))
-    return F.transform(
-        raised, lambda e: e / F.aggregate(raised, F.lit(0.0), lambda acc, v: acc + v)
+    return let(
+        scores,
+        lambda s: let(
+            F.array_max(s),
+            lambda top: let(
+                F.transform(s, lambda x: F.exp(x - top)),
+                lambda raised: let(
+                    array_sum(raised), lambda whole: F.transform(raised, lambda e: e / whole)
+                ),
+            ),
+        ),
     )
 
 
 def distance(a: Column, b: Column) -> Column:
     """Euclidean distance between two arrays of equal length."""
-    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, v: acc + v))
+    return F.sqrt(array_sum(F.zip_with(a, b, lambda x, y: (x - y) * (x - y))))
 
 
 def double_matrix(rows: list[list[float]]) -> Column:

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulark.functions.numeric import distance, double_matrix, softmax
+from tabulark.functions.numeric import array_sum, distance, double_matrix, let, softmax
 from tabulark.operators.joins import bounded_rows
 
 MOST_CLASSES = 1_000
@@ -35,8 +35,10 @@ def centroids(df: DataFrame, label: str, vector: str, most: int = MOST_CLASSES)
 
 def center_distances(vector: Column, centers: dict) -> Column:
     """Array of distances from a row's vector to every center, in class order."""
-    doubles = vector.cast("array<double>")
-    return F.transform(double_matrix(list(centers.values())), lambda c: distance(doubles, c))
+    return let(
+        vector.cast("array<double>"),
+        lambda v: F.transform(double_matrix(list(centers.values())), lambda c: distance(v, c)),
+    )
 
 
 def class_probabilities(vector: Column, centers: dict) -> Column:
@@ -46,8 +48,7 @@ def class_probabilities(vector: Column, centers: dict) -> Column:
 
 def nearest_class(vector: Column, centers: dict) -> Column:
     """Class of the closest center; the first one wins a tie."""
-    far = center_distances(vector, centers)
-    at = F.array_position(far, F.array_min(far))
+    at = let(center_distances(vector, centers), lambda far: F.array_position(far, F.array_min(far)))
     return F.array(*[F.lit(c) for c in centers])[(at - 1).cast("int")]
 
 
@@ -60,9 +61,13 @@ def ranked_classes(probabilities: Column, classes: list, k: int) -> Column:
 
 def true_rank(probabilities: Column, position: Column) -> Column:
     """Place of the class at zero-based ``position`` when classes are ordered by probability."""
-    mine = F.element_at(probabilities, position + 1)
-    ahead = F.filter(probabilities, lambda p, i: (p > mine) | ((p == mine) & (i < position)))
-    return F.size(ahead) + 1
+    return let(
+        F.element_at(probabilities, position + 1),
+        lambda mine: F.size(
+            F.filter(probabilities, lambda p, i: (p > mine) | ((p == mine) & (i < position)))
+        )
+        + 1,
+    )
 
 
 def class_distance_matrix(centers: dict) -> list[list[float]]:
@@ -89,9 +94,7 @@ def class_distance_rows(df: DataFrame, centers: dict) -> DataFrame:
 def expected_distance(probabilities: Column, position: Column, matrix: list[list[float]]) -> Column:
     """Sum over classes of p times the distance from the true class."""
     row = F.element_at(double_matrix(matrix), position + 1)
-    return F.aggregate(
-        F.zip_with(probabilities, row, lambda p, d: p * d), F.lit(0.0), lambda acc, v: acc + v
-    )
+    return array_sum(F.zip_with(probabilities, row, lambda p, d: p * d))
 
 
 def class_position(label: Column, classes: list) -> Column:

@@ -78,7 +78,8 @@ def with_greeks(df: DataFrame) -> DataFrame:
 
 def spot_grid(df: DataFrame, low: int, high: int) -> DataFrame:
     """Every contract at each whole spot from ``low`` to ``high``; grid cells are made in place."""
-    return df.withColumn("spot", F.explode(F.sequence(F.lit(low), F.lit(high))).cast("double"))
+    spots = F.sequence(F.lit(low), F.lit(high)).cast("array<double>")
+    return df.withColumn("spot", F.explode(spots))
 
 
 def bump_sensitivity(df: DataFrame, bump: float) -> DataFrame:

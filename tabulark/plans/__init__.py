@@ -5,6 +5,9 @@ from tabulark.plans import (  # noqa: F401
     lookups,
     modelling,
     preparation,
+    scoring,
+    text_mining,
+    valuation,
 )
 from tabulark.plans.registry import REGISTRY
 

@@ -14,8 +14,7 @@ def file_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Stream over the files of one table; the schema comes from the stored table."""
     path = f"{folder}/{name}.parquet"
     schema = spark.read.parquet(path).schema
-    # A file source watches a folder; the glob keeps the other tables out.
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def drained(stream: DataFrame, label: str) -> DataFrame:
@@ -43,7 +42,9 @@ def window_statistics(
     events: DataFrame, time: str, value: str, length: str, slide: str | None = None, late: str | None = None
 ) -> DataFrame:
     """Count, mean and sample std per event-time window; with ``late`` set, a watermark closes windows."""
-    source = events.withWatermark(time, late) if late else events
+    source = events.withColumn(time, F.col(time).cast("timestamp"))
+    if late:
+        source = source.withWatermark(time, late)
     window = F.window(time, length, slide) if slide else F.window(time, length)
     return (
         source.groupBy(window.alias("w"))
