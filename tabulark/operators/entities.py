@@ -25,12 +25,13 @@ def matches(text: Column, pattern: str) -> Column:
 
 def pattern_entities(docs: DataFrame, keep: list[str], text: str, patterns: dict[str, str]) -> DataFrame:
     """One row per mention; all types are read in a single pass over the text."""
-    found = [
-        F.transform(
-            matches(F.col(text), p), lambda e, t=kind: F.struct(F.lit(t).alias("type"), e.alias("entity"))
+
+    def typed(kind: str, pattern: str) -> Column:
+        return F.transform(
+            matches(F.col(text), pattern), lambda e: F.struct(F.lit(kind).alias("type"), e.alias("entity"))
         )
-        for kind, p in patterns.items()
-    ]
+
+    found = [typed(kind, pattern) for kind, pattern in patterns.items()]
     return docs.select(*keep, F.explode(F.flatten(F.array(*found))).alias("_e")).select(*keep, "_e.*")
 
 
@@ -93,9 +94,8 @@ def entity_spans(sentences: DataFrame, kind: str) -> DataFrame:
 
 
 def _content(words: Column) -> Column:
-    listed = F.array(*[F.lit(w) for w in STOP_WORDS])
     plain = F.transform(words, lambda w: F.lower(F.regexp_replace(w, r"[^\p{L}]", "")))
-    return F.filter(plain, lambda w: (F.length(w) >= 4) & ~F.array_contains(listed, w))
+    return F.filter(plain, lambda w: (F.length(w) >= 4) & ~w.isin(*STOP_WORDS))
 
 
 def participants(spans: DataFrame) -> DataFrame:

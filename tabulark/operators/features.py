@@ -52,15 +52,18 @@ def ratios(cols: list[str], shift: float = RATIO_SHIFT) -> list[Column]:
 
 
 def domain_ratios(mass: str, size: str, load: str, time: str, age: str, cap: float) -> list[Column]:
-    """Body-index, intensity, load-by-time, distance to a cap and share of the cap."""
-    index = F.col(mass) / ((F.col(size) / 100) * (F.col(size) / 100))
+    """Body-index, intensity, load-by-time, distance to a cap and share of the cap.
+
+    A divisor of 0 gives null.
+    """
+    index = F.try_divide(F.col(mass), (F.col(size) / 100) * (F.col(size) / 100))
     room = F.lit(cap) - F.col(age)
     return [
         index.alias("body_index"),
-        (F.col(load) / F.col(time)).alias("intensity"),
+        F.try_divide(load, time).alias("intensity"),
         (F.col(load) * F.col(time)).alias("load_time"),
-        (F.col(load) / F.col(age)).alias("load_by_age"),
+        F.try_divide(load, age).alias("load_by_age"),
         (F.col(age) * index).alias("age_index"),
         room.alias("room"),
-        (F.col(load) / room).alias("load_of_room"),
+        F.try_divide(F.col(load), room).alias("load_of_room"),
     ]

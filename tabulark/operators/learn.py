@@ -25,6 +25,8 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabulark.session import pin
+
 
 def assembled(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="features").transform(df)
@@ -34,7 +36,7 @@ def boosted_folds(
     df: DataFrame, features: list[str], target: str, fold: str, folds: int, rounds: int = 10, depth: int = 4
 ) -> tuple[list[GBTRegressionModel], DataFrame]:
     """One boosted-tree model per fold and the predictions for the rows it did not see."""
-    ready = assembled(df, features).persist()
+    ready = assembled(df, features)
     models, scored = [], []
     for i in range(folds):
         learner = GBTRegressor(labelCol=target, maxIter=rounds, maxDepth=depth, seed=42)
@@ -206,7 +208,8 @@ def reduced_dimensions(
     right factor is vocabulary x dimensions, a bounded model.
     """
     spark = vectors.sparkSession
-    old = MLUtils.convertVectorColumnsFromML(vectors.select("features"), "features")
+    # The solver reads the rows once per step, so they are written out first.
+    old = MLUtils.convertVectorColumnsFromML(pin(vectors.select("features")), "features")
     found = RowMatrix(old).computeSVD(dimensions, computeU=False)
     right = found.V.toArray()
     factor = spark.createDataFrame(

@@ -26,9 +26,11 @@ def with_previous(df: DataFrame, by: list[str], order: list[str], value: str) ->
 
 
 def percent_change(df: DataFrame, by: list[str], order: list[str], price: str) -> DataFrame:
-    """``price / previous - 1``; null on the first row of a series."""
+    """``price / previous - 1``; null on the first row of a series and after a price of 0."""
     moved = with_previous(df, by, order, price)
-    return moved.withColumn("change", F.col(price) / F.col("previous") - 1).drop("previous", CHUNK)
+    return moved.withColumn("change", F.try_divide(F.col(price), F.col("previous")) - 1).drop(
+        "previous", CHUNK
+    )
 
 
 def log_return(df: DataFrame, by: list[str], order: list[str], price: str) -> DataFrame:

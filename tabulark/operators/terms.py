@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tabulark.operators.joins import bounded_rows, lookup
 from tabulark.operators.ordering import numbered
+from tabulark.session import pin
 
 
 def top_in_group(df: DataFrame, by: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
@@ -46,30 +47,49 @@ def dictionary(frequency: DataFrame) -> DataFrame:
     )
 
 
+def frequency_of(counts: DataFrame) -> DataFrame:
+    """Documents per term from already counted (document, term) rows."""
+    return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
 def term_counts(docs: DataFrame, keep: list[str], tokens: Column) -> DataFrame:
-    """Occurrences per document and term; map-side sums run before the shuffle."""
+    """Occurrences per document and term; ``keep`` starts with the document key.
+
+    The texts are placed by document before they are cut into words. That one
+    shuffle also serves the counts and every later sum per document.
+    """
     return (
-        docs.select(*keep, F.explode(tokens).alias("term"))
+        docs.repartition(keep[0])
+        .select(*keep, F.explode(tokens).alias("term"))
         .groupBy(*keep, "term")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-def bag_of_words(docs: DataFrame, key: str, tokens: Column, words: DataFrame) -> DataFrame:
-    counts = term_counts(docs, [key], tokens)
-    return lookup(counts, words.select("term", "term_id"), ["term"]).select(key, "term_id", "n")
+def bag_of_words(counts: DataFrame, key: str, words: DataFrame) -> DataFrame:
+    return lookup(counts, words, ["term"], weight="df").select(key, "term_id", "n")
 
 
 def smooth_idf(frequency: DataFrame, documents: int) -> DataFrame:
     """ln((1 + documents) / (1 + df)) + 1."""
     return frequency.select(
-        "term", (F.log(F.lit(1.0 + documents) / (1 + F.col("df"))) + 1).alias("idf")
+        "term", "df", (F.log(F.lit(1.0 + documents) / (1 + F.col("df"))) + 1).alias("idf")
     )
 
 
 def tf_idf(counts: DataFrame, keep: list[str], idf: DataFrame) -> DataFrame:
     """Count times idf, scaled to unit length per document; unknown terms drop out."""
-    weighted = lookup(counts, idf, ["term"]).withColumn("_w", F.col("n") * F.col("idf"))
+    return _unit_length(lookup(counts, idf, ["term"], weight="df"), keep)
+
+
+def tf_idf_parts(parts: list[DataFrame], keep: list[str], idf: DataFrame) -> list[DataFrame]:
+    """:func:`tf_idf` of several count tables with one written idf table."""
+    idf = pin(idf)
+    return [_unit_length(lookup(p, idf, ["term"], weight="df", pinned=True), keep) for p in parts]
+
+
+def _unit_length(joined: DataFrame, keep: list[str]) -> DataFrame:
+    weighted = joined.withColumn("_w", F.col("n") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(*keep)))
     return weighted.select(*keep, "term", (F.col("_w") / length).alias("weight"))
 
@@ -90,12 +110,16 @@ def fit_naive_bayes(
     rows = {r[label]: r["n"] for r in bounded_rows(docs.groupBy(label).agg(F.count(F.lit(1)).alias("n")), most_classes, label)}
     classes = tuple(sorted(rows))
     whole = sum(rows.values())
-    per_term = vectors.groupBy("term").agg(
-        *[F.sum(F.when(F.col(label) == c, F.col("weight")).otherwise(0.0)).alias(c) for c in classes]
+    per_term = pin(
+        vectors.groupBy("term").agg(
+            F.count(F.lit(1)).alias("_rows"),
+            *[F.sum(F.when(F.col(label) == c, F.col("weight")).otherwise(0.0)).alias(c) for c in classes]
+        )
     )
     facts = per_term.agg(F.count(F.lit(1)).alias("_terms"), *[F.sum(c).alias(c) for c in classes]).first()
     weights = per_term.select(
         "term",
+        "_rows",
         *[
             F.log((F.col(c) + alpha) / F.lit((facts[c] or 0.0) + alpha * facts["_terms"])).alias(c)
             for c in classes
@@ -113,7 +137,7 @@ def naive_bayes_table(model: NaiveBayes, label: str) -> DataFrame:
 def predict_naive_bayes(model: NaiveBayes, vectors: DataFrame, docs: DataFrame, key: str) -> DataFrame:
     """Most likely class per document; a document without known terms gets the prior's choice."""
     summed = (
-        lookup(vectors.select(key, "term", "weight"), model.weights, ["term"])
+        lookup(vectors.select(key, "term", "weight"), model.weights, ["term"], weight="_rows", pinned=True)
         .groupBy(key)
         .agg(*[F.sum(F.col("weight") * F.col(c)).alias(c) for c in model.classes])
     )

@@ -234,6 +234,7 @@ def forward_selection(spark, sf):
 # Ensembles
 
 MODELS = ["by_line", "by_quantity", "by_discount"]
+CENTER = 50_000.0
 WEIGHTS = {"by_line": 0.5, "by_quantity": 0.3, "by_discount": 0.2}
 
 
@@ -259,21 +260,28 @@ def log_space_blend(spark, sf):
 @query(
     "B10 S6",
     STORE_SQL
-    + ", st AS (SELECT "
+    + ", near AS (SELECT row_id, y - 50000 AS y, "
+    + ", ".join(f"{m} - 50000 AS {m}" for m in MODELS)
+    + " FROM m), st AS (SELECT "
     + moment_sums(MODELS, "y")
-    + " FROM m), "
+    + " FROM near), "
     + ridge_solution("st", 3, ["n"], "1.0::DOUBLE")
     + " SELECT row_id, round("
     + " + ".join(f"w_{i}*{m}" for i, m in enumerate(MODELS, 1))
-    + " + w_0, 2) AS pred FROM m, fitted",
+    + " + w_0 + 50000, 2) AS pred FROM near, fitted",
 )
 def ridge_stack(spark, sf):
-    """Ridge on the stored predictions of several models."""
+    """Ridge on the stored predictions of several models.
+
+    Everything is moved near zero first: the predictions differ little from
+    each other, and their squares would drown the differences.
+    """
     li = line_items(spark, sf)
     wide = ensemble.wide_predictions(prediction_store(li), ["row_id"], MODELS)
     joined = wide.join(li.select("row_id", "price"), "row_id").withColumn("one", F.lit(0))
-    model = linear.fit_ridge(linear.moments_by_fold(joined, MODELS, "price", "one")[0])
-    return joined.select("row_id", F.round(model.column(), 2).alias("pred"))
+    near = joined.withColumns({c: F.col(c) - CENTER for c in [*MODELS, "price"]})
+    model = linear.fit_ridge(linear.moments_by_fold(near, MODELS, "price", "one")[0])
+    return near.select("row_id", F.round(model.column() + CENTER, 2).alias("pred"))
 
 
 @query(

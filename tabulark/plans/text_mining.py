@@ -17,7 +17,7 @@ from tabulark.operators import learn, metrics, sampling, terms
 from tabulark.plans.lookups import stratified_sql
 from tabulark.plans.preparation import LETTERS_SQL, STOP_SQL
 from tabulark.plans.registry import query
-from tabulark.session import pin, read_table
+from tabulark.session import pin, read_table, spread
 
 ALL_STOP = (*SHORT_STOP_WORDS, *STOP_WORDS)
 ALL_STOP_SQL = "[" + ", ".join(f"'{w}'" for w in ALL_STOP) + "]"
@@ -25,7 +25,7 @@ WORDS_SQL = r"regexp_extract_all(lower(text), '([\p{L}\p{N}_]{2,})', 1)"
 
 
 def documents(spark, sf):
-    return read_table(spark, sf, "documents")
+    return spread(read_table(spark, sf, "documents"), "doc_id")
 
 
 def topic_tokens():
@@ -89,8 +89,10 @@ def pruned_dictionary(spark, sf):
     SELECT doc_id, term_id, count(*) AS n FROM tok JOIN ids USING (term) GROUP BY doc_id, term_id""",
 )
 def bag_of_words(spark, sf):
-    words = terms.dictionary(vocabulary(spark, sf, topic_tokens()))
-    return terms.bag_of_words(documents(spark, sf), "doc_id", topic_tokens(), words)
+    docs = documents(spark, sf)
+    counts = pin(terms.term_counts(docs, ["doc_id"], topic_tokens()))
+    kept = terms.pruned_vocabulary(terms.frequency_of(counts), docs.count(), 10, 0.5, 10_000)
+    return terms.bag_of_words(counts, "doc_id", terms.dictionary(kept))
 
 
 CLASS_SQL = f"""WITH raw AS (SELECT doc_id, lang, unnest({WORDS_SQL}) AS term FROM documents),
@@ -108,9 +110,9 @@ def weight_sql(source: str, docs: str, limits: str = "") -> str:
 @query("T7", CLASS_SQL + weight_sql("tok", "documents") + " SELECT doc_id, term, round(weight, 8) AS weight FROM vec")
 def tf_idf_weights(spark, sf):
     docs = documents(spark, sf)
-    idf = terms.smooth_idf(terms.document_frequency(docs, class_tokens()), docs.count())
-    vectors = terms.tf_idf(terms.term_counts(docs, ["doc_id"], class_tokens()), ["doc_id"], idf)
-    return vectors.withColumn("weight", F.round("weight", 8))
+    counts = pin(terms.term_counts(docs, ["doc_id"], class_tokens()))
+    idf = terms.smooth_idf(terms.frequency_of(counts), docs.count())
+    return terms.tf_idf(counts, ["doc_id"], idf).withColumn("weight", F.round("weight", 8))
 
 
 @query(
@@ -122,8 +124,8 @@ def tf_idf_weights(spark, sf):
 def limited_tf_idf_weights(spark, sf):
     docs = documents(spark, sf)
     n = docs.count()
-    frequency = terms.document_frequency(docs, class_tokens()).where((F.col("df") >= 2) & (F.col("df") <= n * 0.5))
-    counts = terms.term_counts(docs, ["doc_id"], class_tokens())
+    counts = pin(terms.term_counts(docs, ["doc_id"], class_tokens()))
+    frequency = terms.frequency_of(counts).where((F.col("df") >= 2) & (F.col("df") <= n * 0.5))
     return terms.tf_idf(counts, ["doc_id"], terms.smooth_idf(frequency, n)).withColumn("weight", F.round("weight", 8))
 
 
@@ -134,25 +136,20 @@ TEST_SQL = """, tc AS (SELECT tok.doc_id, tok.lang, term, count(*)::DOUBLE AS n
     tvec AS (SELECT doc_id, lang, term, w / sqrt(sum(w*w) OVER (PARTITION BY doc_id)) AS weight FROM tw)"""
 
 
-def split_documents(spark, sf):
-    """Documents with the stratified hold-out flag; ranked on keys, not on texts."""
-    docs = documents(spark, sf)
-    flags = sampling.stratified_holdout(docs.select("doc_id", "lang"), "lang", ["doc_id"], "texts")
-    return docs.drop("lang").join(flags, "doc_id")
-
-
 def train_and_test(spark, sf):
     """Counted once for all rows; the vocabulary and idf come from the training rows only."""
-    docs = split_documents(spark, sf)
-    counts = pin(terms.term_counts(docs, ["doc_id", "lang", "is_test"], class_tokens()))
-    keys = documents(spark, sf).select("doc_id", "lang")
-    flags = sampling.stratified_holdout(keys, "lang", ["doc_id"], "texts")
-    train_docs, test_docs = flags.where("NOT is_test"), flags.where("is_test")
-    frequency = counts.where("NOT is_test").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = pin(terms.smooth_idf(frequency, train_docs.count()))
+    docs = documents(spark, sf)
     keep = ["doc_id", "lang"]
-    train = terms.tf_idf(counts.where("NOT is_test").drop("is_test"), keep, idf)
-    test = terms.tf_idf(counts.where("is_test").drop("is_test"), keep, idf)
+    # Ranked on keys alone: the texts are not moved for the split.
+    flags = pin(sampling.stratified_holdout(docs.select(*keep), "lang", ["doc_id"], "texts"))
+    train_docs, test_docs = flags.where("NOT is_test").drop("is_test"), flags.where("is_test").drop("is_test")
+    counts = pin(
+        terms.term_counts(docs, keep, class_tokens()).join(flags.select("doc_id", "is_test"), "doc_id")
+    )
+    train_counts = counts.where("NOT is_test").drop("is_test")
+    test_counts = counts.where("is_test").drop("is_test")
+    idf = terms.smooth_idf(terms.frequency_of(train_counts), train_docs.count())
+    train, test = terms.tf_idf_parts([train_counts, test_counts], keep, idf)
     return train, test, train_docs, test_docs
 
 
@@ -183,7 +180,7 @@ def naive_bayes_weights(spark, sf):
 def guessed_languages(spark, sf):
     train, test, train_docs, test_docs = train_and_test(spark, sf)
     model = terms.fit_naive_bayes(train, train_docs, "lang")
-    return terms.predict_naive_bayes(model, test, test_docs.select("doc_id", "lang"), "doc_id")
+    return terms.predict_naive_bayes(model, test, test_docs, "doc_id")
 
 
 @query("T11", GUESS_SQL + " SELECT doc_id, lang, predicted FROM gs")
@@ -204,13 +201,13 @@ REPORT_SQL = GUESS_SQL + """, cls AS (SELECT lang AS c FROM gs UNION SELECT pred
     UNION ALL SELECT 'weighted avg', round(sum(p*support)/sum(support), 6), round(sum(r*support)/sum(support), 6), round(sum(f*support)/sum(support), 6), sum(support)::BIGINT FROM rep""",
 )
 def language_report(spark, sf):
-    rows = metrics.class_report(guessed_languages(spark, sf), "lang", "predicted")
+    rows = metrics.class_report(pin(guessed_languages(spark, sf)), "lang", "predicted")
     return rows.select("class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 
 @query("K5", REPORT_SQL + " SELECT a.c AS truth, b.c AS guess, count(gs.doc_id) AS n FROM cls a CROSS JOIN cls b LEFT JOIN gs ON gs.lang = a.c AND gs.predicted = b.c GROUP BY a.c, b.c")
 def language_confusion(spark, sf):
-    return metrics.confusion(guessed_languages(spark, sf), "lang", "predicted")
+    return metrics.confusion(pin(guessed_languages(spark, sf)), "lang", "predicted")
 
 
 @query(
@@ -235,8 +232,8 @@ def top_class_terms(spark, sf):
 def discriminative_terms(spark, sf):
     docs = documents(spark, sf)
     n = docs.count()
-    frequency = terms.document_frequency(docs, class_tokens()).where((F.col("df") >= 2) & (F.col("df") <= n * 0.5))
-    counts = terms.term_counts(docs, ["doc_id", "lang"], class_tokens())
+    counts = pin(terms.term_counts(docs, ["doc_id", "lang"], class_tokens()))
+    frequency = terms.frequency_of(counts).where((F.col("df") >= 2) & (F.col("df") <= n * 0.5))
     vectors = terms.tf_idf(counts, ["doc_id", "lang"], terms.smooth_idf(frequency, n))
     means = terms.mean_weights(vectors, docs.select("doc_id", "lang"), "lang")
     rounded = means.withColumn("mean_weight", F.round("mean_weight", 8))
@@ -252,7 +249,7 @@ def topic_vectors(spark, sf):
     words = vocabulary(spark, sf, topic_tokens(), keep=TOPIC_WORDS)
     listed = [r["term"] for r in words.collect()]
     docs = documents(spark, sf).select("doc_id", topic_tokens().alias("tokens"))
-    return learn.term_vectors(docs, "tokens", listed).persist(), listed
+    return pin(learn.term_vectors(docs, "tokens", listed)), listed
 
 
 @query("T12")

@@ -20,13 +20,13 @@ def prices(spark, sf):
     return read_table(spark, sf, "events").select("user_id", "ts", "event_id", "value")
 
 
-@query("W5", f"SELECT event_id, round(value / lag(value) {W} - 1, 6) AS change FROM events")
+@query("W5", f"SELECT event_id, round(value / nullif(lag(value) {W}, 0) - 1, 6) AS change FROM events")
 def percent_changes(spark, sf):
     moved = series.percent_change(prices(spark, sf), BY, ORDER, "value")
     return moved.select("event_id", F.round("change", 6).alias("change"))
 
 
-@query("W6", f"SELECT event_id, round(ln(value / lag(value) {W}), 8) AS log_return FROM events")
+@query("W6", f"SELECT event_id, round(ln(nullif(value, 0) / nullif(lag(value) {W}, 0)), 8) AS log_return FROM events")
 def log_returns(spark, sf):
     moved = series.log_return(prices(spark, sf), BY, ORDER, "value")
     return moved.select("event_id", F.round("log_return", 8).alias("log_return"))
@@ -34,7 +34,7 @@ def log_returns(spark, sf):
 
 @query(
     "W7",
-    f"""WITH c AS (SELECT event_id, user_id, ts, ln(value / lag(value) {W}) AS r FROM events)
+    f"""WITH c AS (SELECT event_id, user_id, ts, ln(nullif(value, 0) / nullif(lag(value) {W}, 0)) AS r FROM events)
     SELECT event_id, round(CASE WHEN count(r) OVER f = 20 THEN stddev_samp(r) OVER f * sqrt(255.0::DOUBLE) END, 6) AS volatility
     FROM c WINDOW f AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""",
 )
@@ -46,7 +46,7 @@ def rolling_volatility(spark, sf):
 
 @query(
     "W8",
-    f"""WITH c AS (SELECT event_id, user_id, ts, coalesce(ln(value / lag(value) {W}), 0) / 100 AS r FROM events)
+    f"""WITH c AS (SELECT event_id, user_id, ts, coalesce(ln(nullif(value, 0) / nullif(lag(value) {W}, 0)), 0) / 100 AS r FROM events)
     SELECT event_id, round(exp(sum(r) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)), 8) AS price_index FROM c""",
 )
 def cumulative_price_index(spark, sf):
@@ -74,7 +74,7 @@ def barrier_average_payoffs(spark, sf):
 
 TAIL_SQL = f"""WITH c AS (SELECT event_id, user_id, ts, value, row_number() {W} AS step,
         count(*) OVER (PARTITION BY user_id) - row_number() {W} < 10 AS is_tail,
-        ln(value / lag(value) {W}) AS r FROM events)"""
+        ln(nullif(value, 0) / nullif(lag(value) {W}, 0)) AS r FROM events)"""
 
 
 @query("W10", TAIL_SQL + " SELECT event_id, step, is_tail FROM c")
@@ -85,7 +85,7 @@ def tail_holdout(spark, sf):
 @query(
     "W11",
     TAIL_SQL
-    + """, h AS (SELECT user_id, avg(r) AS slope, max(step) AS last, arg_max(ln(value), step) AS start FROM c WHERE NOT is_tail GROUP BY user_id)
+    + """, h AS (SELECT user_id, avg(r) AS slope, max(step) AS last, ln(nullif(arg_max(value, step), 0)) AS start FROM c WHERE NOT is_tail GROUP BY user_id)
     SELECT event_id, round(start + slope * (step - last), 6) AS trend FROM c JOIN h USING (user_id) WHERE is_tail""",
 )
 def drift_trend(spark, sf):
@@ -224,7 +224,7 @@ def bump_sensitivities(spark, sf):
 
 @query(
     "Q5",
-    f"""WITH r AS (SELECT user_id, ln(value / lag(value) {W}) / 10 AS x FROM events)
+    f"""WITH r AS (SELECT user_id, ln(nullif(value, 0) / nullif(lag(value) {W}, 0)) / 10 AS x FROM events)
     SELECT user_id, count(*) AS scenarios, round(exp(-0.05::DOUBLE) * avg(greatest(100 * exp(x) - 100, 0)), 6) AS price FROM r WHERE x IS NOT NULL GROUP BY user_id""",
 )
 def scenario_prices(spark, sf):
@@ -263,7 +263,7 @@ def basket_payoffs(spark, sf):
     )
 
 
-RETURN_SQL = DAILY_SQL + ", r AS (SELECT event_type, day, ln(price / lag(price) OVER (PARTITION BY event_type ORDER BY day)) AS x FROM d)"
+RETURN_SQL = DAILY_SQL + ", r AS (SELECT event_type, day, ln(nullif(price, 0) / nullif(lag(price) OVER (PARTITION BY event_type ORDER BY day), 0)) AS x FROM d)"
 
 
 @query(

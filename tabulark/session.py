@@ -62,3 +62,14 @@ def pin(df: DataFrame) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A scanned table on at least as many tasks as there are cores, for heavy per-row work.
+
+    Big tables arrive in many splits and pass through untouched; only one that
+    fits a few splits is redistributed.
+    """
+    if df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(key)

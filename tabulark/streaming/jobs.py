@@ -14,7 +14,8 @@ def file_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Stream over the files of one table; the schema comes from the stored table."""
     path = f"{folder}/{name}.parquet"
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path)
+    # A pattern fits a table kept as one file and one kept as a folder of files.
+    return spark.readStream.schema(schema).parquet(f"{path}*")
 
 
 def drained(stream: DataFrame, label: str) -> DataFrame:
