@@ -7,6 +7,8 @@ chunks and carries one summary row per chunk across them.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,10 +20,13 @@ CHUNK = "_chunk"
 
 
 def place(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    """Range-partition by series and order; the chunk number becomes a column."""
+    """Range-partition by series and order; the chunk number becomes a column.
+
+    The partition count is left to the session, so adaptive execution may merge
+    small neighbours; merged ranges are still ranges.
+    """
     keys = [F.col(c) for c in [*by, *order]]
-    width = shuffle_width(df.sparkSession)
-    return pin(df.repartitionByRange(width, *keys).withColumn(CHUNK, F.spark_partition_id()))
+    return pin(df.repartitionByRange(*keys).withColumn(CHUNK, F.spark_partition_id()))
 
 
 def running_sums(
@@ -142,13 +147,16 @@ def quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, float])
 
 
 def hash_ranks(
-    df: DataFrame, by: list[str], keys: list[str], seed: str, name: str = "_rank", digits: int = 2
+    df: DataFrame, by: list[str], keys: list[str], seed: str, name: str = "_rank", digits: int | None = None
 ) -> DataFrame:
     """One-based rank per group in hash order, and the group size as ``<name>_total``.
 
-    A group is cut by the leading hash digits, so even one class holding most
-    rows is ranked by many tasks; ``digits`` grows with the cluster.
+    A group is cut by its leading hash digits, so even one class holding most
+    rows is ranked by many tasks. Unless given, the digits follow the shuffle
+    width: at least sixteen pieces of a group per shuffle partition.
     """
+    if digits is None:
+        digits = 1 + max(1, math.ceil(math.log(shuffle_width(df.sparkSession), 16)))
     hashed = df.withColumn("_h", digest(keys, seed)).withColumn(
         CHUNK, F.substring("_h", 1, digits)
     )

@@ -19,7 +19,7 @@ def fold_number(keys: list[str], seed: str, folds: int) -> Column:
 
 
 def stratified_holdout(
-    df: DataFrame, label: str, keys: list[str], seed: str, share: float = 0.2, digits: int = 2
+    df: DataFrame, label: str, keys: list[str], seed: str, share: float = 0.2, digits: int | None = None
 ) -> DataFrame:
     """Adds ``is_test``: exactly round(share * n) rows of every class."""
     ranked = hash_ranks(df, [label], keys, seed, "_rank", digits)
@@ -29,7 +29,7 @@ def stratified_holdout(
 
 
 def stratified_folds(
-    df: DataFrame, label: str, keys: list[str], seed: str, folds: int, digits: int = 2
+    df: DataFrame, label: str, keys: list[str], seed: str, folds: int, digits: int | None = None
 ) -> DataFrame:
     """Adds ``fold``: every class is spread over the folds as evenly as it divides."""
     ranked = hash_ranks(df, [label], keys, seed, "_rank", digits)
@@ -55,7 +55,7 @@ def quantile_bin(col: str, inner_edges: list[float]) -> Column:
 
 
 def upsample_minority(
-    df: DataFrame, label: str, minority, majority, key: str, seed: str, digits: int = 2
+    df: DataFrame, label: str, minority, majority, key: str, seed: str, digits: int | None = None
 ) -> DataFrame:
     """Majority rows plus as many minority draws with replacement.
 
@@ -96,6 +96,6 @@ def shuffled(df: DataFrame, keys: list[str], seed: str) -> DataFrame:
     return df.orderBy(digest(keys, seed), *keys)
 
 
-def shuffled_position(df: DataFrame, keys: list[str], seed: str, digits: int = 2) -> DataFrame:
+def shuffled_position(df: DataFrame, keys: list[str], seed: str, digits: int | None = None) -> DataFrame:
     """One-based place of each row in the seeded order."""
     return hash_ranks(df, [], keys, seed, "position", digits).drop("position_total")

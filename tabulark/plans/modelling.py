@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabulark.functions.numeric import tidy
@@ -171,6 +172,35 @@ def ridge_random_search(spark, sf):
     return spark.createDataFrame(rows, "run int, alpha double, loss double").withColumn("loss", F.round("loss", 8))
 
 
+BLOCKS = {
+    "ridge_wide": {"alpha": [0.5, 5.0, 50.0], "seed": 42},
+    "ridge_single": {"alpha": 1.0, "seed": 42},
+}
+LISTED = [(b, i, a) for b, p in BLOCKS.items() for i, a in enumerate(p["alpha"] if isinstance(p["alpha"], list) else [p["alpha"]])]
+
+
+@query(
+    "B14 B6",
+    alpha_sql([a for _, _, a in LISTED])
+    + ", blocks(run, block, position) AS (VALUES "
+    + ", ".join(f"({run}, '{b}', {i})" for run, (b, i, _) in enumerate(LISTED))
+    + """) SELECT block, position, alpha, round(avg(rmse), 8) AS rmse FROM err JOIN blocks USING (run)
+    GROUP BY block, position, alpha""",
+)
+def configured_search(spark, sf):
+    """Named configuration blocks become parameter rows; each listed alpha is evaluated."""
+    rows = tuning.parameter_rows(spark, BLOCKS).where("param = 'alpha'").collect()
+    by_fold = train_moments(scaled_lines(spark, sf))
+    alphas = sorted({float(r["value"]) for r in rows})
+    errors = metrics.score_summary(
+        spark.createDataFrame(linear.alpha_grid(by_fold, alphas), "alpha double, fold int, rmse double"), ["alpha"], "rmse"
+    )
+    listed = spark.createDataFrame(
+        [(r["block"], r["position"], float(r["value"])) for r in rows], "block string, position int, alpha double"
+    )
+    return listed.join(errors, "alpha").select("block", "position", "alpha", F.round("mean_score", 8).alias("rmse"))
+
+
 def _selection_sql() -> str:
     """Unrolled forward selection: each step solves a masked system on the shared moments."""
     start, candidates = [1], list(range(2, P + 1))
@@ -369,10 +399,17 @@ def boosted_grid_search(spark, sf):
     return tuning.ranked(found, "rmse", rising=True)
 
 
-@query("S7 E6")
+@query(
+    "S7 E6",
+    """WITH seg AS (SELECT c_mktsegment, row_number() OVER (ORDER BY count(*) DESC, c_mktsegment) - 1 AS slot
+        FROM customer GROUP BY c_mktsegment)
+    SELECT c_custkey, c_acctbal AS balance, slot FROM customer JOIN seg USING (c_mktsegment)""",
+)
 def saved_pipeline(spark, sf):
     """Fitted on customers, saved, loaded and applied; the loaded model gives the vectors."""
     customer = read_table(spark, sf, "customer")
     fitted = learn.feature_pipeline(["c_mktsegment"], ["c_acctbal"]).fit(customer)
     loaded = learn.saved_and_loaded(fitted, fresh_folder(spark, "pipeline"))
-    return loaded.transform(customer).select("c_custkey", F.col("features").cast("string").alias("features"))
+    parts = loaded.transform(customer).select("c_custkey", vector_to_array("features").alias("f"))
+    hot = F.slice("f", 2, F.size("f") - 1)
+    return parts.select("c_custkey", F.col("f")[0].alias("balance"), (F.array_position(hot, 1.0) - 1).alias("slot"))

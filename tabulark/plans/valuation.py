@@ -132,7 +132,16 @@ def early_stops(spark, sf):
     return series.early_stop(prices(spark, sf), BY, ORDER, "value", patience=5)
 
 
-@query("W16")
+@query(
+    "W16",
+    f"""WITH RECURSIVE a AS (SELECT user_id, value, row_number() {W} AS n, count(*) OVER (PARTITION BY user_id) AS steps FROM events),
+    walk AS (SELECT user_id, n, value AS best, 1 AS best_at, steps FROM a WHERE n = 1
+        UNION ALL SELECT a.user_id, a.n, CASE WHEN a.value < w.best - 1.0::DOUBLE THEN a.value ELSE w.best END,
+            CASE WHEN a.value < w.best - 1.0::DOUBLE THEN a.n ELSE w.best_at END, a.steps
+        FROM walk w JOIN a ON a.user_id = w.user_id AND a.n = w.n + 1 WHERE w.n - w.best_at < 5)
+    SELECT user_id, max(best_at) AS best_step, min(best) AS best_value,
+        CASE WHEN max(n) - max(best_at) >= 5 THEN max(n) END AS stop_step FROM walk GROUP BY user_id""",
+)
 def early_stops_with_margin(spark, sf):
     return series.early_stop(prices(spark, sf), BY, ORDER, "value", patience=5, min_delta=1.0)
 

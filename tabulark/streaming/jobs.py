@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from tabulark.session import fresh_folder
 
 
-def file_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def file_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int = 1_000) -> DataFrame:
     """Stream over the files of one table; the schema comes from the stored table."""
     path = f"{folder}/{name}.parquet"
     schema = spark.read.parquet(path).schema
     # A pattern fits a table kept as one file and one kept as a folder of files.
-    return spark.readStream.schema(schema).parquet(f"{path}*")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(f"{path}*")
 
 
 def drained(stream: DataFrame, label: str) -> DataFrame:
@@ -43,9 +44,10 @@ def window_statistics(
     events: DataFrame, time: str, value: str, length: str, slide: str | None = None, late: str | None = None
 ) -> DataFrame:
     """Count, mean and sample std per event-time window; with ``late`` set, a watermark closes windows."""
-    source = events.withColumn(time, F.col(time).cast("timestamp"))
+    source = events
     if late:
-        source = source.withWatermark(time, late)
+        # A watermark needs an instant; plain date-times are read in the session's zone.
+        source = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
     window = F.window(time, length, slide) if slide else F.window(time, length)
     return (
         source.groupBy(window.alias("w"))
