@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,24 +15,25 @@ from tabulark.operators.joins import bounded_rows
 MOST_CLASSES = 1_000
 
 
-def centroid_rows(df: DataFrame, label: str, vector: str) -> DataFrame:
-    """Mean of every vector position per class, long form (class, position, mean)."""
+def _class_means(df: DataFrame, label: str, vector: str) -> DataFrame:
+    """Mean vector per class; whole vectors are summed map-side, positions are never exploded."""
+    dense = array_to_vector(F.col(vector).cast("array<double>"))
     return (
-        df.select(F.col(label).alias("class"), F.posexplode(vector).alias("position", "_v"))
-        .groupBy("class", "position")
-        .agg(F.avg(F.col("_v").cast("double")).alias("mean"))
+        df.groupBy(F.col(label).alias("class"))
+        .agg(Summarizer.mean(dense).alias("_m"))
+        .select("class", vector_to_array("_m").alias("center"))
     )
 
 
+def centroid_rows(df: DataFrame, label: str, vector: str) -> DataFrame:
+    """Mean of every vector position per class, long form (class, position, mean)."""
+    return _class_means(df, label, vector).select("class", F.posexplode("center").alias("position", "mean"))
+
+
 def centroids(df: DataFrame, label: str, vector: str, most: int = MOST_CLASSES) -> dict:
     """Class to mean vector, a bounded model on the driver."""
-    packed = (
-        centroid_rows(df, label, vector)
-        .groupBy("class")
-        .agg(F.sort_array(F.collect_list(F.struct("position", "mean"))).alias("_p"))
-        .select("class", F.col("_p.mean").alias("center"))
-    )
-    return dict(sorted((r["class"], list(r["center"])) for r in bounded_rows(packed, most, label)))
+    rows = bounded_rows(_class_means(df, label, vector), most, label)
+    return dict(sorted((r["class"], list(r["center"])) for r in rows))
 
 
 def center_distances(vector: Column, centers: dict) -> Column:

@@ -12,36 +12,60 @@ from tabulark.functions.numeric import total
 from tabulark.operators.joins import bounded_rows
 
 
+ORIGIN_ROWS = 1_000
+
+
 @dataclass(frozen=True)
 class Moments:
-    """Sums of products of (1, features..., target); they add up over folds."""
+    """Sums of products of (1, features..., target), measured from ``origin``; they add up over folds."""
 
     features: tuple[str, ...]
     products: np.ndarray
+    origin: np.ndarray
 
     def __add__(self, other: Moments) -> Moments:
-        return Moments(self.features, self.products + other.products)
+        return Moments(self.features, self.products + other.products, self.origin)
 
     def __sub__(self, other: Moments) -> Moments:
-        return Moments(self.features, self.products - other.products)
+        return Moments(self.features, self.products - other.products, self.origin)
 
     @property
     def rows(self) -> float:
         return self.products[0, 0]
 
+    def scaled(self, stats: dict[str, tuple[float, float]]) -> Moments:
+        """The moments of ``(x - mean) / std`` for the named features; no second pass is needed."""
+        move, origin = np.eye(self.products.shape[0]), self.origin.copy()
+        for name, (mean, std) in stats.items():
+            i = 1 + self.features.index(name)
+            move[i, i] = 1.0 / std
+            move[i, 0] = (origin[i] - mean) / std
+            origin[i] = 0.0
+        return Moments(self.features, move @ self.products @ move.T, origin)
+
+    def renamed(self, names: list[str]) -> Moments:
+        return Moments(tuple(names), self.products, self.origin)
+
     def mean_std(self, feature: str) -> tuple[float, float]:
         """Mean and sample standard deviation of one feature."""
         i = 1 + self.features.index(feature)
         mean = self.products[0, i] / self.rows
         square = self.products[i, i] - self.rows * mean * mean
-        return mean, float(np.sqrt(max(square, 0.0) / (self.rows - 1)))
+        return mean + self.origin[i], float(np.sqrt(max(square, 0.0) / (self.rows - 1)))
 
 
 def moments_by_fold(
     df: DataFrame, features: list[str], target: str, fold: str, most_folds: int = 200
 ) -> dict[int, Moments]:
-    """One aggregate row per fold; the products are summed map-side first."""
-    parts = [F.lit(1.0), *[F.col(c).cast("double") for c in features], F.col(target).cast("double")]
+    """One aggregate row per fold; the products are summed map-side first.
+
+    Values are measured from the mean of a few rows. Any origin gives the same
+    moments; one inside the data keeps the digits that large values would cost.
+    """
+    names = [*features, target]
+    near = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in names]).take(ORIGIN_ROWS)
+    origin = np.concatenate([[0.0], np.mean(near, axis=0) if near else np.zeros(len(names))])
+    parts = [F.lit(1.0), *[F.col(c).cast("double") - F.lit(float(o)) for c, o in zip(names, origin[1:], strict=True)]]
     size = len(parts)
     sums = [
         F.sum(parts[i] * parts[j]).alias(f"m_{i}_{j}") for i in range(size) for j in range(i, size)
@@ -52,7 +76,7 @@ def moments_by_fold(
         for i in range(size):
             for j in range(i, size):
                 square[i, j] = square[j, i] = row[f"m_{i}_{j}"]
-        found[row[fold]] = Moments(tuple(features), square)
+        found[row[fold]] = Moments(tuple(features), square, origin)
     return dict(sorted(found.items()))
 
 
@@ -81,16 +105,17 @@ def fit_ridge(m: Moments, alpha: float = 1.0, subset: list[str] | None = None) -
     square = m.products[np.ix_(at, at)] - m.rows * np.outer(mean, mean)
     cross = m.products[at, -1] - m.rows * mean * target_mean
     weights = np.linalg.solve(square + alpha * np.eye(len(names)), cross)
-    return Ridge(tuple(names), tuple(float(w) for w in weights), float(target_mean - weights @ mean))
+    intercept = target_mean + m.origin[-1] - weights @ (mean + m.origin[at])
+    return Ridge(tuple(names), tuple(float(w) for w in weights), float(intercept))
 
 
 def squared_error(m: Moments, model: Ridge) -> float:
     """Sum of squared errors of ``model`` on the rows behind ``m``, without touching them."""
     full = np.zeros(m.products.shape[0])
-    full[0] = model.intercept
     for name, w in zip(model.features, model.weights, strict=True):
         full[1 + m.features.index(name)] = w
     full[-1] = -1.0
+    full[0] = model.intercept + full @ m.origin
     return float(full @ m.products @ full)
 
 

@@ -7,28 +7,31 @@ from pyspark.sql import functions as F
 
 from tabulark.functions.numeric import tidy
 from tabulark.operators import ensemble, learn, linear, metrics, tuning
+from tabulark.operators.scale import LinearScale
 from tabulark.plans.preparation import STORE_SQL
 from tabulark.plans.registry import query
 from tabulark.plans.shared import FEATURES, FOLDS, LINE_SQL, line_items, prediction_store
 from tabulark.plans.sqlbits import moment_sums, others, ridge_solution, total_of
 from tabulark.plans.sqlbits import tidy as tidy_sql
-from tabulark.session import fresh_folder, read_table
+from tabulark.session import fresh_folder, pin, read_table
 
 P = len(FEATURES)
 Z = [f"z_{c}" for c in FEATURES]
 
 
 def scaled_lines(spark, sf):
-    """Line items with features scaled by the mean and std of the training rows."""
-    from tabulark.operators.scale import fit_z_score
+    """Line items scaled by the training rows, and the training moments per fold.
 
+    One pass over the raw columns gives mean, std and every product; the
+    scaled moments follow from them on the driver.
+    """
     li = line_items(spark, sf)
-    fitted = fit_z_score(li.where("NOT is_test"), FEATURES)
-    return li.select("*", *[fitted.column(c).alias(f"z_{c}") for c in FEATURES])
-
-
-def train_moments(rows):
-    return linear.moments_by_fold(rows.where("NOT is_test"), Z, "target", "fold")
+    raw = linear.moments_by_fold(li.where("NOT is_test"), FEATURES, "target", "fold")
+    whole = linear.all_moments(raw)
+    stats = {c: whole.mean_std(c) for c in FEATURES}
+    by_fold = {i: m.scaled(stats).renamed(Z) for i, m in raw.items()}
+    fitted = LinearScale({c: m for c, (m, _) in stats.items()}, {c: s for c, (_, s) in stats.items()})
+    return li.select("*", *[fitted.column(c).alias(f"z_{c}") for c in FEATURES]), by_fold
 
 
 SCALED_SQL = (
@@ -52,8 +55,8 @@ SCORE_SQL = " + ".join(f"w_{i}*{c}" for i, c in enumerate(Z, 1)) + " + w_0"
     FROM scaled s JOIN fitted f ON s.fold = f.fold WHERE NOT is_test""",
 )
 def ridge_out_of_fold(spark, sf):
-    rows = scaled_lines(spark, sf)
-    models = linear.fold_models(train_moments(rows))
+    rows, by_fold = scaled_lines(spark, sf)
+    models = linear.fold_models(by_fold)
     return rows.where("NOT is_test").select(
         "row_id", "fold", F.round(linear.out_of_fold(models, "fold"), 8).alias("prediction")
     )
@@ -65,8 +68,8 @@ def ridge_out_of_fold(spark, sf):
     + f""" SELECT row_id, round(avg({SCORE_SQL}), 8) AS prediction FROM scaled, fitted WHERE is_test GROUP BY row_id""",
 )
 def ridge_test_mean(spark, sf):
-    rows = scaled_lines(spark, sf)
-    models = linear.fold_models(train_moments(rows))
+    rows, by_fold = scaled_lines(spark, sf)
+    models = linear.fold_models(by_fold)
     return rows.where("is_test").select("row_id", F.round(linear.mean_prediction(models), 8).alias("prediction"))
 
 
@@ -78,8 +81,8 @@ def ridge_test_mean(spark, sf):
     + f" SELECT row_id, round(exp({SCORE_SQL}) - 1, 4) AS prediction FROM scaled, fitted WHERE is_test",
 )
 def ridge_final_refit(spark, sf):
-    rows = scaled_lines(spark, sf)
-    model = linear.fit_ridge(linear.all_moments(train_moments(rows)))
+    rows, by_fold = scaled_lines(spark, sf)
+    model = linear.fit_ridge(linear.all_moments(by_fold))
     return rows.where("is_test").select("row_id", F.round(F.expm1(model.column()), 4).alias("prediction"))
 
 
@@ -105,9 +108,9 @@ FOLD_ERROR_SQL = FOLD_MODEL_SQL + f""", err AS (SELECT s.fold, sqrt(avg((target
 
 @query("K14", FOLD_ERROR_SQL + " SELECT fold::INTEGER AS fold, round(rmse, 8) AS rmse FROM err")
 def fold_errors(spark, sf):
-    rows = scaled_lines(spark, sf).where("NOT is_test")
-    models = linear.fold_models(train_moments(rows))
-    scored = rows.select("fold", "target", linear.out_of_fold(models, "fold").alias("guess"))
+    rows, by_fold = scaled_lines(spark, sf)
+    models = linear.fold_models(by_fold)
+    scored = rows.where("NOT is_test").select("fold", "target", linear.out_of_fold(models, "fold").alias("guess"))
     errors = scored.groupBy("fold").agg(metrics.rmse(F.col("target"), F.col("guess")).alias("rmse"))
     return errors.select("fold", F.round("rmse", 8).alias("rmse"))
 
@@ -131,7 +134,7 @@ def alpha_sql(alphas: list[float], name: str = "alpha") -> str:
 
 @query("B6", alpha_sql(ALPHAS) + " SELECT alpha, fold::INTEGER AS fold, round(rmse, 8) AS rmse FROM err")
 def ridge_grid_search(spark, sf):
-    by_fold = train_moments(scaled_lines(spark, sf))
+    _, by_fold = scaled_lines(spark, sf)
     rows = linear.alpha_grid(by_fold, ALPHAS)
     table = spark.createDataFrame(rows, "alpha double, fold int, rmse double")
     return table.withColumn("rmse", F.round("rmse", 8))
@@ -145,7 +148,7 @@ def ridge_grid_search(spark, sf):
     SELECT *, rank() OVER (ORDER BY mean_score) AS rank FROM summary""",
 )
 def ranked_configurations(spark, sf):
-    by_fold = train_moments(scaled_lines(spark, sf))
+    _, by_fold = scaled_lines(spark, sf)
     table = spark.createDataFrame(linear.alpha_grid(by_fold, ALPHAS), "alpha double, fold int, rmse double")
     summary = metrics.score_summary(table, ["alpha"], "rmse")
     rounded = summary.select(
@@ -164,7 +167,7 @@ POINTS = tuning.sampled_points(SPACE, 10, "search")
     + " SELECT run, alpha, round(avg(rmse), 8) AS loss FROM err GROUP BY run, alpha",
 )
 def ridge_random_search(spark, sf):
-    by_fold = train_moments(scaled_lines(spark, sf))
+    _, by_fold = scaled_lines(spark, sf)
     rows = [
         (run, p["alpha"], sum(e for _, _, e in linear.alpha_grid(by_fold, [p["alpha"]])) / FOLDS)
         for run, p in enumerate(POINTS)
@@ -190,7 +193,7 @@ LISTED = [(b, i, a) for b, p in BLOCKS.items() for i, a in enumerate(p["alpha"]
 def configured_search(spark, sf):
     """Named configuration blocks become parameter rows; each listed alpha is evaluated."""
     rows = tuning.parameter_rows(spark, BLOCKS).where("param = 'alpha'").collect()
-    by_fold = train_moments(scaled_lines(spark, sf))
+    _, by_fold = scaled_lines(spark, sf)
     alphas = sorted({float(r["value"]) for r in rows})
     errors = metrics.score_summary(
         spark.createDataFrame(linear.alpha_grid(by_fold, alphas), "alpha double, fold int, rmse double"), ["alpha"], "rmse"
@@ -253,7 +256,7 @@ def _selection_sql() -> str:
 
 @query("E14", _selection_sql())
 def forward_selection(spark, sf):
-    by_fold = train_moments(scaled_lines(spark, sf))
+    _, by_fold = scaled_lines(spark, sf)
     train = linear.all_moments(by_fold) - by_fold[0]
     trace = linear.forward_selection(train, by_fold[0], Z[:1], Z[1:])
     return spark.createDataFrame(trace, "step int, candidate string, rmse double, kept boolean").withColumn(
@@ -309,7 +312,7 @@ def ridge_stack(spark, sf):
     li = line_items(spark, sf)
     wide = ensemble.wide_predictions(prediction_store(li), ["row_id"], MODELS)
     joined = wide.join(li.select("row_id", "price"), "row_id").withColumn("one", F.lit(0))
-    near = joined.withColumns({c: F.col(c) - CENTER for c in [*MODELS, "price"]})
+    near = pin(joined.withColumns({c: F.col(c) - CENTER for c in [*MODELS, "price"]}))
     model = linear.fit_ridge(linear.moments_by_fold(near, MODELS, "price", "one")[0])
     return near.select("row_id", F.round(model.column() + CENTER, 2).alias("pred"))
 

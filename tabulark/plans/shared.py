@@ -10,7 +10,7 @@ from tabulark.operators.ensemble import long_predictions
 from tabulark.operators.joins import lookup
 from tabulark.plans import sqlbits
 from tabulark.plans.sqlbits import ROW_ID
-from tabulark.session import read_table
+from tabulark.session import pin, read_table, spread
 
 KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 FOLDS = 5
@@ -19,7 +19,7 @@ FEATURES = ["quantity", "discount", "tax", "line"]
 
 def line_items(spark: SparkSession, sf: str) -> DataFrame:
     """Line items with a row key, short names, a hold-out flag, a fold and the log target."""
-    li = read_table(spark, sf, "lineitem")
+    li = spread(read_table(spark, sf, "lineitem"), "l_orderkey")
     keyed = li.select(
         F.concat_ws("-", *KEYS, F.round(F.col("l_extendedprice") * 100).cast("long")).alias("row_id"),
         F.col("l_quantity").alias("quantity"),
@@ -49,14 +49,23 @@ LINE_SQL = f"""WITH line AS (SELECT *, {sqlbits.bucket32('row_id', 'holdout')} %
 def prediction_store(li: DataFrame) -> DataFrame:
     """Three simple models in long form: group means by line number, quantity and discount.
 
-    Each mean is a grouped table that is joined back under a size check, so a
-    frequent value never pulls its rows into one window.
+    One pass gives the means of all three. They are joined back under a size
+    check, so a frequent value never pulls its rows into one window.
     """
+    models = {"by_line": "line", "by_quantity": "quantity", "by_discount": "discount"}
+    cells = [
+        F.struct(F.lit(m).alias("model"), F.col(c).cast("double").alias("key")) for m, c in models.items()
+    ]
+    means = pin(
+        li.select("price", F.explode(F.array(*cells)).alias("_c"))
+        .groupBy("_c.model", "_c.key")
+        .agg(F.avg("price").alias("mean"))
+    )
     rows = li.select("row_id", "line", "quantity", "discount")
-    for name, key in (("by_line", "line"), ("by_quantity", "quantity"), ("by_discount", "discount")):
-        means = li.groupBy(key).agg(F.avg("price").alias(name))
-        rows = lookup(rows, means, [key])
-    return long_predictions(rows, ["row_id"], ["by_line", "by_quantity", "by_discount"])
+    for model, col in models.items():
+        table = means.where(F.col("model") == model).select(F.col("key").alias(col), F.col("mean").alias(model))
+        rows = lookup(rows, table, [col], pinned=True)
+    return long_predictions(rows, ["row_id"], list(models))
 
 
 CENTER_SQL = """WITH flat AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i
