@@ -54,17 +54,29 @@ class Moments:
         return mean + self.origin[i], float(np.sqrt(max(square, 0.0) / (self.rows - 1)))
 
 
+def origin_of(df: DataFrame, names: list[str]) -> np.ndarray:
+    """Mean of the first few rows that come along, with a leading 0 for the constant."""
+    near = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in names]).take(ORIGIN_ROWS)
+    return np.concatenate([[0.0], np.mean(near, axis=0) if near else np.zeros(len(names))])
+
+
 def moments_by_fold(
-    df: DataFrame, features: list[str], target: str, fold: str, most_folds: int = 200
+    df: DataFrame,
+    features: list[str],
+    target: str,
+    fold: str,
+    most_folds: int = 200,
+    origin: np.ndarray | None = None,
 ) -> dict[int, Moments]:
     """One aggregate row per fold; the products are summed map-side first.
 
-    Values are measured from the mean of a few rows. Any origin gives the same
-    moments; one inside the data keeps the digits that large values would cost.
+    Values are measured from ``origin``, by default the mean of a few rows. Any
+    origin gives the same moments; one inside the data keeps the digits that
+    large values would cost. Rows with a null fold belong to no moment.
     """
     names = [*features, target]
-    near = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in names]).take(ORIGIN_ROWS)
-    origin = np.concatenate([[0.0], np.mean(near, axis=0) if near else np.zeros(len(names))])
+    if origin is None:
+        origin = origin_of(df, names)
     parts = [F.lit(1.0), *[F.col(c).cast("double") - F.lit(float(o)) for c, o in zip(names, origin[1:], strict=True)]]
     size = len(parts)
     sums = [
@@ -72,6 +84,8 @@ def moments_by_fold(
     ]
     found = {}
     for row in bounded_rows(df.groupBy(fold).agg(*sums), most_folds, fold):
+        if row[fold] is None:
+            continue
         square = np.zeros((size, size))
         for i in range(size):
             for j in range(i, size):

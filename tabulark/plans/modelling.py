@@ -26,7 +26,9 @@ def scaled_lines(spark, sf):
     scaled moments follow from them on the driver.
     """
     li = line_items(spark, sf)
-    raw = linear.moments_by_fold(li.where("NOT is_test"), FEATURES, "target", "fold")
+    origin = linear.origin_of(line_items(spark, sf, whole=False), [*FEATURES, "target"])
+    train = li.withColumn("train_fold", F.when(~F.col("is_test"), F.col("fold")))
+    raw = linear.moments_by_fold(train, FEATURES, "target", "train_fold", origin=origin)
     whole = linear.all_moments(raw)
     stats = {c: whole.mean_std(c) for c in FEATURES}
     by_fold = {i: m.scaled(stats).renamed(Z) for i, m in raw.items()}

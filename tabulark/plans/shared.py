@@ -17,11 +17,16 @@ FOLDS = 5
 FEATURES = ["quantity", "discount", "tax", "line"]
 
 
-def line_items(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items with a row key, short names, a hold-out flag, a fold and the log target."""
-    li = spread(read_table(spark, sf, "lineitem"), "l_orderkey")
+def line_items(spark: SparkSession, sf: str, whole: bool = True) -> DataFrame:
+    """Line items with a row key, short names, a hold-out flag, a fold and the log target.
+
+    ``whole`` says that every row will be worked on, not just a few.
+    """
+    li = read_table(spark, sf, "lineitem")
+    if whole:
+        li = spread(li, "l_orderkey")
     keyed = li.select(
-        F.concat_ws("-", *KEYS, F.round(F.col("l_extendedprice") * 100).cast("long")).alias("row_id"),
+        F.concat_ws("-", *KEYS, F.floor(F.col("l_extendedprice") * 100 + 0.5)).alias("row_id"),
         F.col("l_quantity").alias("quantity"),
         F.col("l_discount").alias("discount"),
         F.col("l_tax").alias("tax"),

@@ -6,7 +6,7 @@ from tabulark.functions.normal import COEFFICIENTS, P, ROOT_TWO_PI
 
 # The four keys alone repeat now and then; the price in cents tells such rows apart.
 ROW_ID = (
-    "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, round(l_extendedprice * 100)::BIGINT)"
+    "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, floor(l_extendedprice * 100 + 0.5::DOUBLE)::BIGINT)"
 )
 
 
