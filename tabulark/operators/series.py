@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulark.operators.joins import lookup
+from tabulark.operators.joins import lookup, null_safe_join
 from tabulark.operators.ordering import (
     CHUNK,
     neighbour,
@@ -159,7 +159,7 @@ def _records(df: DataFrame, by: list[str], order: list[str], value: str) -> Data
     local = rows.select("*", F.min(value).over(inside).alias("_inside"))
     earlier = F.least("_inside", "_before")
     return (
-        local.join(chunk_best, [*by, CHUNK])
+        null_safe_join(local, chunk_best, [*by, CHUNK])
         .where(earlier.isNull() | (F.col(value) < earlier))
         .select(*by, "step", F.col("step_total").alias("steps"), F.col(value).alias("_v"))
     )
@@ -176,7 +176,7 @@ def _accepted(records: DataFrame, by: list[str], min_delta: float) -> DataFrame:
     accepted = current
     while True:
         best = current.select(*by, F.col("step").alias("_at"), F.col("_v").alias("_best"))
-        ahead = records.join(best, by).where(
+        ahead = lookup(records, best, by, pinned=True).where(
             (F.col("step") > F.col("_at")) & (F.col("_v") < F.col("_best") - F.lit(min_delta))
         )
         nearest = F.min_by(F.struct("step", "steps", "_v"), "step").alias("_n")

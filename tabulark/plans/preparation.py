@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabulark.functions.hashing import bucket32 as hash_bucket
 from tabulark.functions.numeric import clip, scaled_size, tidy
 from tabulark.functions.recode import emphasis, fold_rare, inverted, literal_map, recode
 from tabulark.functions.text import STOP_WORDS, letter_tokens, snippet
 from tabulark.operators import project, setops
 from tabulark.operators.classes import centroids, class_probabilities, ranked_classes
+from tabulark.operators.ensemble import wide_predictions
 from tabulark.plans.registry import query
 from tabulark.plans.shared import CENTER_SQL, line_items, prediction_store
 from tabulark.plans.sqlbits import ROW_ID, bucket32
@@ -91,8 +93,6 @@ STORE_SQL = f"""WITH b AS (SELECT {ROW_ID} AS row_id, l_quantity AS q, l_discoun
 )
 def prediction_store_wide(spark, sf):
     """Writes one file set per model, reads two of them back side by side."""
-    from tabulark.operators.ensemble import wide_predictions
-
     path = fresh_folder(spark, "predictions")
     files.write_predictions(prediction_store(line_items(spark, sf)), path)
     chosen = ["by_line", "by_quantity"]
@@ -357,9 +357,7 @@ def union_then_distinct(spark, sf):
 )
 def split_back(spark, sf):
     """Train and test are stacked, encoded together, and the train part is taken out again."""
-    from tabulark.functions.hashing import bucket32 as bucket
-
-    part = read_table(spark, sf, "part").withColumn("b", F.pmod(bucket(["p_partkey"], "part"), F.lit(5)))
+    part = read_table(spark, sf, "part").withColumn("b", F.pmod(hash_bucket(["p_partkey"], "part"), F.lit(5)))
     both = setops.stacked({"train": part.where("b <> 0"), "test": part.where("b = 0")})
     encoded = both.withColumn("kind", F.upper("p_type"))
     return setops.part_of(encoded, "train").select("p_partkey", "kind")

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from tabulark.operators import pricing, series
+from tabulark.operators.project import distinct_values
 from tabulark.plans.registry import query
 from tabulark.plans.sqlbits import density, distribution
 from tabulark.session import read_table
@@ -283,10 +284,8 @@ RETURN_SQL = DAILY_SQL + ", r AS (SELECT event_type, day, ln(nullif(price, 0) /
 )
 def return_correlations(spark, sf):
     """Daily returns side by side, one column per series, then one aggregate for all pairs."""
-    from tabulark.operators.project import distinct_values
-
     moved = series.log_return(daily_last(spark, sf), ["event_type"], ["day"], "price").where("log_return IS NOT NULL")
-    names = distinct_values(moved, "event_type")
+    names = distinct_values(moved, "event_type", most=50)
     wide = moved.groupBy("day").agg(*[F.max(F.when(F.col("event_type") == n, F.col("log_return"))).alias(n) for n in names])
     pairs = [
         F.struct(
