@@ -23,10 +23,10 @@ from tabulark.operators.joins import bounded_rows
 from tabulark.session import pin
 
 NONE = "und"
-SIZES = (2, 3, 4, 5)
+SIZES = (2, 3, 4)
 SLOTS = 1 << 20
 HASHES = 2
-SAMPLE = 4_000
+SAMPLE = 1_000
 MOST_LANGUAGES = 63
 #: Characters that are hashed at once.
 CHUNK = 1 << 19
@@ -87,9 +87,11 @@ def ngram_hashes(words: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.nd
         return np.empty(0, np.uint64), np.empty(0, owner.dtype)
     value = np.full(n, size, np.uint64)
     inner = np.ones(n, bool)
+    wide = words.astype(np.uint64) + np.uint64(1)
     for i in range(size):
         part = words[i : i + n]
-        value = value * np.uint64(0xD1342543DE82EF95) + part.astype(np.uint64) + np.uint64(1)
+        value *= np.uint64(0xD1342543DE82EF95)
+        value += wide[i : i + n]
         if 0 < i < size - 1 or size == 2:
             inner &= part != 0
     ok = inner & (owner[:n] == owner[size - 1 : size - 1 + n])
@@ -97,9 +99,9 @@ def ngram_hashes(words: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.nd
 
 
 def places(hashes: np.ndarray, slots: int, count: int) -> list[np.ndarray]:
-    """``count`` slots per hash, from its two halves."""
-    low, high = hashes & np.uint64(0xFFFFFFFF), hashes >> np.uint64(32) | np.uint64(1)
-    return [((low + np.uint64(i) * high) % np.uint64(slots)).astype(np.int64) for i in range(count)]
+    """``count`` slots per hash, from its two halves; ``slots`` is a power of two."""
+    low, step, mask = hashes.astype(np.uint32), (hashes >> np.uint64(32)).astype(np.uint32), np.uint32(slots - 1)
+    return [(low + np.uint32(i) * step) & mask for i in range(count)]
 
 
 def batches_of_text(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -111,10 +113,10 @@ def batches_of_text(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np
         rows.append(len(points))
         size += len(points)
         if size >= CHUNK:
-            yield first, len(rows), np.concatenate(parts), np.repeat(np.arange(len(rows)), rows)
+            yield first, len(rows), np.concatenate(parts), np.repeat(np.arange(len(rows), dtype=np.int32), rows)
             parts, rows, size, first = [], [], 0, i + 1
     if rows:
-        yield first, len(rows), np.concatenate(parts), np.repeat(np.arange(len(rows)), rows)
+        yield first, len(rows), np.concatenate(parts), np.repeat(np.arange(len(rows), dtype=np.int32), rows)
 
 
 def counted_ngrams(sizes: tuple[int, ...]):
@@ -128,8 +130,8 @@ def counted_ngrams(sizes: tuple[int, ...]):
                     words, of = bare_words(points, owner)
                     for size in sizes:
                         grams, doc = ngram_hashes(words, of, size)
-                        once = np.unique(np.stack([grams, doc.astype(np.uint64)]), axis=1)[0] if len(grams) else grams
-                        gram, n = np.unique(once, return_counts=True)
+                        pair = mixed(grams ^ mixed(doc.astype(np.uint64) + np.uint64(1)))
+                        gram, n = np.unique(grams[np.unique(pair, return_index=True)[1]], return_counts=True)
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([lang] * len(gram)), pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))],
                             names=["lang", "gram", "n"],
@@ -190,7 +192,7 @@ def fit_filters(
         for b in batches:
             gram, bits = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()
             for p in places(gram, slots, hashes):
-                yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(bits)], names=["slot", "mask"])
+                yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int64)), pa.array(bits)], names=["slot", "mask"])
 
     merged = marked.mapInArrow(spread, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
     table = np.zeros(slots, np.uint64)
@@ -210,8 +212,9 @@ def scores(column: pa.Array, filters: Filters) -> tuple[list[str], np.ndarray]:
         hits, grams = np.zeros((n, rows)), np.zeros(rows)
         for size in filters.sizes:
             value, doc = ngram_hashes(words, of, size)
-            mask = np.full(len(value), np.uint64(0xFFFFFFFFFFFFFFFF))
-            for p in places(value, len(filters.slots), filters.hashes):
+            first_slot, *others = places(value, len(filters.slots), filters.hashes)
+            mask = filters.slots[first_slot]
+            for p in others:
                 mask &= filters.slots[p]
             grams += np.bincount(doc, minlength=rows)
             for i in range(n):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulark.llm import chat, language, lines, mixing, packing
+from tabulark.llm import chat, language, lines, mixing, neighbours, packing, pigeonhole
 from tabulark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,12 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return named.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+@query()
+def op6_block_matrix_join(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return neighbours.nearest(rows, F.pmod(F.col("vec_id"), F.lit(50)) == 0)
+
+
 @query(r"""
 WITH parts AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -103,6 +109,11 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256"))
 
 
+@query()
+def op9_subspace_pigeonhole(spark: SparkSession, folder: str) -> DataFrame:
+    return pigeonhole.near_vectors(table(spark, folder, "embeddings"))
+
+
 @query()
 def op10_capped_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, folder, "documents"))
