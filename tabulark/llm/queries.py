@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulark.llm import chat, language, lines, mixing, neighbours, packing, pigeonhole
+from tabulark.llm import chat, language, lines, mixing, neighbours, packing, pigeonhole, secrets
 from tabulark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,22 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256"))
 
 
+@query()
+def op8_randomness_battery(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != secrets.RANDOM)
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(p.kind) for p in secrets.PATTERNS],
+        F.sha2(secrets.described(base), 256).alias("base_sha256"),
+        secrets.described(F.col("spans")).alias("spans"),
+    )
+
+
 @query()
 def op9_subspace_pigeonhole(spark: SparkSession, folder: str) -> DataFrame:
     return pigeonhole.near_vectors(table(spark, folder, "embeddings"))
