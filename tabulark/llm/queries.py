@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulark.llm import chat, language, lines, mixing, neighbours, packing, pigeonhole, secrets
+from tabulark.llm import chat, language, lines, minhash, mixing, neighbours, packing, pigeonhole, secrets
 from tabulark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,11 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return named.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+@query()
+def op5_probminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_copies(table(spark, folder, "documents"))
+
+
 @query()
 def op6_block_matrix_join(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings")
