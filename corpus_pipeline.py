@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulark.llm import language, lines, mixing, packing
+from tabulark.llm import language, lines, minhash, mixing, packing
 from tabulark.llm.common import table, written
 
-#: A text of which less than this share of n-grams is known in any language is rejected.
+#: A text is rejected if less than this share of its n-grams is known in any language.
+#: Texts below so many characters say too little to be rejected for it.
 LEAST_SCORE = 0.05
+LEAST_CHARS = 50
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text was given a language; the filters learn from the labels of ``docs``."""
     named = language.identify(docs, language.fit_filters(docs))
-    kept = (F.col("lang_pred") != language.NONE) & (F.col("score") >= LEAST_SCORE)
+    unknown = (F.col("score") < LEAST_SCORE) & (F.length("text") >= LEAST_CHARS)
+    kept = (F.col("lang_pred") != language.NONE) & ~unknown
     return named.where(kept).select(*docs.columns)
 
 
@@ -23,6 +26,13 @@ def unshared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return lines.drop_common_lines(docs).select(*docs.columns)
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies; rows without an id all stay."""
+    stay = minhash.near_copies(docs).where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+
+
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the wanted proportions; one taken twice is there twice."""
     return mixing.repeated(mixing.mix_sources(docs), docs.columns)
@@ -35,6 +45,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language", known_language),
     ("lines", unshared_lines),
+    ("near_copies", one_of_each_group),
     ("mixing", mixed_sources),
     ("packing", packed),
 ]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulark.llm import chat, language, lines, minhash, mixing, neighbours, packing, pigeonhole, secrets
+from tabulark.llm import chat, language, lines, minhash, mixing, neighbours, packing, pigeonhole, secrets, suffixes
 from tabulark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,18 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return named.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+@query()
+def op4_linear_grouping(spark: SparkSession, folder: str) -> DataFrame:
+    kept = suffixes.drop_repeated_strings(table(spark, folder, "documents"))
+    return kept.select(
+        "doc_id",
+        "n_bytes",
+        suffixes.removed(F.col("spans")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query()
 def op5_probminhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_copies(table(spark, folder, "documents"))
