@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tabulark.llm.common import written
 from tabulark.llm.components import components
+from tabulark.operators.joins import lookup
 from tabulark.session import pin
 
 WORDS = 5
@@ -234,29 +235,50 @@ def near_copies(
     rows that repeat a key belong together; other columns are ignored; an empty
     table gives no rows.
     """
-    spark = docs.sparkSession
-    found = written(profiles(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")), "id", "text", words, bands, rows), "profiles")
+    rows_in = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    found = written(profiles(rows_in, "id", "text", words, bands, rows), "profiles")
     able = found.where(F.col("print_a").isNotNull() & F.col("id").isNotNull())
-    nodes = pin(able.groupBy("print_a", "print_b").agg(F.min("id").alias("node")))
-    named = able.join(nodes, ["print_a", "print_b"]).where(F.col("id") == F.col("node"))
-    facts = named.select("node", "signature", "shingles", "counts").dropDuplicates(["node"])
-    members = pin(named.select("node", F.explode("keys").alias("bucket")).distinct())
-    shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    buckets = pin(members.join(shared, "bucket"))
-    return _grouped(spark, found, nodes, facts, buckets, key, least, doubt, small)
+    firsts = written(
+        able.groupBy("print_a", "print_b").agg(F.min("id").alias("node"), F.min_by("keys", "id").alias("keys")), "firsts"
+    )
+    members = firsts.select("node", F.explode("keys").alias("bucket"))
+    shared = (
+        members.groupBy("bucket")
+        .agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > 1)
+    )
+    buckets = written(members.join(shared, "bucket"), "buckets")
+    # Only documents that share a bucket are ever compared; their ids are sent out if they are few.
+    wanted = written(buckets.select("node").distinct(), "wanted")
+    full = able.select(F.col("id").alias("node"), "signature", "shingles", "counts")
+    facts = written(lookup(full, wanted, ["node"], "left_semi", pinned=True).dropDuplicates(["node"]), "facts")
+    groups = _groups(facts, buckets, least, doubt, small)
+    group = (
+        firsts.join(groups.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
+        .select("print_a", "print_b", F.coalesce("component", "node").alias("_group"))
+    )
+    return (
+        found.select("id", "print_a", "print_b")
+        .join(group, ["print_a", "print_b"], "left")
+        .select(F.col("id").alias(key), F.when(F.col("id").isNotNull(), F.coalesce("_group", "id")).alias("group_id"))
+        .withColumn("kept", F.col(key).eqNullSafe(F.col("group_id")))
+    )
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where(F.col("a") != F.col("b")).distinct()
 
 
-def _grouped(spark, found, nodes, facts, buckets, key, least, doubt, small) -> DataFrame:
+def _groups(facts: DataFrame, buckets: DataFrame, least: float, doubt: float, small: int) -> DataFrame:
+    """``node`` and ``component`` of every member that has a verified link."""
     low = buckets.select(F.col("low").alias("a"), F.col("node").alias("b"))
     high = buckets.where(F.col("n") > 2).select(F.col("node").alias("a"), F.col("high").alias("b"))
     tried = pin(_ordered(low.union(high)))
     links = pin(verified(tried, facts, least, doubt))
     groups = components(links)
-    for turn in range(1, 1_000):
+    turn = 0
+    while True:
+        turn += 1
         # Buckets that hold more than one group, each member with its group.
         placed = buckets.join(groups.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
             "bucket", "node", "n", F.coalesce("component", "node").alias("group")
@@ -282,13 +304,4 @@ def _grouped(spark, found, nodes, facts, buckets, key, least, doubt, small) -> D
             break
         links = pin(links.union(more))
         groups = components(links)
-    group = (
-        nodes.join(groups.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
-        .select("print_a", "print_b", F.coalesce("component", "node").alias("_group"))
-    )
-    return (
-        found.select("id", "print_a", "print_b")
-        .join(group, ["print_a", "print_b"], "left")
-        .select(F.col("id").alias(key), F.when(F.col("id").isNotNull(), F.coalesce("_group", "id")).alias("group_id"))
-        .withColumn("kept", F.col(key).eqNullSafe(F.col("group_id")))
-    )
+    return groups
