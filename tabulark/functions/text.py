@@ -57,12 +57,27 @@ def snippet(tokens: Column, words: int = 8) -> Column:
     return F.array_join(F.slice(tokens, 1, words), " ")
 
 
-def stripped_lines(text: Column, unwanted: str) -> Column:
-    """The text without the lines that match ``unwanted``."""
-    return F.array_join(F.filter(F.split(text, "\n"), lambda line: ~line.rlike(unwanted)), "\n")
+# The first line of a header block, a line that quotes, and the rule above a footer.
+HEADER_LINE = r"^[A-Z][A-Za-z-]*: "
+QUOTED_LINE = r"(writes in|writes:|wrote:|says:|said:|^In article|^Quoted from|^\||^>)"
+FOOTER_RULE = r"^[ \t]*-*[ \t]*$"
 
 
-def sentences(text: Column) -> Column:
-    """Pieces between sentence marks or line ends, empty pieces dropped."""
-    pieces = F.transform(F.split(text, r"[.!?\n]+"), lambda s: F.trim(s))
-    return F.filter(pieces, lambda s: F.length(s) > 0)
+def without_header(text: Column) -> Column:
+    """The text after the first blank line, if it starts with a header line and has one."""
+    starts = text.rlike(HEADER_LINE) & text.contains("\n\n")
+    return F.when(starts, F.regexp_replace(text, r"(?s)\A.*?\n\n(.*)\z", "$1")).otherwise(text)
+
+
+def without_footer(text: Column) -> Column:
+    """The text above its last line of dashes or blanks, unless that is the first line."""
+    lines = F.split(F.btrim(text, F.lit(" \t\n")), "\n", -1)
+    rules = F.transform(lines, lambda line: line.rlike(FOOTER_RULE))
+    above = F.size(lines) - F.array_position(F.reverse(rules), True)
+    found = F.array_contains(rules, True) & (above > 0)
+    return F.when(found, F.array_join(F.slice(lines, F.lit(1), above.cast("int")), "\n")).otherwise(text)
+
+
+def without_quotes(text: Column) -> Column:
+    """The text without the lines that quote someone."""
+    return F.array_join(F.filter(F.split(text, "\n", -1), lambda line: ~line.rlike(QUOTED_LINE)), "\n")

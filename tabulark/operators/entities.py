@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulark.functions.text import STOP_WORDS
+from tabulark.operators.joins import lookup
 from tabulark.operators.terms import document_frequency, top_in_group
 
 # One pattern per entity type.
@@ -35,16 +36,16 @@ def pattern_entities(docs: DataFrame, keep: list[str], text: str, patterns: dict
     return docs.select(*keep, F.explode(F.flatten(F.array(*found))).alias("_e")).select(*keep, "_e.*")
 
 
-def frequent_names(docs: DataFrame, text: str, size: int) -> DataFrame:
-    """Word list: the capitalised words found in most documents, at most ``size`` of them."""
+def frequent_names(docs: DataFrame, text: str, least_docs: int) -> DataFrame:
+    """Word list: the capitalised words found in at least ``least_docs`` documents."""
     counted = document_frequency(docs, matches(F.col(text), NAME_WORD))
-    return counted.orderBy(F.desc("df"), "term").limit(size).select(F.col("term").alias("entity"))
+    return counted.where(F.col("df") >= least_docs).select(F.col("term").alias("entity"))
 
 
 def listed_entities(docs: DataFrame, keep: list[str], text: str, names: DataFrame, kind: str) -> DataFrame:
-    """Mentions of listed names; ``names`` is a short list and is broadcast."""
+    """Mentions of listed names; the list is broadcast when its measured size allows."""
     words = docs.select(*keep, F.explode(matches(F.col(text), NAME_WORD)).alias("entity"))
-    return words.join(F.broadcast(names), "entity").select(*keep, F.lit(kind).alias("type"), "entity")
+    return lookup(words, names, ["entity"], pinned=True).select(*keep, F.lit(kind).alias("type"), "entity")
 
 
 def entity_counts(mentions: DataFrame) -> DataFrame:
@@ -73,18 +74,37 @@ def sentence_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, F.posexplode(pieces).alias("sentence_no", "sentence"))
 
 
-def mentioning(sentences: DataFrame, kind: str, least: int = 1) -> DataFrame:
-    """Sentences with at least ``least`` entities of the type."""
-    found = matches(F.col("sentence"), PATTERNS[kind])
-    return sentences.withColumn("entities", found).where(F.size("entities") >= least)
+def mentioning(sentences: DataFrame, kind: str, least: int = 1, entity: str | None = None) -> DataFrame:
+    """Sentences with at least ``least`` entities of the type, and with the named one if ``entity`` is given.
+
+    Names are of type ``NAME``: every capitalised word counts, listed or not.
+    """
+    found = matches(F.col("sentence"), PATTERNS.get(kind, NAME_WORD))
+    kept = sentences.withColumn("entities", found).where(F.size("entities") >= least)
+    return kept if entity is None else kept.where(F.array_contains("entities", entity))
 
 
 def entity_spans(sentences: DataFrame, kind: str) -> DataFrame:
-    """Token start and end (exclusive) of each distinct entity, at its first place in the sentence."""
-    each = mentioning(sentences, kind).withColumn("entity", F.explode(F.array_distinct("entities")))
-    before = F.expr("substring(sentence, 1, locate(entity, sentence) - 1)")
-    start = F.length(before) - F.length(F.replace(before, F.lit(" ")))
-    width = F.length("entity") - F.length(F.replace(F.col("entity"), F.lit(" "))) + 1
+    """Token start and end (exclusive) of every mention, one row each.
+
+    The text between mentions comes from a split at the same pattern; the
+    blanks in it and in the mentions before count the tokens.
+    """
+
+    def blanks(text: Column) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(" ")))
+
+    gaps = F.transform(F.split("sentence", PATTERNS.get(kind, NAME_WORD), -1), blanks)
+    inside = F.transform("entities", blanks)
+    each = mentioning(sentences, kind).select(
+        *sentences.columns, gaps.alias("_gaps"), inside.alias("_inside"), F.posexplode("entities").alias("_at", "entity")
+    )
+
+    def total(counts: Column) -> Column:
+        return F.aggregate(counts, F.lit(0), lambda a, n: a + n)
+
+    start = total(F.slice("_gaps", F.lit(1), F.col("_at") + 1)) + total(F.slice("_inside", F.lit(1), F.col("_at")))
+    width = blanks(F.col("entity")) + 1
     return each.select(
         *sentences.columns,
         "entity",

@@ -113,18 +113,19 @@ def drift_line(
 ) -> DataFrame:
     """Straight line in log price over the tail, with the mean head return as its slope.
 
-    Starts at the log price of the last head row; needs ``step`` and ``is_tail``.
+    Starts at the log price of the first tail row, where the offset is 0; needs
+    ``step`` and ``is_tail``.
     """
-    head = ~F.col("is_tail")
+    head, tail = ~F.col("is_tail"), F.col("is_tail")
     fitted = held_out.groupBy(*by).agg(
         F.avg(F.when(head, F.col(log_step))).alias("slope"),
-        F.max_by(F.log(F.col(price)), F.when(head, F.col("step"))).alias("_start"),
-        F.max(F.when(head, F.col("step"))).alias("_last"),
+        F.min_by(F.log(F.col(price)), F.when(tail, F.col("step"))).alias("_start"),
+        F.min(F.when(tail, F.col("step"))).alias("_first"),
     )
     return (
         lookup(held_out.where("is_tail"), fitted, by)
-        .withColumn("trend", F.col("_start") + F.col("slope") * (F.col("step") - F.col("_last")))
-        .drop("_start", "_last")
+        .withColumn("trend", F.col("_start") + F.col("slope") * (F.col("step") - F.col("_first")))
+        .drop("_start", "_first")
     )
 
 

@@ -256,7 +256,7 @@ def scaled_balance(spark, sf):
     return scale.fit_z_score(balance, ["balance"]).apply(balance).withColumn("balance", F.round("balance", 6))
 
 
-# Generated features: sums over each generated column keep the result small to compare.
+# Generated features, one row per line item.
 
 
 def _named(pick, joint):
@@ -267,20 +267,6 @@ def _product_sql(pick):
     return "*".join(pick)
 
 
-def _column_facts(df, columns):
-    """Mean of every generated column plus a per-row checksum, long form."""
-    names = df.columns
-    wide = df.agg(*[F.avg(c).alias(c) for c in names])
-    pairs = [F.struct(F.lit(c).alias("feature"), F.round(F.col(c), 4).alias("mean")) for c in names]
-    return wide.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*")
-
-
-def _facts_sql(columns: dict[str, str]) -> str:
-    wide = ", ".join(f'avg({e}) AS "{n}"' for n, e in columns.items())
-    rows = " UNION ALL ".join(f"""SELECT '{n}' AS feature, round("{n}", 4) AS mean FROM w""" for n in columns)
-    return f"{LINE_SQL}, w AS (SELECT {wide} FROM line) {rows}"
-
-
 def _picks(ways):
     return list(combinations_with_replacement(FEATURES, ways))
 
@@ -298,16 +284,22 @@ def two_way_products(spark, sf):
     return made.select("row_id", *[F.round(c, 6).alias(c) for c in made.columns if c != "row_id"])
 
 
-@query("E8", _facts_sql({_named(p, "_x_"): _product_sql(p) for p in _picks(3)}))
+def _rows_sql(columns: dict[str, str], digits: int) -> str:
+    return f"{LINE_SQL} SELECT row_id, " + ", ".join(f'round({e}, {digits}) AS "{n}"' for n, e in columns.items()) + " FROM line"
+
+
+def _rows(made, digits):
+    return made.select("row_id", *[F.round(c, digits).alias(c) for c in made.columns if c != "row_id"])
+
+
+@query("E8", _rows_sql({_named(p, "_x_"): _product_sql(p) for p in _picks(3)}, 6))
 def three_way_products(spark, sf):
-    made = line_items(spark, sf).select(*feat.products(FEATURES, 3))
-    return _column_facts(made, made.columns)
+    return _rows(line_items(spark, sf).select("row_id", *feat.products(FEATURES, 3)), 6)
 
 
-@query("E9", _facts_sql({_named(p, "_p_"): f"{p[0]}*{p[1]}+{p[2]}*{p[3]}" for p in _picks(4)}))
+@query("E9", _rows_sql({_named(p, "_p_"): f"{p[0]}*{p[1]}+{p[2]}*{p[3]}" for p in _picks(4)}, 6))
 def four_way_sums(spark, sf):
-    made = line_items(spark, sf).select(*feat.pair_sums(FEATURES))
-    return _column_facts(made, made.columns)
+    return _rows(line_items(spark, sf).select("row_id", *feat.pair_sums(FEATURES)), 6)
 
 
 @query(

@@ -357,30 +357,27 @@ def best_logged_run(spark, sf):
 
 
 TREE_FEATURES = ["quantity", "discount", "tax", "line"]
-
-
-def _three_folds(spark, sf):
-    return line_items(spark, sf).withColumn("fold", F.pmod("fold", F.lit(3)).cast("int"))
+BOOST_ROUNDS = 20
 
 
 @query("B1 F9")
 def boosted_out_of_fold(spark, sf):
-    rows = _three_folds(spark, sf).where("NOT is_test")
-    _, scored = learn.boosted_folds(rows, TREE_FEATURES, "target", "fold", 3, rounds=5, depth=3)
+    rows = line_items(spark, sf).where("NOT is_test")
+    _, scored = learn.boosted_folds(rows, TREE_FEATURES, "target", "fold", FOLDS, rounds=BOOST_ROUNDS)
     return scored.select("row_id", "fold", F.expm1("prediction").alias("prediction"))
 
 
 @query("B1 F10")
 def boosted_test_mean(spark, sf):
-    rows = _three_folds(spark, sf)
-    models, _ = learn.boosted_folds(rows.where("NOT is_test"), TREE_FEATURES, "target", "fold", 3, rounds=5, depth=3)
+    rows = line_items(spark, sf)
+    models, _ = learn.boosted_folds(rows.where("NOT is_test"), TREE_FEATURES, "target", "fold", FOLDS, rounds=BOOST_ROUNDS)
     scored = learn.mean_of_models(models, rows.where("is_test"), TREE_FEATURES, ["row_id"])
     return scored.withColumn("prediction", F.expm1("prediction"))
 
 
 def _early_stopped(spark, sf):
-    rows = _three_folds(spark, sf).withColumn("is_valid", F.col("fold") == 0)
-    return rows, learn.boosted_early_stop(rows.where("NOT is_test"), TREE_FEATURES, "target", "is_valid", rounds=8)
+    rows = line_items(spark, sf).withColumn("is_valid", F.col("fold") == 0)
+    return rows, learn.boosted_early_stop(rows.where("NOT is_test"), TREE_FEATURES, "target", "is_valid", rounds=BOOST_ROUNDS)
 
 
 @query("B5 K15")
@@ -399,8 +396,8 @@ def boosted_importances(spark, sf):
 
 @query("B6")
 def boosted_grid_search(spark, sf):
-    rows = _three_folds(spark, sf).where("NOT is_test").select(*TREE_FEATURES, "target", "fold")
-    found = learn.boosted_grid(rows, TREE_FEATURES, "target", "fold", 3, depths=[2, 3], rounds=[2, 4])
+    rows = line_items(spark, sf).where("NOT is_test").select(*TREE_FEATURES, "target", "fold")
+    found = learn.boosted_grid(rows, TREE_FEATURES, "target", "fold", FOLDS, depths=[2, 4], rounds=[5, 10])
     return tuning.ranked(found, "rmse", rising=True)
 
 

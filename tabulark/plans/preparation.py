@@ -57,9 +57,13 @@ def corpus_all_categories(spark, sf):
 
 @query(
     "S4",
-    f"""SELECT doc_id, md5(array_to_string(list_filter(string_split(text, chr(10)),
-        lambda l: NOT regexp_matches(l, '{files.UNWANTED_LINES}')), chr(10))) AS text_md5
-    FROM documents""",
+    """WITH h AS (SELECT doc_id, CASE WHEN regexp_matches(text, '^[A-Z][A-Za-z-]*: ') AND strpos(text, chr(10) || chr(10)) > 0
+            THEN substr(text, strpos(text, chr(10) || chr(10)) + 2) ELSE text END AS t FROM documents),
+    l AS (SELECT *, string_split(trim(t, ' ' || chr(9) || chr(10)), chr(10)) AS ls FROM h),
+    k AS (SELECT *, list_max(list_filter(range(1, len(ls) + 1), lambda i: regexp_full_match(ls[i], '[ \\t]*-*[ \\t]*'))) AS rule FROM l),
+    f AS (SELECT doc_id, CASE WHEN rule > 1 THEN ls[1:rule - 1] ELSE string_split(t, chr(10)) END AS ls FROM k)
+    SELECT doc_id, md5(array_to_string(list_filter(ls, lambda x: NOT regexp_matches(x,
+        '(writes in|writes:|wrote:|says:|said:|^In article|^Quoted from|^\\||^>)')), chr(10))) AS text_md5 FROM f""",
 )
 def corpus_cleaned(spark, sf):
     docs = files.cleaned_corpus(read_table(spark, sf, "documents"), "text")

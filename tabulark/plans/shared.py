@@ -68,8 +68,10 @@ def prediction_store(li: DataFrame) -> DataFrame:
     )
     rows = li.select("row_id", "line", "quantity", "discount")
     for model, col in models.items():
-        table = means.where(F.col("model") == model).select(F.col("key").alias(col), F.col("mean").alias(model))
-        rows = lookup(rows, table, [col], pinned=True)
+        # The key travels inside a struct, in which nulls are equal.
+        table = means.where(F.col("model") == model).select(F.struct("key").alias("_key"), F.col("mean").alias(model))
+        keyed = rows.withColumn("_key", F.struct(F.col(col).cast("double").alias("key")))
+        rows = lookup(keyed, table, ["_key"], pinned=True).drop("_key")
     return long_predictions(rows, ["row_id"], list(models))
 
 

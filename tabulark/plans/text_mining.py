@@ -242,7 +242,7 @@ def discriminative_terms(spark, sf):
 
 # Spark ML models on text: row and range checks only
 
-TOPIC_WORDS = 2_000
+TOPIC_WORDS = 10_000
 
 
 def topic_vectors(spark, sf):
@@ -290,13 +290,14 @@ def main_topics(spark, sf):
 
 # Entities
 
-NAMES = 100
+#: A capitalised word is a name from so many documents on.
+NAME_DOCUMENTS = 5
 
 
 def mentions(spark, sf):
     docs = documents(spark, sf)
     by_pattern = ent.pattern_entities(docs, ["doc_id"], "text", ent.PATTERNS)
-    names = pin(ent.frequent_names(docs, "text", NAMES))
+    names = pin(ent.frequent_names(docs, "text", NAME_DOCUMENTS))
     return by_pattern.unionByName(ent.listed_entities(docs, ["doc_id"], "text", names, "NAME"))
 
 
@@ -304,8 +305,8 @@ NAME_SQL = f"regexp_extract_all(text, '{ent.NAME_WORD}')"
 MENTION_SQL = (
     "WITH nm AS (SELECT doc_id, unnest("
     + NAME_SQL
-    + ") AS entity FROM documents), fr AS (SELECT entity FROM (SELECT entity, count(DISTINCT doc_id) AS df FROM nm GROUP BY entity) "
-    + f"ORDER BY df DESC, encode(entity) LIMIT {NAMES}), men AS ("
+    + ") AS entity FROM documents), fr AS (SELECT entity FROM nm GROUP BY entity "
+    + f"HAVING count(DISTINCT doc_id) >= {NAME_DOCUMENTS}), men AS ("
     + " UNION ALL ".join(
         f"SELECT doc_id, '{k}' AS type, unnest(regexp_extract_all(text, '{p}')) AS entity FROM documents"
         for k, p in ent.PATTERNS.items()
@@ -362,8 +363,10 @@ def sentences_with_several_numbers(spark, sf):
     )
 
 
-SPAN_SQL = SENTENCE_SQL + f""", em AS (SELECT DISTINCT doc_id, sentence_no, sentence, unnest(regexp_extract_all(sentence, '{ent.PATTERNS['PHONE']}')) AS entity FROM sen),
-    bf AS (SELECT *, substr(sentence, 1, strpos(sentence, entity) - 1) AS before FROM em),
+SPAN_SQL = SENTENCE_SQL + f""", al AS (SELECT *, regexp_extract_all(sentence, '{ent.PATTERNS['PHONE']}') AS es,
+        regexp_split_to_array(sentence, '{ent.PATTERNS['PHONE']}') AS gs FROM sen),
+    em AS (SELECT doc_id, sentence_no, sentence, gs, es, unnest(es) AS entity, generate_subscripts(es, 1) AS k FROM al),
+    bf AS (SELECT *, array_to_string(gs[1:k], '') || array_to_string(es[1:k-1], '') AS before FROM em),
     sp AS (SELECT doc_id, sentence_no, sentence, entity, length(before) - length(replace(before, ' ', '')) AS s,
         length(entity) - length(replace(entity, ' ', '')) + 1 AS wd FROM bf)"""
 

@@ -86,8 +86,10 @@ def tail_holdout(spark, sf):
 @query(
     "W11",
     TAIL_SQL
-    + """, h AS (SELECT user_id, avg(r) AS slope, max(step) AS last, ln(nullif(arg_max(value, step), 0)) AS start FROM c WHERE NOT is_tail GROUP BY user_id)
-    SELECT event_id, round(start + slope * (step - last), 6) AS trend FROM c JOIN h USING (user_id) WHERE is_tail""",
+    + """, h AS (SELECT user_id, avg(r) AS slope FROM c WHERE NOT is_tail GROUP BY user_id),
+    f AS (SELECT *, first_value(value) OVER w AS price, row_number() OVER w - 1 AS k FROM c WHERE is_tail
+        WINDOW w AS (PARTITION BY user_id ORDER BY step))
+    SELECT event_id, round(ln(nullif(price, 0)) + slope * k, 6) AS trend FROM f LEFT JOIN h USING (user_id)""",
 )
 def drift_trend(spark, sf):
     moved = series.log_return(prices(spark, sf), BY, ORDER, "value")

@@ -8,10 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulark.functions.text import stripped_lines
-
-# Lines that look like message headers, quoted text or a signature mark.
-UNWANTED_LINES = r"^(>|--|[A-Z][A-Za-z-]*: )"
+from tabulark.functions.text import without_footer, without_header, without_quotes
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -37,8 +34,9 @@ def load_corpus(docs: DataFrame, category: str, chosen: list[str]) -> DataFrame:
     return docs.where(F.col(category).isin(chosen)) if chosen else docs
 
 
-def cleaned_corpus(docs: DataFrame, text: str, unwanted: str = UNWANTED_LINES) -> DataFrame:
-    return docs.withColumn(text, stripped_lines(F.col(text), unwanted))
+def cleaned_corpus(docs: DataFrame, text: str) -> DataFrame:
+    """Messages without their header block, their footer block and quoted lines, in that order."""
+    return docs.withColumn(text, without_quotes(without_footer(without_header(F.col(text)))))
 
 
 def submission(ids: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
