@@ -84,21 +84,27 @@ def importances(spark, model, features: list[str]) -> DataFrame:
     )
 
 
-def binary_boosted(df: DataFrame, features: list[str], label: str, rounds: int = 10) -> DataFrame:
-    """Probability of class 1 from a boosted binary classifier."""
-    ready = assembled(df, features)
-    model = GBTClassifier(labelCol=label, maxIter=rounds, maxDepth=3, seed=42).fit(ready)
-    scored = model.transform(ready)
+def binary_boosted(
+    train: DataFrame, unseen: DataFrame, features: list[str], label: str, rounds: int = 20
+) -> DataFrame:
+    """Probability of class 1 for ``unseen`` rows, from a boosted classifier fitted on ``train``."""
+    model = GBTClassifier(labelCol=label, maxIter=rounds, maxDepth=3, seed=42).fit(assembled(train, features))
+    scored = model.transform(assembled(unseen, features))
     return scored.withColumn("score", vector_to_array("probability")[1]).drop(
         "features", "rawPrediction", "probability"
     )
 
 
-def forest_probabilities(df: DataFrame, vector: str, label: str, trees: int = 20) -> DataFrame:
-    """Class probabilities of a random forest on an array column."""
-    ready = df.withColumn("features", array_to_vector(F.col(vector).cast("array<double>")))
-    model = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=5, seed=42).fit(ready)
-    return model.transform(ready).withColumn("probabilities", vector_to_array("probability")).drop(
+def forest_probabilities(
+    train: DataFrame, unseen: DataFrame, vector: str, label: str, trees: int = 20
+) -> DataFrame:
+    """Class probabilities for ``unseen`` rows, from a random forest fitted on an array column of ``train``."""
+
+    def ready(df: DataFrame) -> DataFrame:
+        return df.withColumn("features", array_to_vector(F.col(vector).cast("array<double>")))
+
+    model = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=5, seed=42).fit(ready(train))
+    return model.transform(ready(unseen)).withColumn("probabilities", vector_to_array("probability")).drop(
         "features", "rawPrediction", "probability"
     )
 

@@ -2,6 +2,7 @@
 
 from tabulark.plans import (  # noqa: F401
     aggregation,
+    facts,
     lookups,
     modelling,
     preparation,

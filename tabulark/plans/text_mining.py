@@ -270,19 +270,19 @@ def reduced_documents(spark, sf):
 @query("T15")
 def topic_keywords(spark, sf):
     vectors, listed = topic_vectors(spark, sf)
-    return learn.topic_terms(learn.fit_topics(vectors, 10, rounds=5), listed, spark, 10)
+    return learn.topic_terms(learn.fit_topics(vectors, 10), listed, spark, 10)
 
 
 @query("T16")
 def topic_shares(spark, sf):
     vectors, _ = topic_vectors(spark, sf)
-    return learn.topic_mix(learn.fit_topics(vectors, 10, rounds=5), vectors, "doc_id")
+    return learn.topic_mix(learn.fit_topics(vectors, 10), vectors, "doc_id")
 
 
 @query("W3 P17")
 def main_topics(spark, sf):
     vectors, listed = topic_vectors(spark, sf)
-    model = learn.fit_topics(vectors, 10, rounds=5)
+    model = learn.fit_topics(vectors, 10)
     best = learn.main_topics(learn.topic_mix(model, vectors, "doc_id"), "doc_id", learn.topic_terms(model, listed, spark, 5))
     snippets = vectors.select("doc_id", F.array_join(F.slice("tokens", 1, 8), " ").alias("snippet"))
     return best.join(snippets, "doc_id")

@@ -43,10 +43,11 @@ def test_early_stop_curve_and_importances(spark, table):
 
 
 def test_classifiers_give_probabilities(table):
-    scored = learn.binary_boosted(table, ["a", "b"], "label", rounds=3)
+    scored = learn.binary_boosted(table, table, ["a", "b"], "label", rounds=3)
     assert scored.where("score < 0 OR score > 1").count() == 0
     assert learn.fold_accuracy(scored.withColumn("label", F.col("label").cast("double")), "label") > 0.95
-    forest = learn.forest_probabilities(table.select("id", F.array("a", "b").alias("v"), "label"), "v", "label", 5)
+    vectors = table.select("id", F.array("a", "b").alias("v"), "label")
+    forest = learn.forest_probabilities(vectors, vectors, "v", "label", 5)
     sums = forest.select(F.aggregate("probabilities", F.lit(0.0), lambda s, p: s + p).alias("s"))
     assert all(r["s"] == pytest.approx(1.0) for r in sums.collect())
 
