@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulark.llm.common import BLANKS, text_of
+from tabulark.llm.common import BLANKS, text_of, written
 
 
 def normalised(line: Column) -> Column:
@@ -60,13 +60,16 @@ def drop_common_lines(
         .where(F.col("_line").isNotNull())
         .select("_key", "_hash", "_pos", "_line.a", "_line.b")
     )
-    shared = (
+    # Written first, so that the join below shuffles both sides plainly and one
+    # line's rows may be split over tasks.
+    shared = written(
         found.groupBy("a", "b", "_key")
         .agg(F.first(F.lit(1)).alias("_one"))
         .groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("_n"), F.max(F.col("_key")).alias("_keep"))
         .where(F.col("_n") >= least_docs)
-        .select("a", "b", "_keep")
+        .select("a", "b", "_keep"),
+        "shared",
     )
     lost = (
         found.join(shared, ["a", "b"])

@@ -461,10 +461,15 @@ def drop_repeated_strings(
     rows = docs.select(F.coalesce(F.col(key).cast("long"), none).alias("doc"), mark.alias("mark"), full.alias("text"))
     runs = run_table(rows, window, anchor)
     short = F.shiftright("anchor", 32).cast("int")
-    often = runs.select(short.alias("short")).groupBy("short").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    again = written(runs.withColumn("short", short).join(often.select("short"), "short").drop("short"), "runs")
-
-    kinds = again.groupBy("anchor", "print").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "pack")).alias("at"))
+    # Small sides are written before they are joined: both sides of the join are
+    # then plain shuffles, and adaptive execution may split one anchor's rows.
+    counted = runs.select(short.alias("short")).groupBy("short").agg(F.count(F.lit(1)).alias("n"))
+    often = written(counted.where(F.col("n") > 1).select("short"), "often")
+    again = written(runs.withColumn("short", short).join(often, "short").drop("short"), "runs")
+    kinds = written(
+        again.groupBy("anchor", "print").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "pack")).alias("at")),
+        "kinds",
+    )
     differing = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("crowd")).where(F.col("crowd") > 1)
     place_mark = F.col("pack").bitwiseAND(F.lit(TEXT_MASK))
     start = F.shiftright("pack", 33)
