@@ -13,9 +13,10 @@ MOST_ROUNDS = 60
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node`` and ``component``, the smallest node reachable, for every node with a link.
 
-    Each round points every label at its smallest neighbour, follows the
-    pointers once more, and keeps the links between different labels. A path
-    halves per round, so the rounds grow with the logarithm of the longest one.
+    Each round points every label at its smallest neighbour, doubles the pointers
+    until all stand at a root, and keeps the links between different roots. At
+    least half of the labels with links go per round, and doubling follows a
+    path in logarithmically many steps.
     Every aggregate is a minimum, which meets before the shuffle, so a node
     with very many links is no burden. Lineage is cut after each round.
     """
@@ -27,8 +28,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if both.isEmpty():
             return labels
         near = pin(both.groupBy("u").agg(F.min("v").alias("p")).select("u", F.least("u", "p").alias("p")))
-        step = near.select(F.col("u").alias("_u"), F.col("p").alias("_p"))
-        jump = pin(near.join(step, F.col("p") == F.col("_u"), "left").select("u", F.coalesce("_p", "p").alias("p")))
+        jump = near
+        while True:
+            step = jump.select(F.col("u").alias("_u"), F.col("p").alias("_p"))
+            jump = pin(
+                jump.select("u", "p").join(step, F.col("p") == F.col("_u"), "left")
+                .select("u", F.coalesce("_p", "p").alias("p"), (F.coalesce("_p", "p") != F.col("p")).alias("moved"))
+            )
+            if jump.where("moved").isEmpty():
+                break
+        jump = jump.select("u", "p")
         to_u = jump.select(F.col("u"), F.col("p").alias("pu"))
         to_v = jump.select(F.col("u").alias("v"), F.col("p").alias("pv"))
         edges = pin(
