@@ -276,32 +276,33 @@ def _groups(facts: DataFrame, buckets: DataFrame, least: float, doubt: float, sm
     tried = pin(_ordered(low.union(high)))
     links = pin(verified(tried, facts, least, doubt))
     groups = components(links)
-    turn = 0
+    crowded = buckets.where(F.col("n") > small)
+    rounds, turn = not crowded.isEmpty(), 0
     while True:
         turn += 1
-        # Buckets that hold more than one group, each member with its group.
-        placed = buckets.join(groups.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
-            "bucket", "node", "n", F.coalesce("component", "node").alias("group")
+        # Buckets that hold more than one group, each member with its group; small ones only once.
+        placed = (
+            (buckets if turn == 1 else crowded)
+            .join(groups.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
+            .select("bucket", "node", "n", F.coalesce("component", "node").alias("group"))
         )
         mixed = placed.groupBy("bucket").agg(F.min("group").alias("g"), F.max("group").alias("h")).where(F.col("g") != F.col("h"))
         open_ = pin(placed.join(mixed.select("bucket"), "bucket"))
-        few = open_.where(F.col("n") <= small)
-        other = few.select("bucket", F.col("node").alias("b"), F.col("group").alias("other"))
-        across = few.join(other, "bucket").where((F.col("node") < F.col("b")) & (F.col("group") != F.col("other")))
         many = open_.where(F.col("n") > small)
         order = F.xxhash64(F.lit(turn), F.col("node"))
         leader = many.groupBy("bucket").agg(F.min_by(F.struct("node", "group"), order).alias("l"))
         led = many.join(leader, "bucket").where(F.col("group") != F.col("l.group"))
         fresh = led.select(F.col("node").alias("a"), F.col("l.node").alias("b"))
         if turn == 1:
+            few = open_.where(F.col("n") <= small)
+            other = few.select("bucket", F.col("node").alias("b"), F.col("group").alias("other"))
+            across = few.join(other, "bucket").where((F.col("node") < F.col("b")) & (F.col("group") != F.col("other")))
             fresh = fresh.union(across.select(F.col("node").alias("a"), "b"))
         fresh = pin(_ordered(fresh).join(tried, ["a", "b"], "left_anti"))
-        if fresh.isEmpty():
-            break
         more = pin(verified(fresh, facts, least, doubt))
-        tried = pin(tried.union(fresh))
         if more.isEmpty():
-            break
-        links = pin(links.union(more))
+            return groups
+        tried, links = tried.union(fresh), links.union(more)
         groups = components(links)
-    return groups
+        if not rounds:
+            return groups
