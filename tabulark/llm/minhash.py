@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +24,9 @@ ROWS = 4
 #: Pairs whose signatures agree on a smaller share are not verified. At the true
 #: similarity of 0.8 and 96 places this lies almost five deviations low.
 DOUBT = 0.6
-#: Buckets of at most so many members are settled pair by pair, larger ones by leaders.
+#: Buckets of at most so many members are settled pair by pair, larger ones by tiles.
 SMALL = 64
+TILE = 256
 CHUNK = 1 << 20
 PLACES = 64
 
@@ -223,11 +225,12 @@ def near_copies(
     word shingles is at least ``least``; groups are what links connect. Texts
     with the same words fold into one before anything is compared. Documents
     that share a band key meet in a bucket; each is verified against the
-    smallest, the largest and the next member, so a bucket of any size costs
-    three pairs a member. Buckets that still hold several groups are then
-    settled: small ones by all pairs across groups, larger ones by leaders drawn
-    anew until a round finds no link. Only keys, signatures of candidates and
-    shingles of plausible pairs are shuffled.
+    smallest and the largest member, so a bucket of any size costs two pairs a
+    member. Buckets that still hold several groups are then settled: small ones
+    by all pairs across groups, larger ones by tiles of signatures, from which
+    only plausible pairs of different groups leave, first the best of each
+    member, then all. Only keys, signatures of candidates and shingles of
+    plausible pairs are shuffled.
 
     Words are runs other than ASCII white space, lower-cased; a text with fewer
     than ``words`` of them is one shingle. Defined cases: a text that is null or
@@ -276,33 +279,71 @@ def _groups(facts: DataFrame, buckets: DataFrame, least: float, doubt: float, sm
     tried = pin(_ordered(low.union(high)))
     links = pin(verified(tried, facts, least, doubt))
     groups = components(links)
+    mixed = _mixed(buckets, groups)
+    few = mixed.where(F.col("n") <= small)
+    other = few.select("bucket", F.col("node").alias("b"), F.col("group").alias("other"))
+    across = few.join(other, "bucket").where((F.col("node") < F.col("b")) & (F.col("group") != F.col("other")))
+    fresh = pin(_ordered(across.select(F.col("node").alias("a"), "b")).join(tried, ["a", "b"], "left_anti"))
+    more = pin(verified(fresh, facts, least, doubt))
+    if not more.isEmpty():
+        links, groups = links.union(more), components(links.union(more))
     crowded = buckets.where(F.col("n") > small)
-    rounds, turn = not crowded.isEmpty(), 0
-    while True:
-        turn += 1
-        # Buckets that hold more than one group, each member with its group; small ones only once.
-        placed = (
-            (buckets if turn == 1 else crowded)
-            .join(groups.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
-            .select("bucket", "node", "n", F.coalesce("component", "node").alias("group"))
-        )
-        mixed = placed.groupBy("bucket").agg(F.min("group").alias("g"), F.max("group").alias("h")).where(F.col("g") != F.col("h"))
-        open_ = pin(placed.join(mixed.select("bucket"), "bucket"))
-        many = open_.where(F.col("n") > small)
-        order = F.xxhash64(F.lit(turn), F.col("node"))
-        leader = many.groupBy("bucket").agg(F.min_by(F.struct("node", "group"), order).alias("l"))
-        led = many.join(leader, "bucket").where(F.col("group") != F.col("l.group"))
-        fresh = led.select(F.col("node").alias("a"), F.col("l.node").alias("b"))
-        if turn == 1:
-            few = open_.where(F.col("n") <= small)
-            other = few.select("bucket", F.col("node").alias("b"), F.col("group").alias("other"))
-            across = few.join(other, "bucket").where((F.col("node") < F.col("b")) & (F.col("group") != F.col("other")))
-            fresh = fresh.union(across.select(F.col("node").alias("a"), "b"))
-        fresh = pin(_ordered(fresh).join(tried, ["a", "b"], "left_anti"))
-        more = pin(verified(fresh, facts, least, doubt))
-        if more.isEmpty():
-            return groups
-        tried, links = tried.union(fresh), links.union(more)
-        groups = components(links)
-        if not rounds:
-            return groups
+    if crowded.isEmpty():
+        return groups
+    for best in (2, None):
+        rest = _mixed(crowded, groups)
+        if rest.isEmpty():
+            break
+        more = pin(verified(_ordered(tile_pairs(rest, facts, doubt, best)), facts, least, doubt))
+        if not more.isEmpty():
+            links, groups = links.union(more), components(links.union(more))
+    return groups
+
+
+def _mixed(buckets: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one group, each with its group."""
+    placed = buckets.join(groups.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
+        "bucket", "node", "n", F.coalesce("component", "node").alias("group")
+    )
+    ends = placed.groupBy("bucket").agg(F.min("group").alias("g"), F.max("group").alias("h")).where(F.col("g") != F.col("h"))
+    return pin(placed.join(ends.select("bucket"), "bucket"))
+
+
+def tile_pairs(members: DataFrame, facts: DataFrame, doubt: float, best: int | None, tile: int = TILE) -> DataFrame:
+    """Plausible pairs of different groups of a bucket, by tiles of signatures.
+
+    A bucket is cut into parts of about ``tile`` members, and every two parts
+    meet in one task group. With ``best``, a member brings only its so many most
+    similar partners per other group of the tile; without, all plausible ones.
+    """
+    parts = F.ceil(F.col("n") / F.lit(tile)).cast("int")
+    cut = members.join(facts.select("node", "signature"), "node").withColumn("parts", parts)
+    cut = cut.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    tiles = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
+        "bucket", "node", "group", "signature", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")
+    )
+
+    def plausible(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("node")
+        signed = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(len(rows), -1)
+        node, group, part = (rows[c].to_numpy() for c in ("node", "group", "part"))
+        alone = rows["low"].iloc[0] == rows["high"].iloc[0]
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for i in range(len(rows)):
+            apart = (group != group[i]) & (alone | (part != part[i]))
+            near = np.flatnonzero(apart)
+            share = (signed[near] == signed[i]).mean(axis=1)
+            near, share = near[share >= doubt], share[share >= doubt]
+            if best is not None and len(near):
+                order = np.lexsort((-share, group[near]))
+                near = near[order]
+                first = np.r_[True, group[near][1:] != group[near][:-1]]
+                rank = np.arange(len(near)) - np.maximum.accumulate(np.where(first, np.arange(len(near)), 0))
+                near = near[rank < best]
+            else:
+                near = near[near > i]
+            out.append((np.full(len(near), node[i]), node[near]))
+        a, b = (np.concatenate([o[k] for o in out]) for k in (0, 1))
+        return pd.DataFrame({"a": a.astype(np.int64), "b": b.astype(np.int64)})
+
+    return tiles.groupBy("bucket", "low", "high").applyInPandas(plausible, "a long, b long")
