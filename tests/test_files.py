@@ -28,8 +28,8 @@ def test_empty_category_list_means_all(spark):
 
 
 def test_unwanted_lines_go(spark):
-    docs = spark.createDataFrame([("From: me\n> quoted\nkept text\n-- \nname",)], "t string")
-    assert files.cleaned_corpus(docs, "t").first()["t"] == "kept text\nname"
+    docs = spark.createDataFrame([("From: me\n\n> quoted\nkept text\n-- \nname",)], "t string")
+    assert files.cleaned_corpus(docs, "t").first()["t"] == "kept text"
 
 
 def test_prediction_store_reads_only_chosen_models(spark, tmp_path):
