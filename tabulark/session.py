@@ -61,6 +61,14 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+ROWS_PER_PART = 50_000
+
+
+def pin_small(df: DataFrame, rows: int) -> DataFrame:
+    """:func:`pin` for a table of at most about ``rows`` narrow rows, in as few files as that asks for."""
+    return pin(df.coalesce(max(1, min(shuffle_width(df.sparkSession), -(-rows // ROWS_PER_PART)))))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
