@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulark.session import pin
+from tabulark.session import pin, pin_small
 
 MOST_ROUNDS = 60
 
@@ -21,33 +21,38 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     with very many links is no burden. Lineage is cut after each round.
     """
     edges = pin(links.select(F.col(a).alias("u"), F.col(b).alias("v")).where(F.col("u") != F.col("v")).distinct())
+    # No later table has more rows than twice this.
+    rows = 2 * edges.count()
     nodes = edges.select("u").union(edges.select("v")).distinct()
-    labels = pin(nodes.select(F.col("u").alias("node"), F.col("u").alias("component")))
+    labels = pin_small(nodes.select(F.col("u").alias("node"), F.col("u").alias("component")), rows)
     for _ in range(MOST_ROUNDS):
         both = edges.union(edges.select(F.col("v"), F.col("u")))
         if both.isEmpty():
             return labels
-        near = pin(both.groupBy("u").agg(F.min("v").alias("p")).select("u", F.least("u", "p").alias("p")))
+        near = pin_small(both.groupBy("u").agg(F.min("v").alias("p")).select("u", F.least("u", "p").alias("p")), rows)
         jump = near
         while True:
             step = jump.select(F.col("u").alias("_u"), F.col("p").alias("_p"))
-            jump = pin(
+            jump = pin_small(
                 jump.select("u", "p").join(step, F.col("p") == F.col("_u"), "left")
-                .select("u", F.coalesce("_p", "p").alias("p"), (F.coalesce("_p", "p") != F.col("p")).alias("moved"))
+                .select("u", F.coalesce("_p", "p").alias("p"), (F.coalesce("_p", "p") != F.col("p")).alias("moved")),
+                rows,
             )
             if jump.where("moved").isEmpty():
                 break
         jump = jump.select("u", "p")
         to_u = jump.select(F.col("u"), F.col("p").alias("pu"))
         to_v = jump.select(F.col("u").alias("v"), F.col("p").alias("pv"))
-        edges = pin(
+        edges = pin_small(
             edges.join(to_u, "u").join(to_v, "v")
             .select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v"))
             .where(F.col("u") != F.col("v"))
-            .distinct()
+            .distinct(),
+            rows,
         )
-        labels = pin(
+        labels = pin_small(
             labels.join(jump.withColumnRenamed("u", "component"), "component", "left")
-            .select("node", F.coalesce("p", "component").alias("component"))
+            .select("node", F.coalesce("p", "component").alias("component")),
+            rows,
         )
     raise RuntimeError("components did not settle")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tabulark.llm.common import written
 from tabulark.llm.components import components
 from tabulark.operators.joins import lookup
-from tabulark.session import pin
+from tabulark.session import pin, pin_small
 
 WORDS = 5
 LEAST = 0.8
@@ -227,9 +227,9 @@ def near_copies(
     that share a band key meet in a bucket; each is verified against the
     smallest and the largest member, so a bucket of any size costs two pairs a
     member. Buckets that still hold several groups are then settled: small ones
-    by all pairs across groups, larger ones by tiles of signatures, from which
-    only plausible pairs of different groups leave, first the best of each
-    member, then all. Only keys, signatures of candidates and shingles of
+    by all pairs across groups, larger ones by tiles: first each member's best
+    partner by signature, then all plausible pairs of different groups, verified
+    inside the tile, which only links leave. Only keys, signatures of candidates and shingles of
     plausible pairs are shuffled.
 
     Words are runs other than ASCII white space, lower-cased; a text with fewer
@@ -253,7 +253,7 @@ def near_copies(
     buckets = written(members.join(shared, "bucket"), "buckets")
     # Only documents that share a bucket are ever compared; their ids are sent out if they are few.
     wanted = written(buckets.select("node").distinct(), "wanted")
-    full = able.select(F.col("id").alias("node"), "signature", "shingles", "counts")
+    full = able.select(F.col("id").alias("node"), "keys", "signature", "shingles", "counts")
     facts = written(lookup(full, wanted, ["node"], "left_semi", pinned=True).dropDuplicates(["node"]), "facts")
     groups = _groups(facts, buckets, least, doubt, small)
     group = (
@@ -276,10 +276,11 @@ def _groups(facts: DataFrame, buckets: DataFrame, least: float, doubt: float, sm
     """``node`` and ``component`` of every member that has a verified link."""
     low = buckets.select(F.col("low").alias("a"), F.col("node").alias("b"))
     high = buckets.where(F.col("n") > 2).select(F.col("node").alias("a"), F.col("high").alias("b"))
-    tried = pin(_ordered(low.union(high)))
+    rows = 2 * buckets.count()
+    tried = pin_small(_ordered(low.union(high)), rows)
     links = pin(verified(tried, facts, least, doubt))
     groups = components(links)
-    mixed = _mixed(buckets, groups)
+    mixed = _mixed(buckets, groups, rows)
     few = mixed.where(F.col("n") <= small)
     other = few.select("bucket", F.col("node").alias("b"), F.col("group").alias("other"))
     across = few.join(other, "bucket").where((F.col("node") < F.col("b")) & (F.col("group") != F.col("other")))
@@ -290,60 +291,106 @@ def _groups(facts: DataFrame, buckets: DataFrame, least: float, doubt: float, sm
     crowded = buckets.where(F.col("n") > small)
     if crowded.isEmpty():
         return groups
-    for best in (2, None):
-        rest = _mixed(crowded, groups)
-        if rest.isEmpty():
+    # Each member's best partner of another group, twice over its largest bucket: this unites what hangs together.
+    most = F.max_by(F.struct("bucket", "n", "low", "high"), F.struct("n", "bucket")).alias("b")
+    largest = pin_small(crowded.groupBy("node").agg(most).select("node", "b.*"), rows)
+    for _ in range(2):
+        rest = _mixed(largest, groups, rows)
+        pairs = _ordered(best_pairs(rest, facts, doubt))
+        more = pin(verified(pairs, facts, least, doubt))
+        if more.isEmpty():
             break
-        more = pin(verified(_ordered(tile_pairs(rest, facts, doubt, best)), facts, least, doubt))
-        if not more.isEmpty():
-            links, groups = links.union(more), components(links.union(more))
-    return groups
+        links, groups = links.union(more), components(links.union(more))
+    # What is left is verified pair by pair inside the tiles; only links leave them.
+    rest = _mixed(crowded, groups, rows)
+    more = pin(tile_links(rest, facts, least, doubt))
+    return groups if more.isEmpty() else components(links.union(more))
 
 
-def _mixed(buckets: DataFrame, groups: DataFrame) -> DataFrame:
+def _mixed(buckets: DataFrame, groups: DataFrame, rows: int) -> DataFrame:
     """Members of the buckets that hold more than one group, each with its group."""
     placed = buckets.join(groups.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
         "bucket", "node", "n", F.coalesce("component", "node").alias("group")
     )
     ends = placed.groupBy("bucket").agg(F.min("group").alias("g"), F.max("group").alias("h")).where(F.col("g") != F.col("h"))
-    return pin(placed.join(ends.select("bucket"), "bucket"))
-
+    return pin_small(placed.join(ends.select("bucket"), "bucket"), rows)
 
-def tile_pairs(members: DataFrame, facts: DataFrame, doubt: float, best: int | None, tile: int = TILE) -> DataFrame:
-    """Plausible pairs of different groups of a bucket, by tiles of signatures.
 
-    A bucket is cut into parts of about ``tile`` members, and every two parts
-    meet in one task group. With ``best``, a member brings only its so many most
-    similar partners per other group of the tile; without, all plausible ones.
-    """
-    parts = F.ceil(F.col("n") / F.lit(tile)).cast("int")
-    cut = members.join(facts.select("node", "signature"), "node").withColumn("parts", parts)
+def _tiles(members: DataFrame, facts: DataFrame, columns: list[str], tile: int) -> DataFrame:
+    """Every two parts of a bucket side by side; a part has about ``tile`` members."""
+    cut = members.join(facts.select("node", *columns), "node").withColumn("parts", F.ceil(F.col("n") / F.lit(tile)).cast("int"))
     cut = cut.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    tiles = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
-        "bucket", "node", "group", "signature", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")
+    return cut.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
+        "bucket", "node", "group", "part", *columns, F.least("part", "other").alias("lower"), F.greatest("part", "other").alias("upper")
     )
 
-    def plausible(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("node")
-        signed = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(len(rows), -1)
-        node, group, part = (rows[c].to_numpy() for c in ("node", "group", "part"))
-        alone = rows["low"].iloc[0] == rows["high"].iloc[0]
-        out: list[tuple[np.ndarray, np.ndarray]] = []
-        for i in range(len(rows)):
-            apart = (group != group[i]) & (alone | (part != part[i]))
-            near = np.flatnonzero(apart)
-            share = (signed[near] == signed[i]).mean(axis=1)
-            near, share = near[share >= doubt], share[share >= doubt]
-            if best is not None and len(near):
-                order = np.lexsort((-share, group[near]))
-                near = near[order]
-                first = np.r_[True, group[near][1:] != group[near][:-1]]
-                rank = np.arange(len(near)) - np.maximum.accumulate(np.where(first, np.arange(len(near)), 0))
-                near = near[rank < best]
-            else:
-                near = near[near > i]
-            out.append((np.full(len(near), node[i]), node[near]))
-        a, b = (np.concatenate([o[k] for o in out]) for k in (0, 1))
-        return pd.DataFrame({"a": a.astype(np.int64), "b": b.astype(np.int64)})
-
-    return tiles.groupBy("bucket", "low", "high").applyInPandas(plausible, "a long, b long")
+
+class _Tile:
+    """The members of two parts of a bucket, and how alike their signatures are."""
+
+    def __init__(self, rows: pd.DataFrame) -> None:
+        self.rows = rows.sort_values("node")
+        self.signed = np.frombuffer(b"".join(self.rows["signature"]), np.uint32).reshape(len(rows), -1)
+        self.node, self.group, self.part = (self.rows[c].to_numpy() for c in ("node", "group", "part"))
+        self.alone = rows["lower"].iloc[0] == rows["upper"].iloc[0]
+
+    def partners(self, i: int, doubt: float) -> tuple[np.ndarray, np.ndarray]:
+        apart = np.flatnonzero((self.group != self.group[i]) & (self.alone | (self.part != self.part[i])))
+        share = (self.signed[apart] == self.signed[i]).mean(axis=1)
+        return apart[share >= doubt], share[share >= doubt]
+
+
+def best_pairs(members: DataFrame, facts: DataFrame, doubt: float, tile: int = TILE) -> DataFrame:
+    """For each member the most similar one of another group in every tile, by signature."""
+
+    def best(rows: pd.DataFrame) -> pd.DataFrame:
+        t, out = _Tile(rows), []
+        for i in range(len(t.node)):
+            near, share = t.partners(i, doubt)
+            if len(near):
+                out.append((t.node[i], t.node[near[share.argmax()]]))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    tiles = _tiles(members, facts, ["signature"], tile)
+    return tiles.groupBy("bucket", "lower", "upper").applyInPandas(best, "a long, b long")
+
+
+def tile_links(members: DataFrame, facts: DataFrame, least: float, doubt: float, tile: int = TILE) -> DataFrame:
+    """Links between different groups of a bucket, as many as connect what is linked.
+
+    All plausible pairs are verified, the most similar first, but for those whose
+    groups a link of the tile has joined already. A pair that shares several
+    buckets is looked at in the first of them only.
+    """
+
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        t, bucket = _Tile(rows), rows["bucket"].iloc[0]
+        keys = np.array(t.rows["keys"].tolist(), np.int64)
+        sets = [np.frombuffer(x, np.uint32) for x in t.rows["shingles"]]
+        counts = [np.frombuffer(x, np.uint32).astype(np.int64) for x in t.rows["counts"]]
+        pairs: list[tuple[float, int, int]] = []
+        for i in range(len(t.node)):
+            near, share = t.partners(i, doubt)
+            near, share = near[near > i], share[near > i]
+            if len(near):
+                same = keys[near] == keys[i]
+                here = keys[i][same.argmax(axis=1)] == bucket
+                pairs.extend(zip((-share[here]).tolist(), [i] * int(here.sum()), near[here].tolist()))
+        top = {g: g for g in t.group.tolist()}
+
+        def root(g: int) -> int:
+            while top[g] != g:
+                top[g] = top[top[g]]
+                g = top[g]
+            return g
+
+        out = []
+        for _, i, j in sorted(pairs):
+            g, h = root(int(t.group[i])), root(int(t.group[j]))
+            if g != h and probability_jaccard(sets[i], counts[i], sets[j], counts[j]) >= least:
+                top[h] = g
+                out.append((t.node[i], t.node[j]))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    tiles = _tiles(members, facts, ["signature", "keys", "shingles", "counts"], tile)
+    return tiles.groupBy("bucket", "lower", "upper").applyInPandas(links, "a long, b long")
