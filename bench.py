@@ -40,6 +40,9 @@ HEADLINE = [
     "bag_of_words",
     "entity_counts",
     "sliding_statistics",
+    "boosted_out_of_fold",
+    "topic_keywords",
+    "kmeans_fit",
 ]
 
 

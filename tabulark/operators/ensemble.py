@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,14 +26,16 @@ def bound_columns(parts: list[DataFrame], key: list[str]) -> DataFrame:
     return reduce(lambda a, b: a.join(b, key), parts)
 
 
-def blend(long: DataFrame, key: list[str], weights: dict[str, float]) -> DataFrame:
-    """Weighted mean of the models per row."""
-    weight = F.coalesce(*[F.when(F.col("model") == m, F.lit(w)) for m, w in weights.items()])
-    return long.where(F.col("model").isin(list(weights))).groupBy(*key).agg(
-        (F.sum(weight * F.col("pred")) / F.sum(weight)).alias("pred")
-    )
+def _total(columns: list[Column]) -> Column:
+    return reduce(lambda a, b: a + b, columns)
+
+
+def blend(wide: DataFrame, key: list[str], weights: dict[str, float]) -> DataFrame:
+    """Weighted mean of the model columns; a projection."""
+    weighted = _total([F.lit(w) * F.col(m) for m, w in weights.items()])
+    return wide.select(*key, (weighted / sum(weights.values())).alias("pred"))
 
 
-def log_blend(long: DataFrame, key: list[str]) -> DataFrame:
-    """Mean in log space, back in the original unit."""
-    return long.groupBy(*key).agg(F.expm1(F.avg(F.log1p("pred"))).alias("pred"))
+def log_blend(wide: DataFrame, key: list[str], models: list[str]) -> DataFrame:
+    """Mean of the model columns in log space, back in the original unit; a projection."""
+    return wide.select(*key, F.expm1(_total([F.log1p(m) for m in models]) / len(models)).alias("pred"))

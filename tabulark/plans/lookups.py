@@ -21,7 +21,7 @@ from tabulark.plans.preparation import STORE_SQL
 from tabulark.plans.sqlbits import ROW_ID, bucket32
 from tabulark.plans.sqlbits import digest as digest_sql
 from tabulark.plans.sqlbits import tidy as tidy_sql
-from tabulark.session import read_table
+from tabulark.session import pin, read_table
 
 # Joins and lookups
 
@@ -83,7 +83,7 @@ def rows_outside_key_set(spark, sf):
     + " FROM m",
 )
 def bound_prediction_columns(spark, sf):
-    long = prediction_store(line_items(spark, sf))
+    long = pin(prediction_store(line_items(spark, sf)))
     models = ["by_line", "by_quantity", "by_discount"]
     parts = [
         long.where(F.col("model") == m).select("row_id", tidy(F.col("pred"), 4).alias(m)) for m in models

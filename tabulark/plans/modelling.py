@@ -10,7 +10,7 @@ from tabulark.operators import ensemble, learn, linear, metrics, tuning
 from tabulark.operators.scale import LinearScale
 from tabulark.plans.preparation import STORE_SQL
 from tabulark.plans.registry import query
-from tabulark.plans.shared import FEATURES, FOLDS, LINE_SQL, line_items, prediction_store
+from tabulark.plans.shared import FEATURES, FOLDS, LINE_SQL, line_items, wide_store
 from tabulark.plans.sqlbits import moment_sums, others, ridge_solution, total_of
 from tabulark.plans.sqlbits import tidy as tidy_sql
 from tabulark.session import fresh_folder, pin, read_table
@@ -278,7 +278,7 @@ WEIGHTS = {"by_line": 0.5, "by_quantity": 0.3, "by_discount": 0.2}
     STORE_SQL + f" SELECT row_id, {tidy_sql('0.5::DOUBLE*by_line + 0.3::DOUBLE*by_quantity + 0.2::DOUBLE*by_discount', 4)} AS pred FROM m",
 )
 def weighted_blend(spark, sf):
-    blended = ensemble.blend(prediction_store(line_items(spark, sf)), ["row_id"], WEIGHTS)
+    blended = ensemble.blend(wide_store(line_items(spark, sf)), ["row_id"], WEIGHTS)
     return blended.withColumn("pred", tidy(F.col("pred"), 4))
 
 
@@ -288,7 +288,7 @@ def weighted_blend(spark, sf):
     + " SELECT row_id, round(exp((ln(1+by_line) + ln(1+by_quantity) + ln(1+by_discount)) / 3) - 1, 4) AS pred FROM m",
 )
 def log_space_blend(spark, sf):
-    blended = ensemble.log_blend(prediction_store(line_items(spark, sf)), ["row_id"])
+    blended = ensemble.log_blend(wide_store(line_items(spark, sf)), ["row_id"], MODELS)
     return blended.withColumn("pred", F.round("pred", 4))
 
 
@@ -311,9 +311,7 @@ def ridge_stack(spark, sf):
     Everything is moved near zero first: the predictions differ little from
     each other, and their squares would drown the differences.
     """
-    li = line_items(spark, sf)
-    wide = ensemble.wide_predictions(prediction_store(li), ["row_id"], MODELS)
-    joined = wide.join(li.select("row_id", "price"), "row_id").withColumn("one", F.lit(0))
+    joined = wide_store(line_items(spark, sf)).withColumn("one", F.lit(0))
     near = pin(joined.withColumns({c: F.col(c) - CENTER for c in [*MODELS, "price"]}))
     model = linear.fit_ridge(linear.moments_by_fold(near, MODELS, "price", "one")[0])
     return near.select("row_id", F.round(model.column() + CENTER, 2).alias("pred"))
@@ -327,8 +325,7 @@ def ridge_stack(spark, sf):
         round(sqrt(avg((ln(1+y)-ln(1+pred))*(ln(1+y)-ln(1+pred)))), 8) AS rmsle, count(*) AS n FROM l GROUP BY model""",
 )
 def model_errors(spark, sf):
-    li = line_items(spark, sf)
-    scored = prediction_store(li).join(li.select("row_id", "price"), "row_id")
+    scored = ensemble.long_predictions(wide_store(line_items(spark, sf)), ["price"], MODELS)
     table = metrics.regression_errors(scored, "price", "pred", ["model"])
     return table.select("model", F.round("rmse", 4).alias("rmse"), F.round("rmsle", 8).alias("rmsle"), "n")
 
@@ -343,8 +340,7 @@ def model_errors(spark, sf):
 )
 def best_logged_run(spark, sf):
     """Every model's error is appended to a run log; the best run is read back from it."""
-    li = line_items(spark, sf)
-    scored = prediction_store(li).join(li.select("row_id", "price"), "row_id")
+    scored = ensemble.long_predictions(wide_store(line_items(spark, sf)), ["price"], MODELS)
     errors = metrics.regression_errors(scored, "price", "pred", ["model"]).collect()
     path = fresh_folder(spark, "runs")
     for row in errors:

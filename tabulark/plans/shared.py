@@ -51,8 +51,8 @@ LINE_SQL = f"""WITH line AS (SELECT *, {sqlbits.bucket32('row_id', 'holdout')} %
         l_linenumber::DOUBLE AS line, l_extendedprice AS price FROM lineitem))"""
 
 
-def prediction_store(li: DataFrame) -> DataFrame:
-    """Three simple models in long form: group means by line number, quantity and discount.
+def wide_store(li: DataFrame) -> DataFrame:
+    """Row, price and one column per model: group means by line number, quantity and discount.
 
     One pass gives the means of all three. They are joined back under a size
     check, so a frequent value never pulls its rows into one window.
@@ -66,13 +66,18 @@ def prediction_store(li: DataFrame) -> DataFrame:
         .groupBy("_c.model", "_c.key")
         .agg(F.avg("price").alias("mean"))
     )
-    rows = li.select("row_id", "line", "quantity", "discount")
+    rows = li.select("row_id", "price", "line", "quantity", "discount")
     for model, col in models.items():
         # The key travels inside a struct, in which nulls are equal.
         table = means.where(F.col("model") == model).select(F.struct("key").alias("_key"), F.col("mean").alias(model))
         keyed = rows.withColumn("_key", F.struct(F.col(col).cast("double").alias("key")))
         rows = lookup(keyed, table, ["_key"], pinned=True).drop("_key")
-    return long_predictions(rows, ["row_id"], list(models))
+    return rows.select("row_id", "price", *models)
+
+
+def prediction_store(li: DataFrame) -> DataFrame:
+    """The three models of :func:`wide_store` in long form, as they are stored."""
+    return long_predictions(wide_store(li), ["row_id"], ["by_line", "by_quantity", "by_discount"])
 
 
 CENTER_SQL = """WITH flat AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i

@@ -94,8 +94,9 @@ def test_unseen_category_gives_zeros(spark):
 
 def test_blends(spark):
     long = spark.createDataFrame([(1, "a", 2.0), (1, "b", 4.0)], "id int, model string, pred double")
-    assert ensemble.blend(long, ["id"], {"a": 3.0, "b": 1.0}).first()["pred"] == pytest.approx(2.5)
-    assert ensemble.log_blend(long, ["id"]).first()["pred"] == pytest.approx(np.sqrt(15) - 1)
+    wide = ensemble.wide_predictions(long, ["id"], ["a", "b"])
+    assert ensemble.blend(wide, ["id"], {"a": 3.0, "b": 1.0}).first()["pred"] == pytest.approx(2.5)
+    assert ensemble.log_blend(wide, ["id"], ["a", "b"]).first()["pred"] == pytest.approx(np.sqrt(15) - 1)
     wide = ensemble.wide_predictions(long, ["id"], ["a", "b"])
     assert ensemble.long_predictions(wide, ["id"], ["a", "b"]).orderBy("model").collect() == long.orderBy("model").collect()
 
