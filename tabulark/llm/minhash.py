@@ -9,7 +9,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulark.llm.common import written
@@ -218,6 +218,7 @@ def near_copies(
     rows: int = ROWS,
     doubt: float = DOUBT,
     small: int = SMALL,
+    tile: int = TILE,
 ) -> DataFrame:
     """Per document its key, ``group_id`` (smallest key of its group) and ``kept`` (it has that key).
 
@@ -255,7 +256,7 @@ def near_copies(
     wanted = written(buckets.select("node").distinct(), "wanted")
     full = able.select(F.col("id").alias("node"), "keys", "signature", "shingles", "counts")
     facts = written(lookup(full, wanted, ["node"], "left_semi", pinned=True).dropDuplicates(["node"]), "facts")
-    groups = _groups(facts, buckets, least, doubt, small)
+    groups = _groups(facts, buckets, least, doubt, small, tile)
     group = (
         firsts.join(groups.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
         .select("print_a", "print_b", F.coalesce("component", "node").alias("_group"))
@@ -272,7 +273,9 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where(F.col("a") != F.col("b")).distinct()
 
 
-def _groups(facts: DataFrame, buckets: DataFrame, least: float, doubt: float, small: int) -> DataFrame:
+def _groups(
+    facts: DataFrame, buckets: DataFrame, least: float, doubt: float, small: int, tile: int
+) -> DataFrame:
     """``node`` and ``component`` of every member that has a verified link."""
     low = buckets.select(F.col("low").alias("a"), F.col("node").alias("b"))
     high = buckets.where(F.col("n") > 2).select(F.col("node").alias("a"), F.col("high").alias("b"))
@@ -296,14 +299,14 @@ def _groups(facts: DataFrame, buckets: DataFrame, least: float, doubt: float, sm
     largest = pin_small(crowded.groupBy("node").agg(most).select("node", "b.*"), rows)
     for _ in range(2):
         rest = _mixed(largest, groups, rows)
-        pairs = _ordered(best_pairs(rest, facts, doubt))
+        pairs = _ordered(best_pairs(rest, facts, doubt, tile))
         more = pin(verified(pairs, facts, least, doubt))
         if more.isEmpty():
             break
         links, groups = links.union(more), components(links.union(more))
     # What is left is verified pair by pair inside the tiles; only links leave them.
     rest = _mixed(crowded, groups, rows)
-    more = pin(tile_links(rest, facts, least, doubt))
+    more = pin(tile_links(rest, facts, least, doubt, tile))
     return groups if more.isEmpty() else components(links.union(more))
 
 
@@ -317,12 +320,33 @@ def _mixed(buckets: DataFrame, groups: DataFrame, rows: int) -> DataFrame:
 
 
 def _tiles(members: DataFrame, facts: DataFrame, columns: list[str], tile: int) -> DataFrame:
-    """Every two parts of a bucket side by side; a part has about ``tile`` members."""
-    cut = members.join(facts.select("node", *columns), "node").withColumn("parts", F.ceil(F.col("n") / F.lit(tile)).cast("int"))
-    cut = cut.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    return cut.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
-        "bucket", "node", "group", "part", *columns, F.least("part", "other").alias("lower"), F.greatest("part", "other").alias("upper")
+    """Task groups in which every two members of different groups of a bucket meet once.
+
+    A bucket's largest group needs no look inside. Its members are dealt to
+    parts of about ``tile`` once per part of the rest, and the parts of the rest
+    meet each other; so what travels grows with the rest, not with the square
+    of the bucket.
+    """
+    sizes = members.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("c"))
+    largest = sizes.groupBy("bucket").agg(
+        F.max_by("group", F.struct("c", "group")).alias("main"),
+        F.ceil(F.max("c") / F.lit(tile)).cast("int").alias("main_parts"),
+        F.ceil((F.sum("c") - F.max("c")) / F.lit(tile)).cast("int").alias("rest_parts"),
     )
+    each = members.join(largest, "bucket").join(facts.select("node", *columns), "node")
+    draw, parts = F.xxhash64("node"), F.col("rest_parts")
+    rest = each.where(F.col("group") != F.col("main")).withColumn("own", F.pmod(draw, parts).cast("int"))
+    main = each.where(F.col("group") == F.col("main")).withColumn("own", F.pmod(draw, F.col("main_parts")).cast("int"))
+    kept = ["bucket", "node", "group", *columns]
+
+    def placed(df: DataFrame, upto: str, lower: Column, upper: Column, part: Column) -> DataFrame:
+        dealt = df.select(*kept, "own", F.explode(F.sequence(F.lit(0), F.col(upto) - 1)).alias("other"))
+        return dealt.select(*kept, lower.alias("lower"), upper.alias("upper"), part.alias("part"))
+
+    own, other = F.col("own"), F.col("other")
+    inside = placed(rest, "rest_parts", F.least(own, other), F.greatest(own, other), own)
+    across = placed(rest, "main_parts", -1 - own, other, -1 - own)
+    return inside.unionByName(across).unionByName(placed(main, "rest_parts", -1 - other, own, own))
 
 
 class _Tile:
@@ -340,7 +364,7 @@ class _Tile:
         return apart[share >= doubt], share[share >= doubt]
 
 
-def best_pairs(members: DataFrame, facts: DataFrame, doubt: float, tile: int = TILE) -> DataFrame:
+def best_pairs(members: DataFrame, facts: DataFrame, doubt: float, tile: int) -> DataFrame:
     """For each member the most similar one of another group in every tile, by signature."""
 
     def best(rows: pd.DataFrame) -> pd.DataFrame:
@@ -355,7 +379,7 @@ def best_pairs(members: DataFrame, facts: DataFrame, doubt: float, tile: int = T
     return tiles.groupBy("bucket", "lower", "upper").applyInPandas(best, "a long, b long")
 
 
-def tile_links(members: DataFrame, facts: DataFrame, least: float, doubt: float, tile: int = TILE) -> DataFrame:
+def tile_links(members: DataFrame, facts: DataFrame, least: float, doubt: float, tile: int) -> DataFrame:
     """Links between different groups of a bucket, as many as connect what is linked.
 
     All plausible pairs are verified, the most similar first, but for those whose

@@ -74,10 +74,10 @@ def test_a_chain_of_edits_is_one_group(spark):
     assert found(M.near_copies(documents(spark, rows))) == brute(rows)
 
 
-def test_large_buckets_are_settled_by_leaders(spark):
+def test_large_buckets_are_settled_by_tiles(spark):
     base = words(300)
     rows = [(i, edited(base, i, 2 + i % 12)) for i in range(70)]
-    assert found(M.near_copies(documents(spark, rows), small=4)) == brute(rows)
+    assert found(M.near_copies(documents(spark, rows), small=4, tile=9)) == brute(rows)
 
 
 def test_signatures_estimate_probability_jaccard():
