@@ -65,8 +65,14 @@ ROWS_PER_PART = 50_000
 
 
 def pin_small(df: DataFrame, rows: int) -> DataFrame:
-    """:func:`pin` for a table of at most about ``rows`` narrow rows, in as few files as that asks for."""
-    return pin(df.coalesce(max(1, min(shuffle_width(df.sparkSession), -(-rows // ROWS_PER_PART)))))
+    """:func:`pin` for a table of at most about ``rows`` narrow rows, in as few files as that asks for.
+
+    One that fits a single file says so to the planner, which then groups and
+    joins it without any shuffle.
+    """
+    parts = max(1, min(shuffle_width(df.sparkSession), -(-rows // ROWS_PER_PART)))
+    pinned = pin(df.coalesce(parts))
+    return pinned.coalesce(1) if parts == 1 else pinned
 
 
 def shuffle_width(spark: SparkSession) -> int:
