@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulark.session import pin, pin_small
+from tabulark.session import ROWS_PER_PART, pin, pin_small
 
 MOST_ROUNDS = 60
 
@@ -23,6 +23,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = pin(links.select(F.col(a).alias("u"), F.col(b).alias("v")).where(F.col("u") != F.col("v")).distinct())
     # No later table has more rows than twice this.
     rows = 2 * edges.count()
+    if rows <= ROWS_PER_PART:
+        edges = edges.coalesce(1)
     nodes = edges.select("u").union(edges.select("v")).distinct()
     labels = pin_small(nodes.select(F.col("u").alias("node"), F.col("u").alias("component")), rows)
     for _ in range(MOST_ROUNDS):
