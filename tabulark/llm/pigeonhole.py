@@ -52,16 +52,21 @@ def candidates(x: np.ndarray, y: np.ndarray, budget: float, block: int = BLOCK)
 
 
 def settled(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Smallest index reachable over the pairs (i, j), given what ``root`` knows already."""
+    """Smallest index reachable over the pairs (i, j) and the pairs (k, root[k]) known already.
+
+    What is known goes on as links: a root that hooks onto two lower ones takes
+    the smaller, and the link to the other is looked at again in the next round.
+    """
+    known = np.flatnonzero(root != np.arange(len(root)))
+    i, j = np.concatenate([i, known]), np.concatenate([j, root[known]])
     while True:
+        while (root[root] != root).any():
+            root = root[root]
         low = np.minimum(root[i], root[j])
         if not ((root[i] != low) | (root[j] != low)).any():
             return root
         np.minimum.at(root, root[i], low)
         np.minimum.at(root, root[j], low)
-        np.minimum.at(root, i, low)
-        np.minimum.at(root, j, low)
-        root = root[root]
 
 
 def tile_links(rows: pd.DataFrame, least: float) -> pd.DataFrame:

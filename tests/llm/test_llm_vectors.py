@@ -118,6 +118,32 @@ def test_near_vectors(spark, widths):
     assert sorted((tuple(r) for r in got), key=str) == linked_brute(rows)
 
 
+def test_links_of_earlier_strips_hold():
+    root = np.arange(8)
+    strips = [[(1, 7), (2, 5), (3, 4), (3, 6)], [(4, 5), (6, 7)]]
+    for pairs in strips:
+        i, j = np.array(pairs).T
+        root = pigeonhole.settled(root, i, j)
+    assert root.tolist() == [0, 1, 1, 1, 1, 1, 1, 1]
+
+
+def test_a_chain_over_several_strips_is_one_component(spark):
+    draw = np.random.default_rng(6)
+    n, width, angle = 1800, 32, 0.36
+    walk = [draw.standard_normal(width)]
+    walk[0] /= np.linalg.norm(walk[0])
+    while len(walk) < n:
+        side = draw.standard_normal(width)
+        side -= (side @ walk[-1]) * walk[-1]
+        walk.append(math.cos(angle) * walk[-1] + math.sin(angle) * side / np.linalg.norm(side))
+    keys = draw.permutation(n) + 100
+    rows = [(int(k), v.astype("f4").tolist(), 0) for k, v in zip(keys, walk)]
+    assert all(cosine(a[1], b[1]) >= 0.93 for a, b in zip(rows, rows[1:]))
+    got = pigeonhole.near_vectors(table(spark, rows)).collect()
+    assert len(got) == n and {r["component_id"] for r in got} == {100}
+    assert [r["vec_id"] for r in got if r["kept"]] == [100]
+
+
 def test_near_vectors_empty(spark):
     assert pigeonhole.near_vectors(table(spark, [])).count() == 0
 
