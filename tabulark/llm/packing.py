@@ -9,6 +9,7 @@ a subset-sum program over the waiting lengths fills window after window.
 from __future__ import annotations
 
 import base64
+import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -23,6 +24,10 @@ WINDOW = 1024
 POOL = 16_384
 SEQUENCE_BITS = 36
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: White-space runs from this length on are cut out before the pattern sees them, whose
+#: look-ahead keeps a stack as long as the run. The class is the pattern's own white space.
+LONG_RUN = 10_000
+WHITE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 @cache
@@ -32,6 +37,10 @@ def byte_pair_encoder(vocabulary: str = VOCABULARY) -> Callable[[str], list[int]
     The rank file is the same vocabulary as the ``tokenizers`` file of that
     name and gives the same ids several times faster; a test holds them equal.
     ``vocabulary`` is a public file name or a path.
+
+    A text may hold white-space runs of any length. The pattern takes a run as
+    one piece, without its last character if something else follows: a long run
+    is cut at these two places, and its piece goes to the merges directly.
     """
     import public_tokenizers
     import tiktoken
@@ -40,7 +49,20 @@ def byte_pair_encoder(vocabulary: str = VOCABULARY) -> Callable[[str], list[int]
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     coder = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return coder.encode_ordinary
+    long_run = re.compile(f"{WHITE}(?<!{WHITE}{WHITE}){WHITE}{{{LONG_RUN - 1},}}")
+
+    def encode(text: str) -> list[int]:
+        if len(text) < LONG_RUN:
+            return coder.encode_ordinary(text)
+        ids, at = [], 0
+        for run in long_run.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            ids += coder.encode_ordinary(text[at : run.start()])
+            ids += coder._encode_single_piece(text[run.start() : end])
+            at = end
+        return ids + coder.encode_ordinary(text[at:])
+
+    return encode
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -144,7 +166,7 @@ def pack_documents(
     bin slack; the pool of ``pool`` pieces bounds the memory of a task, not the
     input. At most one sequence per partition stays short of the window.
 
-    Defined cases: a null text counts as empty and is the end id alone; null
+    Defined cases: white-space runs may have any length; a null text counts as empty and is the end id alone; null
     and repeated keys pass through, each row is a document of its own; other
     columns are ignored, whatever their names; an empty table gives no rows.
     """

@@ -54,6 +54,13 @@ def test_ids_are_those_of_the_tokenizers_file(slow, text):
     assert byte_pair_encoder()(text) == slow(text)
 
 
+@pytest.mark.parametrize("run", [" " * 2_000_000, "\n" * 2_000_000, "\u3000 \t" * 5000, " " * 10_000, " " * 9_999, "\x1c" * 20_000])
+def test_white_space_runs_of_any_length(slow, run):
+    coder = byte_pair_encoder()
+    for text in (run, run + "x", "a b" + run + "'s", "x" + run + "é  " + run + "\x1c", run[:-1] + "\n7 "):
+        assert coder(text) == slow(text)
+
+
 def test_pieces_are_the_documents(spark, slow):
     rows = awkward(4000) + [(i, words(i % 700, i)) for i in range(100, 400)] + [(500, "<|endoftext|> don't  stop\n\n ")]
     found = pack_documents(documents(spark, rows).repartition(3), pool=64).collect()
