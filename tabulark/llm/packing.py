@@ -24,6 +24,8 @@ WINDOW = 1024
 POOL = 16_384
 SEQUENCE_BITS = 36
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: The one added token of the ``tokenizers`` file, which the rank file does not hold.
+ADDED, ADDED_ID = "<|endoftext|>", 50256
 #: White-space runs from this length on are cut out before the pattern sees them, whose
 #: look-ahead keeps a stack as long as the run. The class is the pattern's own white space.
 LONG_RUN = 10_000
@@ -31,8 +33,11 @@ WHITE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 @cache
-def byte_pair_encoder(vocabulary: str = VOCABULARY) -> Callable[[str], list[int]]:
-    """Token ids of the public byte-level vocabulary; special strings in a text are plain text.
+def byte_pair_encoder(vocabulary: str = VOCABULARY, added: bool = False) -> Callable[[str], list[int]]:
+    """Token ids of the public byte-level vocabulary.
+
+    With ``added``, the added token in a text has its own id, as ``tokenizers``
+    gives by default; else it is plain text.
 
     The rank file is the same vocabulary as the ``tokenizers`` file of that
     name and gives the same ids several times faster; a test holds them equal.
@@ -51,7 +56,7 @@ def byte_pair_encoder(vocabulary: str = VOCABULARY) -> Callable[[str], list[int]
     coder = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     long_run = re.compile(f"{WHITE}(?<!{WHITE}{WHITE}){WHITE}{{{LONG_RUN - 1},}}")
 
-    def encode(text: str) -> list[int]:
+    def plain(text: str) -> list[int]:
         if len(text) < LONG_RUN:
             return coder.encode_ordinary(text)
         ids, at = [], 0
@@ -62,7 +67,17 @@ def byte_pair_encoder(vocabulary: str = VOCABULARY) -> Callable[[str], list[int]
             at = end
         return ids + coder.encode_ordinary(text[at:])
 
-    return encode
+    def encode(text: str) -> list[int]:
+        if ADDED not in text:
+            return plain(text)
+        first, *rest = text.split(ADDED)
+        ids = plain(first)
+        for part in rest:
+            ids.append(ADDED_ID)
+            ids += plain(part)
+        return ids
+
+    return encode if added else plain
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -154,13 +169,15 @@ def pack_documents(
     end_id: int = 0,
     vocabulary: str = VOCABULARY,
     pool: int = POOL,
+    added: bool = False,
 ) -> DataFrame:
     """Pieces of documents packed into sequences of at most ``window`` tokens.
 
     One row per piece: the key, ``start`` (its document's ids before it),
     ``length``, ``ids`` (little-endian unsigned 32-bit), ``doc_tokens`` (with
     the end id), ``sequence_id`` and ``offset`` in that sequence. A document is
-    its token ids and ``end_id``; every id lies in exactly one piece.
+    its token ids and ``end_id``; every id lies in exactly one piece. ``added``
+    is that of the encoder.
 
     Every full window of a document is a sequence. Rests are packed by minimum
     bin slack; the pool of ``pool`` pieces bounds the memory of a task, not the
@@ -178,7 +195,7 @@ def pack_documents(
     ]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = byte_pair_encoder(vocabulary)
+        encode = byte_pair_encoder(vocabulary, added)
         packer = Packer(window, TaskContext.get().partitionId() << SEQUENCE_BITS)
         end = np.array([end_id], "<u4").tobytes()
         kinds = None

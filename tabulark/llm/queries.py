@@ -26,7 +26,7 @@ def query(sql: str | None = None):
 
 @query()
 def op1_minimum_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
-    pieces = packing.pack_documents(table(spark, folder, "documents"))
+    pieces = packing.pack_documents(table(spark, folder, "documents"), added=True)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,7 +12,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from corpus_pipeline import packed
 from tabulark.llm.packing import Packer, byte_pair_encoder, fullest, pack_documents
+from tabulark.llm.queries import op1_minimum_bin_slack
 
 
 @pytest.fixture(scope="module")
@@ -61,6 +64,27 @@ def test_white_space_runs_of_any_length(slow, run):
         assert coder(text) == slow(text)
 
 
+def test_added_token_has_its_own_id():
+    contract = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    coder = byte_pair_encoder(added=True)
+    draw = random.Random(8)
+    parts = ["<|endoftext|>", "<|endoftext|", "|>", " ", "\n\n", "a", " b's", "é", "12", "<|endoftext|>  "]
+    texts = ["a <|endoftext|> b", *["".join(draw.choices(parts, k=draw.randint(0, 9))) for _ in range(500)]]
+    for text in texts:
+        assert coder(text) == contract.encode(text, add_special_tokens=False).ids
+    assert coder(texts[0]) == [64, 220, 50256, 275]
+
+
+def test_queries_give_the_added_token_its_id(spark, tmp_path):
+    contract = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = documents(spark, [(1, "a <|endoftext|> b")])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    ids = np.array(contract.encode("a <|endoftext|> b", add_special_tokens=False).ids + [0], "<u4").tobytes()
+    row = op1_minimum_bin_slack(spark, str(tmp_path)).first()
+    assert (row["ids_crc32"], row["doc_tokens"]) == (zlib.crc32(ids), len(ids) // 4)
+    assert bytes(packed(spark, docs, str(tmp_path)).first()["ids"]) == ids
+
+
 def test_pieces_are_the_documents(spark, slow):
     rows = awkward(4000) + [(i, words(i % 700, i)) for i in range(100, 400)] + [(500, "<|endoftext|> don't  stop\n\n ")]
     found = pack_documents(documents(spark, rows).repartition(3), pool=64).collect()
