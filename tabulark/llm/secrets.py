@@ -57,7 +57,12 @@ ENCODINGS = (
     Encoding("base64url", _UPPER + _LOWER + _DIGITS + "-_", r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9_-]+=*$"),
     Encoding("base64", _UPPER + _LOWER + _DIGITS + "+/", r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9+/]+=*$"),
 )
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+#: A run of token characters. '=' ends it and belongs to it only as padding, before anything else but a token.
+TOKEN = (
+    r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{20,}+(?:=+(?![A-Za-z0-9+/_=-]))?"
+    r"|[A-Za-z0-9+/_-]{1,19}+=+(?![A-Za-z0-9+/_=-]))"
+)
+LEAST_LENGTH = 20
 #: Lower ends of the length bands that are controlled one by one.
 BANDS = (20, 28, 40, 64, 128)
 BINS = 200
@@ -221,7 +226,8 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", share
     characters, three tests judge uniformity of the alphabet, runs and serial
     correlation, and their combined p is held against the cut of its stratum,
     encoding by length band, so short tokens, for which the tests say little,
-    and long ones are controlled apart.
+    and long ones are controlled apart. '=' ends a token unless it is trailing
+    padding, so the value of ``NAME=value`` is a token.
 
     Offsets are code points, ends exclusive. Only spans and p values are kept
     between the two passes; texts are scanned once and never shuffled.
@@ -231,7 +237,8 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", share
     token in a stratum there is nothing to cut; an empty table gives no rows.
     """
     full = text_of(text)
-    rows = docs.select(F.col(key).alias(key), base_spans(full).alias("_base"), matches(full, TOKEN).alias("_tokens"))
+    long_enough = F.filter(matches(full, TOKEN), lambda t: F.length(t["part"]) >= LEAST_LENGTH)
+    rows = docs.select(F.col(key).alias(key), base_spans(full).alias("_base"), long_enough.alias("_tokens"))
 
     def clear(token: Column) -> Column:
         return ~F.exists("_base", lambda b: (b["start"] < token["end"]) & (token["start"] < b["end"]))
