@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulark.llm import chat, language, lines, minhash, mixing, neighbours, packing, pigeonhole, secrets, suffixes
+from tabulark.llm import (
+    chat,
+    language,
+    lines,
+    middle,
+    minhash,
+    mixing,
+    neighbours,
+    packing,
+    phrases,
+    pigeonhole,
+    recipes,
+    secrets,
+    suffixes,
+)
 from tabulark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +167,103 @@ def op10_capped_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
+
+
+@query(r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), cut AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), started AS (
+  SELECT lang, unnest(ws) AS x, unnest(ws[2:]) AS y, unnest(ws[3:]) AS z FROM cut
+), counts AS MATERIALIZED (
+  SELECT lang, x AS phrase, count(*) AS f FROM started GROUP BY ALL
+  UNION ALL SELECT lang, x || ' ' || y, count(*) FROM started WHERE y IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, x || ' ' || y || ' ' || z, count(*) FROM started WHERE z IS NOT NULL GROUP BY ALL
+), cand AS (
+  SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS ws FROM counts
+  WHERE f >= 10 AND phrase LIKE '% %'
+), numbered AS (
+  SELECT *, unnest(range(1, len(ws))) AS k FROM cand
+), parts AS MATERIALIZED (
+  SELECT *, array_to_string(ws[1:k], ' ') AS head, array_to_string(ws[k + 1:], ' ') AS tail FROM numbered
+), judged AS (
+  SELECT p.lang, p.phrase, p.a, p.k, l.f AS l, r.f AS r,
+         CAST((1000000::HUGEINT * p.a * p.a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM parts p
+  JOIN counts l ON l.lang = p.lang AND l.phrase = p.head
+  JOIN counts r ON r.lang = p.lang AND r.phrase = p.tail
+), weakest AS (
+  SELECT * FROM judged QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, phrase, max(a) AS a FROM (
+    SELECT lang, ws[1] || ' ' || ws[2] AS phrase, a FROM cand WHERE len(ws) = 3
+    UNION ALL SELECT lang, ws[2] || ' ' || ws[3], a FROM cand WHERE len(ws) = 3
+  ) GROUP BY ALL
+), totals AS (
+  SELECT lang, count(*) AS n FROM started GROUP BY lang
+)
+SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY w.score DESC, w.a DESC, w.phrase) AS rank,
+       w.phrase, w.a, w.l, w.r, t.n, w.score
+FROM weakest w JOIN totals t USING (lang) LEFT JOIN longer g ON g.lang = w.lang AND g.phrase = w.phrase
+WHERE g.a IS NULL OR 100 * g.a < 50 * w.a
+QUALIFY rank <= 2000
+""")
+def op11_vertical_partitioning(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+@query(r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+         sha256('7:' || CAST(doc_id AS VARCHAR)) AS h
+  FROM documents
+), numbers AS (
+  SELECT *, len(units) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+  FROM drawn
+), cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100
+              THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers
+), parts AS (
+  SELECT *, coalesce(array_to_string(units[1:a], ''), '') AS p, coalesce(array_to_string(units[a + 1:b], ''), '') AS m,
+         coalesce(array_to_string(units[b + 1:n], ''), '') AS s
+  FROM cut
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+""")
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = middle.fill_in_middle(table(spark, folder, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+@query(r"""
+WITH made AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept,
+       sha256(t) AS text_sha256
+FROM made WINDOW w AS (PARTITION BY t)
+""")
+def op13_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
+    copies = recipes.exact_copies(table(spark, folder, "documents"))
+    return copies.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
