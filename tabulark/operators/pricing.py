@@ -20,41 +20,23 @@ class Contract:
     rate: Column
     vol: Column
 
-    def _root(self) -> Column:
+    def root(self) -> Column:
         return self.vol * F.sqrt(self.years)
 
     def d1(self) -> Column:
         drift = (self.rate + self.vol * self.vol / 2) * self.years
-        return (F.log(self.spot / self.strike) + drift) / self._root()
-
-    def d2(self) -> Column:
-        return self.d1() - self._root()
+        return (F.log(self.spot / self.strike) + drift) / self.root()
 
     def discounted_strike(self) -> Column:
         return self.strike * F.exp(-self.rate * self.years)
 
-    def call(self) -> Column:
-        return self.spot * distribution(self.d1()) - self.discounted_strike() * distribution(self.d2())
-
-    def put(self) -> Column:
-        return self.discounted_strike() * distribution(-self.d2()) - self.spot * distribution(-self.d1())
-
-    def greeks(self) -> dict[str, Column]:
-        up, down = distribution(self.d1()), distribution(-self.d1())
-        bump = density(self.d1())
-        decay = -self.spot * bump * self.vol / (2 * F.sqrt(self.years))
-        carry_call = self.discounted_strike() * distribution(self.d2())
-        carry_put = self.discounted_strike() * distribution(-self.d2())
-        return {
-            "delta_call": up,
-            "delta_put": -down,
-            "gamma": bump / (self.spot * self._root()),
-            "vega": self.spot * F.sqrt(self.years) * bump,
-            "theta_call": decay - self.rate * carry_call,
-            "theta_put": decay + self.rate * carry_put,
-            "rho_call": self.years * carry_call,
-            "rho_put": -self.years * carry_put,
-        }
+    def call(self, up: Column, up2: Column) -> Column:
+        """Value from the distribution at d1 and d2."""
+        return self.spot * up - self.discounted_strike() * up2
+
+    def put(self, call: Column) -> Column:
+        """By parity with the call."""
+        return call - self.spot + self.discounted_strike()
 
 
 def contract(
@@ -63,17 +45,48 @@ def contract(
     return Contract(*[F.col(c) for c in (spot, strike, years, rate, vol)])
 
 
+#: Columns that the steps below add and take away again.
+D1, D2, UP1, UP2 = "_d1", "_d2", "_up1", "_up2"
+
+
+def _with_distributions(df: DataFrame, c: Contract) -> DataFrame:
+    """``df`` with d1, d2 and the distribution at both.
+
+    Each is a column before the next one uses it: the distribution names its
+    argument some twenty times, which would otherwise be spelled out each time.
+    """
+    placed = df.withColumn(D1, c.d1()).withColumn(D2, F.col(D1) - c.root())
+    return placed.withColumns({UP1: distribution(F.col(D1)), UP2: distribution(F.col(D2))})
+
+
+def _with_values(df: DataFrame, c: Contract, call: str, put: str) -> DataFrame:
+    valued = _with_distributions(df, c).withColumn(call, c.call(F.col(UP1), F.col(UP2)))
+    return valued.withColumn(put, c.put(F.col(call))).drop(D1, D2, UP1, UP2)
+
+
 def priced(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Call and put next to the contract columns, rounded when ``digits`` is given."""
-    c = contract()
-    call, put = c.call(), c.put()
-    if digits is not None:
-        call, put = F.round(call, digits), F.round(put, digits)
-    return df.select("*", call.alias("call"), put.alias("put"))
+    out = _with_values(df, contract(), "call", "put")
+    return out if digits is None else out.withColumns({c: F.round(c, digits) for c in ("call", "put")})
 
 
 def with_greeks(df: DataFrame) -> DataFrame:
-    return df.select("*", *[v.alias(k) for k, v in contract().greeks().items()])
+    c, up = contract(), F.col(UP1)
+    bump = density(F.col(D1))
+    decay = -c.spot * bump * c.vol / (2 * F.sqrt(c.years))
+    carry_call = c.discounted_strike() * F.col(UP2)
+    carry_put = c.discounted_strike() * (1 - F.col(UP2))
+    greeks = {
+        "delta_call": up,
+        "delta_put": up - 1,
+        "gamma": bump / (c.spot * c.root()),
+        "vega": c.spot * F.sqrt(c.years) * bump,
+        "theta_call": decay - c.rate * carry_call,
+        "theta_put": decay + c.rate * carry_put,
+        "rho_call": c.years * carry_call,
+        "rho_put": -c.years * carry_put,
+    }
+    return _with_distributions(df, c).select(*df.columns, *[v.alias(k) for k, v in greeks.items()])
 
 
 def spot_grid(df: DataFrame, low: int, high: int) -> DataFrame:
@@ -84,13 +97,11 @@ def spot_grid(df: DataFrame, low: int, high: int) -> DataFrame:
 
 def bump_sensitivity(df: DataFrame, bump: float) -> DataFrame:
     """(value at spot + bump - value at spot) / bump for call and put."""
-    base = contract()
-    moved = Contract(base.spot + F.lit(bump), base.strike, base.years, base.rate, base.vol)
-    return df.select(
-        "*",
-        ((moved.call() - base.call()) / F.lit(bump)).alias("call_slope"),
-        ((moved.put() - base.put()) / F.lit(bump)).alias("put_slope"),
-    )
+    c = contract()
+    moved = Contract(c.spot + F.lit(bump), c.strike, c.years, c.rate, c.vol)
+    both = _with_values(_with_values(df, c, "_call", "_put"), moved, "_call_up", "_put_up")
+    slopes = {f"{side}_slope": (F.col(f"_{side}_up") - F.col(f"_{side}")) / F.lit(bump) for side in ("call", "put")}
+    return both.select(*df.columns, *[v.alias(k) for k, v in slopes.items()])
 
 
 def call_payoff(level: Column, strike: Column) -> Column:

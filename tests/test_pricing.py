@@ -39,6 +39,23 @@ def test_prices_and_parity(table):
         assert r["put"] - r["call"] == pytest.approx(r["strike"] * math.exp(-r["rate"] * r["years"]) - r["spot"], abs=1e-3)
 
 
+def test_put_by_parity_is_the_direct_put(spark):
+    from tabulark.operators.pricing import contract
+
+    c = contract()
+    rows = [(s, k, t, 0.05, v) for s in (1.0, 60.0, 857.0) for k in (2.0, 100.0, 900.0) for t in (0.02, 1.0, 30.0) for v in (0.05, 0.9)]
+    df = spark.createDataFrame(rows, "spot double, strike double, years double, rate double, vol double")
+    d1 = c.d1()
+    direct = c.discounted_strike() * distribution(-(d1 - c.root())) - c.spot * distribution(-d1)
+    worst = pricing.priced(df).select(F.max(F.abs(F.col("put") - direct))).first()[0]
+    assert worst < 1e-9
+
+
+def test_plan_names_the_distribution_argument_once(table):
+    plan = pricing.priced(table)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("ln(") == 1 and len(plan) < 20_000
+
+
 def test_greeks_against_bumps(table):
     for r in pricing.with_greeks(table).collect():
         s, k, t, rate, v = (r[c] for c in ("spot", "strike", "years", "rate", "vol"))
