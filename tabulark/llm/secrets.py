@@ -6,12 +6,13 @@ their tails. The driver sees one histogram of bounded size.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulark.functions.normal import distribution
+from tabulark.functions.normal import LOWER, SWITCH, UPPER, density
 from tabulark.llm.common import text_of
 from tabulark.session import pin
 
@@ -57,7 +58,7 @@ ENCODINGS = (
     Encoding("base64url", _UPPER + _LOWER + _DIGITS + "-_", r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9_-]+=*$"),
     Encoding("base64", _UPPER + _LOWER + _DIGITS + "+/", r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9+/]+=*$"),
 )
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+TOKENS = (r"[A-Za-z0-9+/_=-]{20,}",)
 #: Lower ends of the length bands that are controlled one by one.
 BANDS = (20, 28, 40, 64, 128)
 BINS = 200
@@ -120,8 +121,33 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[of(i, p) for i, p in enumerate(PATTERNS)]))
 
 
+def named(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, however often ``then`` uses it."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _polynomial(x: Column, coefficients: tuple[float, ...]) -> Column:
+    total = F.lit(coefficients[0])
+    for c in coefficients[1:]:
+        total = total * x + F.lit(c)
+    return total
+
+
+def upper_tail(x: Column) -> Column:
+    """1 - distribution of the standard normal, by the same published ratio as in ``functions.normal``."""
+
+    def far(size: Column) -> Column:
+        fraction = size + 0.65
+        for i in (4.0, 3.0, 2.0, 1.0):
+            fraction = size + F.lit(i) / fraction
+        ratio = _polynomial(size, UPPER) / _polynomial(size, LOWER)
+        return F.when(size < SWITCH, F.exp(-(size * size) / 2.0) * ratio).otherwise(density(size) / fraction)
+
+    return named(x, lambda v: named(far(F.abs(v)), lambda t: F.when(v > 0, t).otherwise(F.lit(1.0) - t)))
+
+
 def _two_sided(z: Column) -> Column:
-    return F.lit(2.0) * (F.lit(1.0) - distribution(F.abs(z)))
+    return F.lit(2.0) * upper_tail(F.abs(z))
 
 
 def _floor(p: Column) -> Column:
@@ -138,30 +164,44 @@ def uniformity(values: Column, size: Column) -> Column:
     )
     chi, free = squares * k / n - n, k - 1
     spread = F.lit(2.0) / (F.lit(9.0) * free)
-    return F.lit(1.0) - distribution((F.pow(F.greatest(chi, F.lit(0.0)) / free, F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread))
+    return upper_tail((F.pow(F.greatest(chi, F.lit(0.0)) / free, F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread))
 
 
 def runs(values: Column, size: Column) -> Column:
     """Two-sided tail of the number of runs of the upper and the lower half of the alphabet."""
-    bits = F.transform(values, lambda v: (v * 2 >= size).cast("int"))
-    n = F.size(values).cast("double")
-    high = F.aggregate(bits, F.lit(0), lambda a, b: a + b).cast("double")
-    changes = F.zip_with(F.slice(bits, 1, F.size(bits) - 1), F.slice(bits, 2, F.size(bits) - 1), lambda a, b: (a != b).cast("int"))
-    count = F.aggregate(changes, F.lit(1), lambda a, b: a + b).cast("double")
-    mean = 2 * high * (n - high) / n + 1
-    variance = (mean - 1) * (mean - 2) / (n - 1)
-    return F.when(variance > 0, _two_sided((count - mean) / F.sqrt(variance))).otherwise(F.lit(0.0))
+
+    def of(bits: Column) -> Column:
+        n = F.size(bits).cast("double")
+        high = F.aggregate(bits, F.lit(0), lambda a, b: a + b).cast("double")
+        changes = F.zip_with(
+            F.slice(bits, 1, F.size(bits) - 1), F.slice(bits, 2, F.size(bits) - 1), lambda a, b: (a != b).cast("int")
+        )
+        count = F.aggregate(changes, F.lit(1), lambda a, b: a + b).cast("double")
+
+        def judge(mean: Column) -> Column:
+            variance = (mean - 1) * (mean - 2) / (n - 1)
+            return F.when(variance > 0, _two_sided((count - mean) / F.sqrt(variance))).otherwise(F.lit(0.0))
+
+        return named(named(high, lambda h: 2 * h * (n - h) / n + 1), judge)
+
+    return named(F.transform(values, lambda v: (v * 2 >= size).cast("int")), of)
 
 
 def serial_correlation(values: Column) -> Column:
     """Two-sided tail of the correlation between neighbouring symbols."""
     n = F.size(values).cast("double")
+
+    def of(off: Column) -> Column:
+        products = F.zip_with(F.slice(off, 1, F.size(off) - 1), F.slice(off, 2, F.size(off) - 1), lambda a, b: a * b)
+        r = F.aggregate(products, F.lit(0.0), lambda a, x: a + x)
+        total = F.aggregate(off, F.lit(0.0), lambda a, x: a + x * x)
+        return named(
+            total,
+            lambda t: F.when(t > 0, _two_sided((r / t + 1 / (n - 1)) * F.sqrt(n - 1))).otherwise(F.lit(0.0)),
+        )
+
     mean = F.aggregate(values, F.lit(0).cast("long"), lambda a, v: a + v).cast("double") / n
-    off = F.transform(values, lambda v: v.cast("double") - mean)
-    products = F.zip_with(F.slice(off, 1, F.size(off) - 1), F.slice(off, 2, F.size(off) - 1), lambda a, b: a * b)
-    total = F.aggregate(off, F.lit(0.0), lambda a, x: a + x * x)
-    r = F.aggregate(products, F.lit(0.0), lambda a, x: a + x) / total
-    return F.when(total > 0, _two_sided((r + 1 / (n - 1)) * F.sqrt(n - 1))).otherwise(F.lit(0.0))
+    return named(named(mean, lambda m: F.transform(values, lambda v: v.cast("double") - m)), of)
 
 
 def battery(token: Column) -> Column:
@@ -175,14 +215,14 @@ def battery(token: Column) -> Column:
             lambda c: F.call_function("instr", e["alphabet"], c).cast("long") - 1,
         )
 
-        def combine(v: Column) -> Column:
-            half = -sum((F.log(_floor(p)) for p in (uniformity(v, size), runs(v, size), serial_correlation(v))), F.lit(0.0))
-            # Tail of chi-squared with six degrees of freedom at 2 * half.
-            return F.struct(e["name"].alias("encoding"), (F.exp(-half) * (1 + half + half * half / 2)).alias("p"))
+        def half(v: Column) -> Column:
+            return -sum((F.log(_floor(p)) for p in (uniformity(v, size), runs(v, size), serial_correlation(v))), F.lit(0.0))
 
-        return F.transform(F.array(values), combine)[0]
+        # Tail of chi-squared with six degrees of freedom at 2 * half.
+        p = named(named(values, half), lambda h: F.exp(-h) * (1 + h + h * h / 2))
+        return F.when(e.isNotNull(), F.struct(e["name"].alias("encoding"), p.alias("p")))
 
-    return F.when(fits.isNotNull(), F.transform(F.array(fits), judge)[0])
+    return named(fits, judge)
 
 
 def band(length: Column) -> Column:
@@ -216,8 +256,11 @@ def cuts(histogram: list, share: float) -> dict[str, float]:
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", share: float = 0.1) -> DataFrame:
     """The key and ``spans``: (start, order, end, kind) of every secret, sorted, one row per document.
 
-    Pattern matches always stay. A token of at least 20 characters that
-    overlaps none of them is tested: its encoding is inferred from its
+    Pattern matches always stay. A candidate that overlaps none of them is
+    tested; candidates are the maximal runs of at least 20 characters of each
+    of three alphabets, so that the value in NAME=value and the parts of a path
+    are candidates of their own. Of random candidates inside each other the
+    longest counts. The encoding is inferred from the
     characters, three tests judge uniformity of the alphabet, runs and serial
     correlation, and their combined p is held against the cut of its stratum,
     encoding by length band, so short tokens, for which the tests say little,
@@ -231,19 +274,20 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", share
     token in a stratum there is nothing to cut; an empty table gives no rows.
     """
     full = text_of(text)
-    rows = docs.select(F.col(key).alias(key), base_spans(full).alias("_base"), matches(full, TOKEN).alias("_tokens"))
+    tokens = F.array_distinct(F.concat(*[matches(full, t) for t in TOKENS]))
+    rows = docs.select(F.col(key).alias(key), base_spans(full).alias("_base"), tokens.alias("_tokens"))
 
     def clear(token: Column) -> Column:
         return ~F.exists("_base", lambda b: (b["start"] < token["end"]) & (token["start"] < b["end"]))
 
     def judged(token: Column) -> Column:
-        def named(verdict: Column) -> Column:
+        def placed(verdict: Column) -> Column:
             stratum = F.concat_ws(":", verdict["encoding"], band(F.length(token["part"])))
             return F.struct(
                 token["start"].alias("start"), token["end"].alias("end"), stratum.alias("stratum"), verdict["p"].alias("p")
             )
 
-        return F.transform(F.array(battery(token["part"])), named)[0]
+        return named(battery(token["part"]), placed)
 
     tested = pin(
         rows.select(
@@ -265,8 +309,16 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", share
         taken = F.filter("_tested", lambda t: t["p"] >= F.element_at(cut, t["stratum"]))
     else:
         taken = F.col("_tested")
-    added = F.transform(
+    # What lies inside another one is not told twice.
+    outer = F.filter(
         taken,
+        lambda t: ~F.exists(
+            taken,
+            lambda o: (o["start"] <= t["start"]) & (t["end"] <= o["end"]) & (o["end"] - o["start"] > t["end"] - t["start"]),
+        ),
+    )
+    added = F.transform(
+        outer,
         lambda t: F.struct(t["start"].alias("start"), F.lit(len(PATTERNS)).alias("order"), t["end"].alias("end"), F.lit(RANDOM).alias("kind")),
     )
     return tested.select(key, F.array_sort(F.concat("_base", added)).alias("spans"))
