@@ -58,7 +58,8 @@ ENCODINGS = (
     Encoding("base64url", _UPPER + _LOWER + _DIGITS + "-_", r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9_-]+=*$"),
     Encoding("base64", _UPPER + _LOWER + _DIGITS + "+/", r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9+/]+=*$"),
 )
-TOKENS = (r"[A-Za-z0-9+/_=-]{20,}",)
+#: Candidates are the maximal runs of each of these; ``=`` belongs to one only as padding behind it.
+TOKENS = (r"[A-Za-z0-9+/]{20,}={0,2}", r"[A-Za-z0-9_-]{20,}={0,2}", r"[A-Za-z0-9]{20,}={0,2}")
 #: Lower ends of the length bands that are controlled one by one.
 BANDS = (20, 28, 40, 64, 128)
 BINS = 200

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 import string
+from collections import Counter
 
 import pytest
 from helpers import awkward, documents
@@ -64,6 +66,87 @@ def test_random_tokens_have_even_p(spark):
     assert 0.4 < sum(p) / len(p) < 0.6 and sum(x < 0.05 for x in p) / len(p) < 0.1
 
 
+def tail(x):
+    return math.erfc(x / math.sqrt(2)) / 2
+
+
+def brute_p(token):
+    """Encoding and combined p, with the tails of the standard library."""
+    fit = next((e for e in S.ENCODINGS if re.search(e.regex, token)), None)
+    if fit is None:
+        return None
+    v = [fit.alphabet.index(c) for c in token.rstrip("=")]
+    n, k = len(v), len(fit.alphabet)
+    chi, free = sum(v.count(c) ** 2 for c in range(k)) * k / n - n, k - 1
+    spread = 2 / (9 * free)
+    one = tail(((max(chi, 0) / free) ** (1 / 3) - (1 - spread)) / math.sqrt(spread))
+    bits = [2 * x >= k for x in v]
+    high, count = sum(bits), 1 + sum(a != b for a, b in zip(bits, bits[1:]))
+    mean = 2 * high * (n - high) / n + 1
+    variance = (mean - 1) * (mean - 2) / (n - 1)
+    two = 2 * tail(abs((count - mean) / math.sqrt(variance))) if variance > 0 else 0.0
+    off = [x - sum(v) / n for x in v]
+    total = sum(x * x for x in off)
+    r = sum(a * b for a, b in zip(off, off[1:])) / total if total else 0.0
+    three = 2 * tail(abs((r + 1 / (n - 1)) * math.sqrt(n - 1))) if total else 0.0
+    half = -sum(math.log(max(min(p, 1.0), S.LEAST_P)) for p in (one, two, three))
+    return fit.name, math.exp(-half) * (1 + half + half * half / 2)
+
+
+def tokens_of_all_kinds():
+    out = [drawn(i, e.alphabet, 20 + 7 * i % 150) for i, e in enumerate(S.ENCODINGS * 12)]
+    out += ["a1" * 20, "ab1" * 30, "A" * 30 + "1", "0123456789abcdef" * 2, "Zz9" * 9 + "==", "words-and_More9-" * 3, "a+b_1C" * 5, "z" * 25]
+    return out
+
+
+def test_battery_against_brute_force(spark):
+    tokens = tokens_of_all_kinds()
+    got = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", S.battery(F.col("t")).alias("b")).collect()
+    for r in got:
+        want = brute_p(r["t"])
+        assert (r["b"] is None) == (want is None), r["t"]
+        if want:
+            assert r["b"]["encoding"] == want[0] and math.isclose(r["b"]["p"], want[1], rel_tol=1e-8, abs_tol=1e-13), r["t"]
+
+
+def test_values_behind_names_and_in_paths(spark):
+    made = {i: drawn(i, B64[:62], 40) for i in range(200)}
+    forms = ["SESSION_KEY={}", "id={}&x=1", "keys/prod-{}", "a_b/{}/c-d"]
+    rows = [(i, "see " + forms[i % 4].format(v) + " there") for i, v in made.items()]
+    rows += [(1000 + i, f"NAME=some-Long9-word_with-parts/Of9Paths/And9more{'abc' * (i % 5)}") for i in range(100)]
+    found = {r["doc_id"]: [s for s in r["spans"] if s["kind"] == S.RANDOM] for r in S.find_secrets(documents(spark, rows)).collect()}
+    hits = sum(any(made[i] in rows[i][1][s["start"] : s["end"]] for s in found[i]) for i in made)
+    false = sum(len(found[1000 + i]) for i in range(100))
+    assert hits >= 160 and false <= 0.1 * (hits + false)
+
+
+def test_spans_against_brute_force(spark):
+    rows = [(i, f"{w} {t} {w}={t[:25]}/x-{t}") for i, t in enumerate(tokens_of_all_kinds()) for w in ("note",)]
+    tested, histogram = {}, Counter()
+    for doc, text in rows:
+        spans = {m.span() for p in S.TOKENS for m in re.finditer(p, text)}
+        taken = [s for s in base(text)]
+        tested[doc] = []
+        for a, b in sorted(spans):
+            p = brute_p(text[a:b])
+            if p and not any(x < b and a < y for x, _, y, _ in taken):
+                band = max([x for x in S.BANDS if b - a >= x], default=0)
+                tested[doc].append((a, b, f"{p[0]}:{band}", p[1]))
+                histogram[f"{p[0]}:{band}", min(int(p[1] * S.BINS), S.BINS - 1)] += 1
+    limits = S.cuts([{"stratum": k, "bin": i, "n": n} for (k, i), n in histogram.items()], 0.1)
+    want = {}
+    for doc, all_tested in tested.items():
+        good = [(a, b) for a, b, k, p in all_tested if p >= limits[k]]
+        want[doc] = sorted((a, b) for a, b in good if not any(x <= a and b <= y and y - x > b - a for x, y in good))
+    got = {r["doc_id"]: sorted((s["start"], s["end"]) for s in r["spans"] if s["kind"] == S.RANDOM) for r in S.find_secrets(documents(spark, rows)).collect()}
+    assert got == want and sum(map(len, want.values())) > 40
+
+
+def test_the_plan_stays_small(spark):
+    text = spark.createDataFrame([("x",)], "t string").select(S.battery(F.col("t")))._jdf.queryExecution().analyzed().toString()
+    assert len(text) < 100_000
+
+
 def test_cuts():
     even = [{"stratum": "a", "bin": b, "n": 5} for b in range(S.BINS)]
     assert S.cuts(even, 0.1) == {"a": 0.0}
