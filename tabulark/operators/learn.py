@@ -10,18 +10,13 @@ from pyspark.ml.clustering import LDA, KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import (
     CountVectorizerModel,
-    ElementwiseProduct,
-    Normalizer,
     OneHotEncoder,
     StringIndexer,
     VectorAssembler,
 )
-from pyspark.ml.linalg import Vectors
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -149,10 +144,16 @@ def saved_and_loaded(model: PipelineModel, path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def kmeans_clusters(df: DataFrame, vector: str, k: int, rounds: int = 100) -> DataFrame:
+def fitted_clusters(df: DataFrame, vector: str, k: int, rounds: int = 100) -> tuple[list[list[float]], DataFrame]:
+    """The centers of k-means, and ``df`` with the cluster of each row."""
     ready = df.withColumn("features", array_to_vector(F.col(vector).cast("array<double>")))
     model = KMeans(k=k, maxIter=rounds, seed=0, initMode="k-means||").fit(ready)
-    return model.transform(ready).drop("features").withColumnRenamed("prediction", "cluster")
+    centers = [[float(x) for x in c] for c in model.clusterCenters()]
+    return centers, model.transform(ready).drop("features").withColumnRenamed("prediction", "cluster")
+
+
+def kmeans_clusters(df: DataFrame, vector: str, k: int, rounds: int = 100) -> DataFrame:
+    return fitted_clusters(df, vector, k, rounds)[1]
 
 
 def term_vectors(docs: DataFrame, tokens: str, vocabulary: list[str]) -> DataFrame:
@@ -193,39 +194,3 @@ def main_topics(mix: DataFrame, key: str, terms: DataFrame) -> DataFrame:
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "term"))), lambda s: s["term"]), ", ").alias("keywords")
     )
     return best.join(F.broadcast(words), "topic")
-
-
-def weighted_vectors(
-    docs: DataFrame, tokens: str, vocabulary: list[str], idf: list[float]
-) -> DataFrame:
-    """Unit-length count-times-idf sparse vectors over a fixed vocabulary."""
-    counted = CountVectorizerModel.from_vocabulary(vocabulary, inputCol=tokens, outputCol="_counts")
-    scaled = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_counts", outputCol="_scaled")
-    unit = Normalizer(p=2.0, inputCol="_scaled", outputCol="features")
-    return unit.transform(scaled.transform(counted.transform(docs))).drop("_counts", "_scaled")
-
-
-def reduced_dimensions(
-    vectors: DataFrame, weights: DataFrame, key: str, vocabulary: list[str], dimensions: int
-) -> tuple[list[float], DataFrame]:
-    """Truncated SVD of the document vectors; ``weights`` is their long (key, term, weight) form.
-
-    Returns the singular values and one unit-length array per document. The
-    right factor is vocabulary x dimensions, a bounded model.
-    """
-    spark = vectors.sparkSession
-    # The solver reads the rows once per step, so they are written out first.
-    old = MLUtils.convertVectorColumnsFromML(pin(vectors.select("features")), "features")
-    found = RowMatrix(old).computeSVD(dimensions, computeU=False)
-    right = found.V.toArray()
-    factor = spark.createDataFrame(
-        [(t, [float(x) for x in right[i]]) for i, t in enumerate(vocabulary)],
-        "term string, f array<double>",
-    )
-    rank = right.shape[1]
-    placed = weights.join(F.broadcast(factor), "term").groupBy(key).agg(
-        *[F.sum(F.col("weight") * F.col("f")[d]).alias(f"_{d}") for d in range(rank)]
-    )
-    length = F.sqrt(reduce(lambda a, b: a + b, [F.col(f"_{d}") * F.col(f"_{d}") for d in range(rank)]))
-    unit = placed.select(key, F.array(*[F.col(f"_{d}") / length for d in range(rank)]).alias("reduced"))
-    return [float(s) for s in found.s], unit

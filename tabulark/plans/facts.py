@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tabulark.operators import metrics
 from tabulark.plans import modelling, scoring, text_mining
 from tabulark.plans.registry import query
 from tabulark.plans.shared import FOLDS, LINE_SQL, line_items
@@ -72,14 +74,79 @@ def boosted_binary_facts(spark, sf):
     )
 
 
-@query("T12", "SELECT count(*) AS documents, true AS unit_length FROM documents WHERE doc_id IS NOT NULL")
+KEPT_WORDS_SQL = (
+    text_mining.CLASS_SQL
+    + """ nd AS (SELECT count(*) AS nd FROM documents), df AS (SELECT term, count(DISTINCT doc_id) AS df FROM tok GROUP BY term),
+    worded AS (SELECT DISTINCT doc_id FROM tok JOIN df USING (term), nd WHERE df >= 2 AND df <= nd * 0.5::DOUBLE),
+    kept AS (SELECT term FROM df, nd WHERE df >= 2 AND df <= nd * 0.5::DOUBLE)"""
+)
+
+
+@query("T12", KEPT_WORDS_SQL + " SELECT count(*) AS documents, sum(doc_id)::BIGINT AS ids, true AS unit_length FROM worded")
 def reduced_documents_facts(spark, sf):
-    """Documents without any kept word have no vector and count as such."""
-    lengths = text_mining.reduced_documents(spark, sf).groupBy("doc_id").agg(F.sum(F.col("value") ** 2).alias("n"))
-    docs = read_table(spark, sf, "documents").select("doc_id")
-    return docs.join(lengths, "doc_id", "left").agg(
+    """Every document with a kept word has a vector of length one."""
+    return length_facts(text_mining.reduced_documents(spark, sf))
+
+
+def length_facts(placed):
+    lengths = placed.groupBy("doc_id").agg(F.sum(F.col("value") ** 2).alias("n"))
+    return lengths.agg(
         F.count(F.lit(1)).alias("documents"),
-        F.bool_and(F.col("n").isNull() | F.col("n").isNaN() | F.col("n").between(1 - 1e-9, 1 + 1e-9)).alias("unit_length"),
+        F.sum("doc_id").alias("ids"),
+        F.coalesce(F.bool_and(F.col("n").between(1 - 1e-9, 1 + 1e-9)), F.lit(False)).alias("unit_length"),
+    )
+
+
+@query("T12", "SELECT true AS dimensions, true AS falling, true AS within")
+def singular_value_facts(spark, sf):
+    """At most as many as asked for, falling, and together not above the squared lengths, which are ones."""
+    docs = read_table(spark, sf, "documents").count()
+    return value_facts(text_mining.singular_values(spark, sf), text_mining.DIMENSIONS, docs)
+
+
+def value_facts(values, most, docs):
+    falls = F.coalesce(F.lag("value").over(Window.orderBy("dimension")) >= F.col("value"), F.lit(True))
+    checked = values.withColumn("falls", falls)
+    total = F.sum(F.col("value") ** 2)
+    return checked.agg(
+        F.count(F.lit(1)).between(1, most).alias("dimensions"),
+        F.coalesce(F.bool_and("falls"), F.lit(False)).alias("falling"),
+        # 300 dimensions hold a fair share of the length of all documents.
+        F.coalesce(total.between(0.2 * docs, docs * (1 + 1e-9)), F.lit(False)).alias("within"),
+    )
+
+
+@query("T14", KEPT_WORDS_SQL + f" SELECT count(*) AS documents, {text_mining.CLUSTERS} AS clusters, true AS agree FROM worded")
+def document_cluster_facts(spark, sf):
+    """Every document with a kept word has a cluster, and the clusters say something of the language."""
+    langs = read_table(spark, sf, "documents").select("doc_id", "lang")
+    return cluster_facts(pin(text_mining.document_clusters(spark, sf).join(langs, "doc_id")))
+
+
+def cluster_facts(found):
+    counts = found.agg(F.count(F.lit(1)).alias("documents"), F.countDistinct("cluster").cast("int").alias("clusters"))
+    agreement = metrics.cluster_agreement(found, "lang", "cluster").select((F.col("v_measure") > 0.5).alias("agree"))
+    return counts.crossJoin(F.broadcast(agreement))
+
+
+@query(
+    "T14",
+    KEPT_WORDS_SQL + f" SELECT {text_mining.CLUSTERS} AS clusters, {text_mining.CLUSTERS} * least(50, count(*)) AS rows, true AS ranked, true AS known FROM kept",
+)
+def cluster_term_facts(spark, sf):
+    """Fifty kept terms per cluster, by falling weight."""
+    docs = text_mining.documents(spark, sf).select(F.explode(text_mining.class_tokens()).alias("term")).distinct()
+    return term_facts(pin(text_mining.cluster_terms(spark, sf)), docs)
+
+
+def term_facts(found, known):
+    in_order = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("weight"), "term")) == F.col("rank")
+    checked = found.withColumn("in_order", in_order).join(known.withColumn("known", F.lit(True)), "term", "left")
+    return checked.agg(
+        F.countDistinct("cluster").cast("int").alias("clusters"),
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.bool_and("in_order"), F.lit(False)).alias("ranked"),
+        F.coalesce(F.bool_and(F.col("known").isNotNull()), F.lit(False)).alias("known"),
     )
 
 

@@ -13,7 +13,7 @@ from tabulark.functions.text import (
     word_tokens,
 )
 from tabulark.operators import entities as ent
-from tabulark.operators import learn, metrics, sampling, terms
+from tabulark.operators import learn, metrics, reduce, sampling, terms
 from tabulark.plans.lookups import stratified_sql
 from tabulark.plans.preparation import LETTERS_SQL, STOP_SQL
 from tabulark.plans.registry import query
@@ -240,8 +240,56 @@ def discriminative_terms(spark, sf):
     return terms.top_in_group(rounded, ["lang"], [F.desc("mean_weight"), F.col("term")], 50)
 
 
-# Spark ML models on text: row and range checks only
+# Documents in few dimensions, and clusters of them
 
+#: Dimensions of the reference setting, and clusters looked for: one per language.
+DIMENSIONS, CLUSTERS = 300, 4
+
+
+def reduced(spark, sf, dimensions=DIMENSIONS):
+    """All terms in two documents or more and in at most half of them; no limit on their number."""
+    docs = documents(spark, sf).select("doc_id", class_tokens().alias("tokens"))
+    n = docs.count()
+    frequency = terms.document_frequency(docs, F.col("tokens")).where((F.col("df") >= 2) & (F.col("df") <= n * 0.5))
+    weights = terms.tf_idf(terms.term_counts(docs, ["doc_id"], F.col("tokens")), ["doc_id"], terms.smooth_idf(frequency, n))
+    return reduce.reduced(reduce.document_rows(weights, "doc_id"), "doc_id", dimensions)
+
+
+@query("T12")
+def reduced_documents(spark, sf):
+    return reduced(spark, sf).documents.select("doc_id", F.posexplode("reduced").alias("dimension", "value"))
+
+
+@query("T12")
+def singular_values(spark, sf):
+    rows = list(enumerate(reduced(spark, sf).values))
+    return spark.createDataFrame(rows, "dimension int, value double")
+
+
+@query("T14 T13")
+def document_clusters(spark, sf):
+    _, clustered = learn.fitted_clusters(reduced(spark, sf).documents, "reduced", CLUSTERS)
+    return clustered.select("doc_id", "cluster")
+
+
+@query("T14")
+def cluster_terms(spark, sf):
+    """The 50 strongest terms of each cluster of documents, from its center through the inverse of the reduction."""
+    small = reduced(spark, sf)
+    centers, _ = learn.fitted_clusters(small.documents, "reduced", CLUSTERS)
+    return reduce.cluster_terms(centers, small.terms, 50)
+
+
+@query("T14 K10")
+def document_cluster_agreement(spark, sf):
+    langs = read_table(spark, sf, "documents").select("doc_id", "lang")
+    scored = metrics.cluster_agreement(document_clusters(spark, sf).join(langs, "doc_id"), "lang", "cluster")
+    return scored.select(*[F.round(c, 8).alias(c) for c in scored.columns])
+
+
+# Topics: checked by facts
+
+#: The survey's vocabulary limit for topics.
 TOPIC_WORDS = 10_000
 
 
@@ -252,21 +300,6 @@ def topic_vectors(spark, sf):
     return pin(learn.term_vectors(docs, "tokens", listed)), listed
 
 
-@query("T12")
-def reduced_documents(spark, sf):
-    docs = documents(spark, sf).select("doc_id", class_tokens().alias("tokens"))
-    n = docs.count()
-    frequency = terms.document_frequency(docs, F.col("tokens"))
-    kept = pin(terms.pruned_vocabulary(frequency, n, 2, 0.5, TOPIC_WORDS))
-    idf = terms.smooth_idf(kept, n).orderBy("term").collect()
-    listed = [r["term"] for r in idf]
-    vectors = learn.weighted_vectors(docs, "tokens", listed, [r["idf"] for r in idf])
-    counts = terms.term_counts(docs, ["doc_id"], F.col("tokens"))
-    weights = terms.tf_idf(counts, ["doc_id"], terms.smooth_idf(kept, n))
-    _, reduced = learn.reduced_dimensions(vectors, weights, "doc_id", listed, 20)
-    return reduced.select("doc_id", F.posexplode("reduced").alias("dimension", "value"))
-
-
 @query("T15")
 def topic_keywords(spark, sf):
     vectors, listed = topic_vectors(spark, sf)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,17 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
     return spark
 
 
+#: The folder that holds this package.
+ROOT = str(Path(__file__).resolve().parents[1])
+
+
+def package_on_workers(spark: SparkSession) -> None:
+    """Tell Python workers where this package lies, if they see the same disk; on a cluster it is installed."""
+    found = spark.sparkContext.environment
+    if ROOT not in found.get("PYTHONPATH", "").split(":"):
+        found["PYTHONPATH"] = ":".join(filter(None, [found.get("PYTHONPATH"), ROOT]))
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

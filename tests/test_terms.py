@@ -142,22 +142,6 @@ def test_top_entities_rank_before_the_count_filter(spark):
     assert [(r["entity"], r["rank"]) for r in entities.top_entities(mentions, 3).orderBy("rank").collect()] == [("a", 1), ("b", 2)]
 
 
-def test_reduced_documents_have_unit_length(spark, docs):
-    tokens = docs.select("doc", text.word_tokens(F.col("text")).alias("tokens"))
-    counts = terms.term_counts(tokens, ["doc"], F.col("tokens"))
-    idf = terms.smooth_idf(terms.frequency_of(counts), 5).orderBy("term").collect()
-    listed = [r["term"] for r in idf]
-    sparse = learn.weighted_vectors(tokens, "tokens", listed, [r["idf"] for r in idf])
-    singular, reduced = learn.reduced_dimensions(sparse, vectors(docs), "doc", listed, 3)
-    assert singular == sorted(singular, reverse=True)
-    for r in reduced.collect():
-        assert np.isclose(np.linalg.norm(r["reduced"]), 1)
-    want = np.zeros((5, len(listed)))
-    for (doc, w), v in expected_weights().items():
-        want[doc - 1, listed.index(w)] = v
-    assert np.allclose(singular, np.linalg.svd(want)[1][:3])
-
-
 def test_topics(spark, docs):
     tokens = docs.select("doc", text.word_tokens(F.col("text")).alias("tokens"))
     listed = ["cats", "chat", "cheese", "fromage", "mice"]
