@@ -36,6 +36,24 @@ def centroids(df: DataFrame, label: str, vector: str, most: int = MOST_CLASSES)
     return dict(sorted((r["class"], list(r["center"])) for r in rows))
 
 
+def fold_centroids(df: DataFrame, label: str, vector: str, fold: str, most: int = MOST_CLASSES) -> dict[int, dict]:
+    """Per fold the centroids of all other folds, from one aggregate; rows with a null fold belong to none."""
+    dense = array_to_vector(F.col(vector).cast("array<double>"))
+    parts = df.where(F.col(fold).isNotNull()).groupBy(F.col(fold).alias("fold"), F.col(label).alias("class")).agg(
+        F.count(F.lit(1)).alias("n"), Summarizer.sum(dense).alias("_s")
+    )
+    rows = bounded_rows(parts.select("fold", "class", "n", vector_to_array("_s").alias("s")), most, f"{fold} and {label}")
+    out = {}
+    for i in sorted({r["fold"] for r in rows}):
+        sums: dict = {}
+        for r in rows:
+            if r["fold"] != i:
+                n, held = sums.get(r["class"], (0, [0.0] * len(r["s"])))
+                sums[r["class"]] = (n + r["n"], [a + b for a, b in zip(held, r["s"], strict=True)])
+        out[i] = {c: [x / n for x in held] for c, (n, held) in sorted(sums.items())}
+    return out
+
+
 def center_distances(vector: Column, centers: dict) -> Column:
     """Array of distances from a row's vector to every center, in class order."""
     return let(

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import LDA, KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import (
@@ -20,6 +21,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabulark.operators.logistic import class_shares
 from tabulark.session import pin
 
 
@@ -90,6 +92,76 @@ def binary_boosted(
     )
 
 
+def _fitted_in_parallel(jobs: list, parallelism: int) -> list:
+    """The results of small fits, some at a time; each leaves most cores idle."""
+    with ThreadPool(parallelism) as pool:
+        return pool.map(lambda job: job(), jobs)
+
+
+def boosted_class_folds(
+    df: DataFrame, features: list[str], label: str, classes: list, fold: str, folds: int,
+    rounds: int = 20, depth: int = 3, parallelism: int = 4,
+) -> dict[int, list[GBTClassificationModel]]:
+    """Per fold one boosted classifier for each class against the rest, fitted on the other folds."""
+    ready = pin(assembled(df.select(*features, label, fold), features).select("features", label, fold))
+
+    def job(i: int, c):
+        own = ready.where(F.col(fold) != i).select("features", (F.col(label) == c).cast("double").alias("_own"))
+        return lambda: GBTClassifier(labelCol="_own", maxIter=rounds, maxDepth=depth, seed=42).fit(own)
+
+    pairs = [(i, c) for i in range(folds) for c in classes]
+    found = dict(zip(pairs, _fitted_in_parallel([job(i, c) for i, c in pairs], parallelism), strict=True))
+    return {i: [found[i, c] for c in classes] for i in range(folds)}
+
+
+def _with_shares(ready: DataFrame, models: list[GBTClassificationModel], name: str) -> DataFrame:
+    """Adds the one-against-rest probabilities, made to add up to one; each model adds one column."""
+    made = ready
+    for k, m in enumerate(models):
+        made = m.copy({m.predictionCol: f"_y{k}", m.rawPredictionCol: f"_r{k}", m.probabilityCol: f"_q{k}"}).transform(made)
+    shares = class_shares([vector_to_array(f"_q{k}")[1] for k in range(len(models))])
+    return made.withColumn(name, shares).drop(*[f"_{x}{k}" for k in range(len(models)) for x in "yrq"])
+
+
+def class_probabilities_out_of_fold(
+    df: DataFrame, features: list[str], fold: str, models: dict[int, list[GBTClassificationModel]]
+) -> DataFrame:
+    """``df`` with column ``probs``: each row scored by the models of its fold, which did not see it."""
+    ready = assembled(df, features)
+    parts = [_with_shares(ready.where(F.col(fold) == i), own, "probs") for i, own in models.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts).drop("features")
+
+
+def mean_class_probabilities(
+    df: DataFrame, features: list[str], models: dict[int, list[GBTClassificationModel]]
+) -> DataFrame:
+    """``df`` with column ``probs``: the mean of the folds' probabilities, for rows that no model saw."""
+    made = assembled(df, features)
+    for i, own in models.items():
+        made = _with_shares(made, own, f"_fold{i}")
+    names = [f"_fold{i}" for i in models]
+    total = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), [F.col(n) for n in names])
+    return made.withColumn("probs", F.transform(total, lambda x: x / len(names))).drop("features", *names)
+
+
+def forest_folds(df: DataFrame, vector: str, label: str, fold: str, folds: int, trees: int = 20) -> DataFrame:
+    """Every row with the class probabilities of a random forest that was fitted on the other folds."""
+    parts = [
+        forest_probabilities(df.where(F.col(fold) != i), df.where(F.col(fold) == i), vector, label, trees) for i in range(folds)
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def binary_boosted_folds(
+    df: DataFrame, features: list[str], label: str, fold: str, folds: int, rounds: int = 20
+) -> DataFrame:
+    """Every row with the score of a boosted classifier that was fitted on the other folds."""
+    parts = [
+        binary_boosted(df.where(F.col(fold) != i), df.where(F.col(fold) == i), features, label, rounds) for i in range(folds)
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def forest_probabilities(
     train: DataFrame, unseen: DataFrame, vector: str, label: str, trees: int = 20
 ) -> DataFrame:

@@ -109,6 +109,31 @@ def class_report(df: DataFrame, truth: str, guess: str) -> DataFrame:
     return rows.unionByName(plain).unionByName(weighted)
 
 
+def six_scores(df: DataFrame, label: str, score: str, by: list[str], cut: float = 0.5) -> DataFrame:
+    """Accuracy, macro precision and recall, F1, area under the curve and log loss of 0/1 scores, per group.
+
+    A class that nobody has or that is never guessed counts 0 in its mean.
+    """
+    guessed = df.withColumn("_guess", (F.col(score) >= cut).cast("int"))
+    counts = binary_report(guessed, label, "_guess", by)
+    zero = F.lit(0.0)
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+
+    def mean(a: Column, b: Column) -> Column:
+        return (F.coalesce(a, zero) + F.coalesce(b, zero)) / 2
+
+    shown = counts.select(
+        *by,
+        "accuracy",
+        mean(F.try_divide(tp, tp + fp), F.try_divide(tn, tn + fn)).alias("precision_macro"),
+        mean(F.try_divide(tp, tp + fn), F.try_divide(tn, tn + fp)).alias("recall_macro"),
+        F.coalesce("f1", zero).alias("f1"),
+    )
+    p_true = F.when(F.col(label) == 1, F.col(score)).otherwise(1 - F.col(score))
+    losses = df.groupBy(*by).agg(log_loss(p_true).alias("log_loss"))
+    return shown.join(roc_auc(df, label, score, by), by).join(losses, by)
+
+
 def log_loss(true_probability: Column) -> Column:
     """Aggregate: mean of -ln p with p held away from 0 and 1."""
     return -F.avg(F.log(clip(true_probability, LEAST_PROBABILITY, 1 - LEAST_PROBABILITY)))

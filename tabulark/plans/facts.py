@@ -9,6 +9,7 @@ from tabulark.operators import metrics
 from tabulark.plans import modelling, scoring, text_mining
 from tabulark.plans.registry import query
 from tabulark.plans.shared import FOLDS, LINE_SQL, line_items
+from tabulark.plans.sqlbits import bucket32
 from tabulark.session import pin, read_table
 
 
@@ -61,16 +62,82 @@ def boosted_importances_facts(spark, sf):
     )
 
 
-@query(
-    "B3",
-    """SELECT count(*) AS rows, count(DISTINCT doc_id) AS documents, true AS in_range
-    FROM labels JOIN documents USING (doc_id) WHERE doc_id % 5 = 0""",
-)
+@query("B3", "SELECT count(*) AS rows, count(DISTINCT doc_id) AS documents, true AS in_range, true AS tells FROM labels JOIN documents USING (doc_id)")
 def boosted_binary_facts(spark, sf):
-    return scoring.boosted_binary_scores(spark, sf).agg(
+    """Every labelled text is scored once, and good ones score higher."""
+    return binary_facts(pin(scoring.boosted_binary_scores(spark, sf)))
+
+
+def binary_facts(found):
+    facts = found.agg(
         F.count(F.lit(1)).alias("rows"),
         F.countDistinct("doc_id").alias("documents"),
-        F.bool_and(F.col("score").between(0, 1) & ((F.col("score") > 0.5) == (F.col("prediction") == 1))).alias("in_range"),
+        F.coalesce(
+            F.bool_and(F.col("score").between(0, 1) & ((F.col("score") > 0.5) == (F.col("prediction") == 1))), F.lit(False)
+        ).alias("in_range"),
+    )
+    area = metrics.roc_auc(found.withColumn("quality", F.col("quality").cast("int")), "quality", "score")
+    return facts.crossJoin(F.broadcast(area.agg(F.coalesce(F.max("auc") > 0.6, F.lit(False)).alias("tells"))))
+
+
+LANGUAGE_SQL = f"WITH d AS (SELECT *, {bucket32('doc_id', 'languages')} / 4294967296.0::DOUBLE < 0.2::DOUBLE AS is_test FROM documents WHERE lang IS NOT NULL)"
+
+
+@query(
+    "B4 F9",
+    LANGUAGE_SQL + " SELECT count(*) AS documents, count(*) * (SELECT count(DISTINCT lang) FROM d) AS rows, true AS whole, true AS tells FROM d WHERE NOT is_test",
+)
+def boosted_class_facts(spark, sf):
+    """Probabilities of every training row add up to one and put the true class first more often than not."""
+    return class_facts(pin(scoring.boosted_class_probabilities(spark, sf)))
+
+
+def class_facts(found):
+    each = found.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("p").alias("s"), F.max_by(F.col("class") == F.col("label"), "p").alias("hit")
+    )
+    return each.agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.sum("n").alias("rows"),
+        F.coalesce(F.bool_and(F.abs(F.col("s") - 1) < 1e-9), F.lit(False)).alias("whole"),
+        F.coalesce(F.avg(F.col("hit").cast("double")) > 0.7, F.lit(False)).alias("tells"),
+    )
+
+
+@query("B4 K6 K9", "SELECT unnest(range(5))::INTEGER AS fold, true AS low_loss, true AS high_map")
+def boosted_class_score_facts(spark, sf):
+    """Log loss below that of equal shares among four classes, MAP@3 above one half, in every fold."""
+    return scoring.boosted_class_fold_scores(spark, sf).select(
+        "fold", (F.col("log_loss") < 1.2).alias("low_loss"), (F.col("map_3") > 0.7).alias("high_map")
+    )
+
+
+@query("B4 F10", LANGUAGE_SQL + " SELECT count(*) AS rows, 3 AS labels, true AS tells FROM d WHERE is_test")
+def boosted_test_label_facts(spark, sf):
+    """Test rows have three labels each, the first mostly the true one."""
+    found = scoring.boosted_test_labels(spark, sf).withColumn("_l", F.split("labels", " "))
+    return found.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.max(F.size("_l")).alias("labels"),
+        F.coalesce(F.avg((F.col("_l")[0] == F.col("label")).cast("double")) > 0.7, F.lit(False)).alias("tells"),
+    )
+
+
+@query("B4", "SELECT count(*) AS rows, count(DISTINCT label) AS classes, true AS whole, true AS chosen FROM embeddings")
+def forest_facts(spark, sf):
+    """Every embedding is scored once; its shares add up to one and the largest is the prediction.
+
+    The labels of the test tables do not depend on the vectors, so no model tells them apart.
+    """
+    found = scoring.forest_class_probabilities(spark, sf)
+    whole = F.aggregate("probabilities", F.lit(0.0), lambda a, b: a + b)
+    return found.agg(
+        F.countDistinct("vec_id").alias("rows"),
+        F.max(F.size("probabilities")).cast("long").alias("classes"),
+        F.coalesce(F.bool_and(F.abs(whole - 1) < 1e-9), F.lit(False)).alias("whole"),
+        F.coalesce(
+            F.bool_and(F.element_at("probabilities", F.col("prediction").cast("int") + 1) == F.array_max("probabilities")), F.lit(False)
+        ).alias("chosen"),
     )
 
 

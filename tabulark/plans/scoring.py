@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tabulark.functions.numeric import array_sum
 from tabulark.operators import classes as cls
-from tabulark.operators import learn, metrics, sampling
+from tabulark.operators import learn, logistic, metrics, sampling
 from tabulark.operators.aggregate import balanced_weights, share_of_total
+from tabulark.operators.project import distinct_values
 from tabulark.plans.registry import query
 from tabulark.plans.shared import CENTER_SQL
+from tabulark.plans.sqlbits import bucket32 as bucket32_sql
 from tabulark.plans.sqlbits import digest as digest_sql
-from tabulark.session import read_table
+from tabulark.plans.sqlbits import logistic_solution
+from tabulark.session import pin, read_table
 
 
 def probability_rows(spark, sf):
@@ -279,20 +284,227 @@ def scores_per_fold(spark, sf):
     return report.join(losses, "fold").join(areas, "fold")
 
 
+# Quality of texts from what the text shows, by logistic regression and by boosted trees
+
+QUALITY = ["distinct", "odd", "length"]
+QUALITY_SQL = f"""WITH shown AS (SELECT l.doc_id, l.quality, len(list_distinct(string_split(d.text, ' '))) / len(string_split(d.text, ' '))::DOUBLE AS distinct_,
+        len(regexp_extract_all(d.text, '[^a-zA-Z \\n]')) / (1.0::DOUBLE + length(d.text)) AS odd, ln(1.0::DOUBLE + d.n_chars) / 10 AS length
+        FROM labels l JOIN documents d USING (doc_id)),
+    quality AS (SELECT doc_id, quality, distinct_ AS "distinct", odd, length, ((row_number() OVER (PARTITION BY quality ORDER BY {digest_sql('doc_id', 'fold')}, doc_id) - 1) % 5)::INTEGER AS fold FROM shown)"""
+
+
+def quality_rows(spark, sf):
+    """Labelled documents with the share of distinct words, of characters other than letters, and the length."""
+    docs = read_table(spark, sf, "documents")
+    words = F.split("text", " ", -1)
+    shown = docs.select(
+        "doc_id",
+        (F.size(F.array_distinct(words)) / F.size(words)).alias("distinct"),
+        (F.regexp_count("text", F.lit("[^a-zA-Z \\n]")) / (1.0 + F.length("text"))).alias("odd"),
+        (F.log(1.0 + F.col("n_chars")) / 10).alias("length"),
+    )
+    rows = read_table(spark, sf, "labels").select("doc_id", "quality").join(shown, "doc_id")
+    return pin(sampling.stratified_folds(rows, "quality", ["doc_id"], "fold", 5))
+
+
+LOGISTIC_STEPS = 8
+QUALITY_NAMES = ['"distinct"', "odd", "length"]
+LOGISTIC_SQL = (
+    QUALITY_SQL
+    + ", "
+    + logistic_solution("quality", QUALITY_NAMES, "quality", "fold", 5, LOGISTIC_STEPS, "0.01::DOUBLE")
+    + """, s AS (SELECT doc_id, quality, fold, 1 / (1 + exp(-greatest(least(w_1*"distinct" + w_2*odd + w_3*length + w_0, 30.0::DOUBLE), -30.0::DOUBLE))) AS score
+        FROM quality q JOIN logistic m ON q.fold = m.model)"""
+)
+
+
+def logistic_scored(spark, sf):
+    rows = quality_rows(spark, sf)
+    models = logistic.fit_logistic(rows, QUALITY, "quality", "fold", 5, LOGISTIC_STEPS, alpha=0.01)
+    return rows.withColumn("score", logistic.held_out_probability(models, "fold")), models
+
+
+@query("B3 F9", LOGISTIC_SQL + " SELECT doc_id, fold, round(score, 6) AS score FROM s")
+def logistic_out_of_fold(spark, sf):
+    scored, _ = logistic_scored(spark, sf)
+    return scored.select("doc_id", "fold", F.round("score", 6).alias("score"))
+
+
+@query(
+    "B3",
+    LOGISTIC_SQL + " SELECT model::INTEGER AS model, round(w_0, 5) AS intercept, round(w_1, 5) AS \"distinct\", round(w_2, 5) AS odd, round(w_3, 5) AS length FROM logistic",
+)
+def logistic_weights(spark, sf):
+    _, models = logistic_scored(spark, sf)
+    rows = [(i, round(m.intercept, 5), *[round(w, 5) for w in m.weights]) for i, m in models.items()]
+    return spark.createDataFrame(rows, "model int, intercept double, distinct double, odd double, length double")
+
+
+SIX = ["accuracy", "precision_macro", "recall_macro", "f1", "auc", "log_loss"]
+SIX_SQL = LOGISTIC_SQL + """, g AS (SELECT *, (score >= 0.5::DOUBLE)::INTEGER AS guess FROM s),
+    c AS (SELECT fold, count(*) FILTER (quality = 1 AND guess = 1)::DOUBLE AS tp, count(*) FILTER (quality = 0 AND guess = 1)::DOUBLE AS fp,
+        count(*) FILTER (quality = 1 AND guess = 0)::DOUBLE AS fn, count(*) FILTER (quality = 0 AND guess = 0)::DOUBLE AS tn,
+        -avg(ln(greatest(least(CASE WHEN quality = 1 THEN score ELSE 1 - score END, 1 - 1e-15::DOUBLE), 1e-15::DOUBLE))) AS log_loss FROM g GROUP BY fold),
+    p AS (SELECT fold, score AS sc, sum(quality)::DOUBLE AS h, (count(*) - sum(quality))::DOUBLE AS m FROM g GROUP BY fold, score),
+    r AS (SELECT *, sum(m) OVER (PARTITION BY fold ORDER BY sc) AS below FROM p),
+    a AS (SELECT fold, sum(h * (below - m/2)) / (sum(h) * sum(m)) AS auc FROM r GROUP BY fold),
+    six AS (SELECT fold, (tp+tn)/(tp+fp+fn+tn) AS accuracy, (coalesce(tp/nullif(tp+fp, 0), 0) + coalesce(tn/nullif(tn+fn, 0), 0))/2 AS precision_macro,
+        (coalesce(tp/nullif(tp+fn, 0), 0) + coalesce(tn/nullif(tn+fp, 0), 0))/2 AS recall_macro, coalesce(2*tp/nullif(2*tp+fp+fn, 0), 0) AS f1, auc, log_loss
+        FROM c JOIN a USING (fold))"""
+
+
+@query("B8 K14", SIX_SQL + " SELECT fold, " + ", ".join(f"round({c}, 6) AS {c}" for c in SIX) + " FROM six")
+def six_scores_per_fold(spark, sf):
+    """A model per fold, judged on the fold by the six scorers."""
+    scored, _ = logistic_scored(spark, sf)
+    found = metrics.six_scores(scored, "quality", "score", ["fold"])
+    return found.select("fold", *[F.round(c, 6).alias(c) for c in SIX])
+
+
+@query("B8 A19", SIX_SQL + " SELECT " + ", ".join(f"round(avg({c}), 6) AS {c}" for c in SIX) + " FROM six")
+def six_mean_scores(spark, sf):
+    scored, _ = logistic_scored(spark, sf)
+    found = metrics.six_scores(scored, "quality", "score", ["fold"])
+    return found.agg(*[F.round(F.avg(c), 6).alias(c) for c in SIX])
+
+
 @query("B3")
 def boosted_binary_scores(spark, sf):
-    """Probability of good quality from text length features, for the fifth of the rows kept from the fit."""
-    docs = read_table(spark, sf, "documents").select(
-        "doc_id", F.col("n_chars").cast("double").alias("n_chars"), F.size(F.split("text", " ")).cast("double").alias("words")
+    """Every labelled text scored by boosted trees that did not see it."""
+    rows = quality_rows(spark, sf).withColumn("quality", F.col("quality").cast("double"))
+    scored = learn.binary_boosted_folds(rows, QUALITY, "quality", "fold", 5)
+    return scored.select("doc_id", "fold", "quality", "score", "prediction")
+
+
+# Several classes: models per fold, probabilities of unseen rows, log loss and MAP@3 per fold, decoded top three
+
+
+def embedding_folds(spark, sf):
+    """Embeddings with a fold for training rows; test rows have none."""
+    emb = read_table(spark, sf, "embeddings").where("label IS NOT NULL")
+    test = sampling.holdout_flag(["vec_id"], "classes")
+    fold = sampling.fold_number(["vec_id"], "class folds", 5)
+    return emb.select("vec_id", "label", "embedding", test.alias("is_test"), F.when(~test, fold).alias("fold"))
+
+
+CLASS_FOLD_SQL = f"""WITH e AS (SELECT vec_id, label, embedding, {bucket32_sql('vec_id', 'classes')} / 4294967296.0::DOUBLE < 0.2::DOUBLE AS is_test,
+        {bucket32_sql('vec_id', 'class folds')} % 5 AS f FROM embeddings WHERE label IS NOT NULL),
+    flat AS (SELECT vec_id, label, is_test, f, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM e),
+    parts AS (SELECT f, label AS class, i, sum(v) AS s, count(*) AS n FROM flat WHERE NOT is_test GROUP BY ALL),
+    cen AS (SELECT g.f, class, i, sum(s) / sum(n) AS m FROM (SELECT DISTINCT f FROM parts) g JOIN parts p ON p.f <> g.f GROUP BY ALL),
+    d AS (SELECT vec_id, label, is_test, c.f, class, -sqrt(sum((v - m)*(v - m))) AS d FROM flat x JOIN cen c ON x.i = c.i AND (x.is_test OR x.f = c.f) GROUP BY ALL),
+    ex AS (SELECT *, exp(d - max(d) OVER (PARTITION BY vec_id, f)) AS e FROM d),
+    pr AS (SELECT vec_id, label, is_test, f, class, e / sum(e) OVER (PARTITION BY vec_id, f) AS p FROM ex)"""
+
+
+def centroid_models(spark, sf):
+    rows = embedding_folds(spark, sf)
+    return rows, cls.fold_centroids(rows, "label", "embedding", "fold")
+
+
+def centroid_probabilities(rows, models):
+    """Each training row by the centroids of the other folds."""
+    own = [F.when(F.col("fold") == i, cls.class_probabilities(F.col("embedding"), c)) for i, c in models.items()]
+    return rows.where("NOT is_test").withColumn("probs", F.coalesce(*own))
+
+
+@query("B4 F9", CLASS_FOLD_SQL + " SELECT vec_id, f::INTEGER AS fold, class, round(p, 8) AS p FROM pr WHERE NOT is_test")
+def centroid_out_of_fold(spark, sf):
+    rows, models = centroid_models(spark, sf)
+    names = F.array(*[F.lit(c) for c in next(iter(models.values()))])
+    long = centroid_probabilities(rows, models).select("vec_id", "fold", F.posexplode("probs").alias("i", "p"))
+    return long.select("vec_id", "fold", names[F.col("i")].alias("class"), F.round("p", 8).alias("p"))
+
+
+def class_fold_scores(rows, names):
+    """Log loss and MAP@3 per fold of rows with ``fold``, ``label`` and ``probs``."""
+    place = cls.class_position(F.col("label"), names)
+    marked = rows.select("fold", F.element_at("probs", place + 1).alias("p"), cls.true_rank(F.col("probs"), place).alias("rank"))
+    return marked.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"),
+        metrics.log_loss(F.col("p")).alias("log_loss"),
+        F.avg(metrics.reciprocal_hit(F.col("rank"), 3)).alias("map_3"),
     )
-    rows = read_table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("quality")).join(docs, "doc_id")
-    held = F.pmod("doc_id", F.lit(5)) == 0
-    scored = learn.binary_boosted(rows.where(~held), rows.where(held), ["n_chars", "words"], "quality")
-    return scored.select("doc_id", "quality", "score", "prediction")
+
+
+@query(
+    "B4 K6 K9",
+    CLASS_FOLD_SQL + """, rk AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, class) AS k FROM pr WHERE NOT is_test)
+    SELECT f::INTEGER AS fold, count(*) AS n, round(-avg(ln(greatest(least(p, 1 - 1e-15::DOUBLE), 1e-15::DOUBLE))), 8) AS log_loss,
+        round(avg(CASE WHEN k <= 3 THEN 1.0::DOUBLE / k ELSE 0 END), 8) AS map_3 FROM rk WHERE class = label GROUP BY f""",
+)
+def centroid_fold_scores(spark, sf):
+    rows, models = centroid_models(spark, sf)
+    found = class_fold_scores(centroid_probabilities(rows, models), list(next(iter(models.values()))))
+    return found.select("fold", "n", *[F.round(c, 8).alias(c) for c in ("log_loss", "map_3")])
+
+
+@query(
+    "B4 F10 P18",
+    CLASS_FOLD_SQL + """, mean AS (SELECT vec_id, class, avg(p) AS p FROM pr WHERE is_test GROUP BY vec_id, class),
+    rk AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, class) AS k FROM mean)
+    SELECT vec_id, string_agg(class::VARCHAR, ' ' ORDER BY k) AS labels FROM rk WHERE k <= 3 GROUP BY vec_id""",
+)
+def centroid_test_labels(spark, sf):
+    """Test rows: mean of the fold models, the three most probable labels in one string."""
+    rows, models = centroid_models(spark, sf)
+    each = [cls.class_probabilities(F.col("embedding"), c) for c in models.values()]
+    mean = F.transform(reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), each), lambda x: x / len(each))
+    top = cls.ranked_classes(mean, list(next(iter(models.values()))), 3)
+    return rows.where("is_test").select("vec_id", F.array_join(F.transform(top, lambda c: c.cast("string")), " ").alias("labels"))
+
+
+#: What tells the languages of the texts apart, as shares of all characters.
+MARKS = {"acute": "[áéíóú]", "grave": "[àèù]", "umlaut": "[äöüß]", "tilde": "ñ", "th": "th", "ei": "ei", "k": "k", "qu": "qu"}
+LANGUAGE_ROUNDS = 5
+
+
+def language_folds(spark, sf):
+    docs = read_table(spark, sf, "documents").where("lang IS NOT NULL")
+    shares = [
+        (F.regexp_count(F.lower("text"), F.lit(p)) / (1.0 + F.length("text"))).cast("double").alias(n) for n, p in MARKS.items()
+    ]
+    test = sampling.holdout_flag(["doc_id"], "languages")
+    fold = F.when(~test, sampling.fold_number(["doc_id"], "language folds", 5))
+    return pin(docs.select("doc_id", F.col("lang").alias("label"), test.alias("is_test"), fold.alias("fold"), *shares).na.fill(0.0, list(MARKS)))
+
+
+def boosted_languages(spark, sf, rounds=LANGUAGE_ROUNDS):
+    rows = language_folds(spark, sf)
+    names = distinct_values(rows, "label", cls.MOST_CLASSES)
+    train = rows.where("NOT is_test")
+    return rows, names, learn.boosted_class_folds(train, list(MARKS), "label", names, "fold", 5, rounds)
+
+
+@query("B4 F9")
+def boosted_class_probabilities(spark, sf):
+    """One boosted model per class and fold; every training row scored by models that did not see it."""
+    rows, names, models = boosted_languages(spark, sf)
+    scored = learn.class_probabilities_out_of_fold(rows.where("NOT is_test"), list(MARKS), "fold", models)
+    listed = F.array(*[F.lit(c) for c in names])
+    return scored.select("doc_id", "fold", "label", F.posexplode("probs").alias("i", "p")).select(
+        "doc_id", "fold", "label", listed[F.col("i")].alias("class"), "p"
+    )
+
+
+@query("B4 K6 K9")
+def boosted_class_fold_scores(spark, sf):
+    rows, names, models = boosted_languages(spark, sf)
+    scored = learn.class_probabilities_out_of_fold(rows.where("NOT is_test"), list(MARKS), "fold", models)
+    return class_fold_scores(scored, names)
+
+
+@query("B4 F10 P18")
+def boosted_test_labels(spark, sf):
+    rows, names, models = boosted_languages(spark, sf)
+    scored = learn.mean_class_probabilities(rows.where("is_test"), list(MARKS), models)
+    top = cls.ranked_classes(F.col("probs"), names, 3)
+    return scored.select("doc_id", "label", F.array_join(top, " ").alias("labels"))
 
 
 @query("B4")
 def forest_class_probabilities(spark, sf):
-    rows, held = read_table(spark, sf, "embeddings"), F.pmod("vec_id", F.lit(5)) == 0
-    scored = learn.forest_probabilities(rows.where(~held), rows.where(held), "embedding", "label")
-    return scored.select("vec_id", "label", "prediction", F.array_join(F.transform("probabilities", lambda p: F.format_number(p, 6)), " ").alias("probabilities"))
+    """Every embedding with the class shares of a random forest that did not see it."""
+    rows = read_table(spark, sf, "embeddings").withColumn("fold", sampling.fold_number(["vec_id"], "class folds", 5))
+    scored = learn.forest_folds(rows, "embedding", "label", "fold", 5)
+    return scored.select("vec_id", "fold", "label", "prediction", "probabilities")

@@ -99,3 +99,31 @@ def others(source: str, whole: str, features: int, key: str) -> str:
 
 def total_of(source: str, features: int) -> str:
     return "SELECT " + ", ".join(f"sum({m}) AS {m}" for m in moment_names(features)) + f" FROM {source}"
+
+
+def logistic_solution(source: str, features: list[str], label: str, fold: str, folds: int, steps: int, alpha: str) -> str:
+    """CTE list that fits a logistic model per fold on the other folds, and model -1 on all rows, from zero.
+
+    Each step is a weighted least-squares problem, solved as a ridge system.
+    The final CTE ``logistic`` holds model, w_1 .. w_p and w_0.
+    """
+    p = len(features)
+    score = " + ".join(f"w_{i}*{f}" for i, f in enumerate(features, 1)) + " + w_0"
+    zeros = ", ".join(f"0.0::DOUBLE AS w_{i}" for i in range(p + 1))
+    ctes = [f"step_0 AS (SELECT unnest(range(-1, {folds})) AS model, {zeros})"]
+    for k in range(1, steps + 1):
+        names = ", ".join(features)
+        ctes.append(
+            f"""eta_{k} AS (SELECT model, {names}, {label}::DOUBLE AS y, greatest(least({score}, 30.0::DOUBLE), -30.0::DOUBLE) AS eta
+        FROM {source} r JOIN step_{k - 1} m ON r.{fold} <> m.model),
+    p_{k} AS (SELECT *, 1 / (1 + exp(-eta)) AS p FROM eta_{k}),
+    z_{k} AS (SELECT *, p * (1 - p) AS w, eta + (y - p) / (p * (1 - p)) AS z FROM p_{k})"""
+        )
+        sums = ["sum(w) AS n", "sum(w*z) AS sy"]
+        sums += [f"sum(w*{f}) AS s_{i}" for i, f in enumerate(features, 1)]
+        sums += [f"sum(w*{f}*z) AS c_{i}" for i, f in enumerate(features, 1)]
+        sums += [f"sum(w*{a}*{b}) AS q_{i}_{j}" for i, a in enumerate(features, 1) for j, b in enumerate(features, 1) if j >= i]
+        ctes.append(f"sums_{k} AS MATERIALIZED (SELECT model, {', '.join(sums)} FROM z_{k} GROUP BY model)")
+        ctes.append(ridge_solution(f"sums_{k}", p, ["model"], alpha, f"it{k}_"))
+        ctes.append(f"step_{k} AS MATERIALIZED (SELECT * FROM it{k}_fitted)")
+    return ",\n".join([*ctes, f"logistic AS (SELECT * FROM step_{steps})"])

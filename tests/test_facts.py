@@ -42,3 +42,21 @@ def test_cluster_terms(spark):
     assert not values(facts.term_facts(found.withColumn("weight", -F.col("weight")), known))["ranked"]
     assert not values(facts.term_facts(found, known.where("term <> 't01'")))["known"]
     assert not values(facts.term_facts(found.limit(0), known))["ranked"]
+
+
+def test_binary_scores(spark):
+    rows = [(i, float(i % 2), 0.9 if i % 2 else 0.1, float(i % 2)) for i in range(20)]
+    good = spark.createDataFrame(rows, "doc_id long, quality double, score double, prediction double")
+    assert values(facts.binary_facts(good)) == {"rows": 20, "documents": 20, "in_range": True, "tells": True}
+    assert not values(facts.binary_facts(good.withColumn("quality", 1 - F.col("quality"))))["tells"]
+    assert not values(facts.binary_facts(good.withColumn("prediction", 1 - F.col("prediction"))))["in_range"]
+    assert not values(facts.binary_facts(good.limit(0)))["tells"]
+
+
+def test_class_probabilities(spark):
+    rows = [(d, "ab"[d % 2], c, 0.8 if c == "ab"[d % 2] else 0.2) for d in range(10) for c in "ab"]
+    good = spark.createDataFrame(rows, "doc_id long, label string, class string, p double")
+    assert values(facts.class_facts(good)) == {"documents": 10, "rows": 20, "whole": True, "tells": True}
+    assert not values(facts.class_facts(good.withColumn("p", 1 - F.col("p"))))["tells"]
+    assert not values(facts.class_facts(good.withColumn("p", F.col("p") * 2)))["whole"]
+    assert not values(facts.class_facts(good.limit(0)))["whole"]
