@@ -388,7 +388,8 @@ def scored(counts: DataFrame, candidates: DataFrame) -> DataFrame:
     known = counts.where((F.col("size") > 0) & (F.col("size") < F.lit(candidates.agg(F.max("size")).first()[0] or 0)))
     heads = known.select("lang", F.col("phrase").alias("head"), F.col("n").alias("l"))
     tails = known.select("lang", F.col("phrase").alias("tail"), F.col("n").alias("r"))
-    met = lookup(lookup(cut, heads, ["lang", "head"], pinned=True), tails, ["lang", "tail"], pinned=True)
+    # Plain joins: both sides are small beside the texts, and AQE splits a part that many candidates share.
+    met = cut.join(heads, ["lang", "head"]).join(tails, ["lang", "tail"])
     wide = {c: F.col(c).cast("decimal(19,0)") for c in ("a", "l", "r")}
     exact = met.withColumns({"x": F.lit(1_000_000).cast("decimal(7,0)") * (wide["a"] * wide["a"]), "y": wide["l"] * wide["r"]})
     return (
