@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -16,7 +18,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,17 +34,145 @@ def assembled(df: DataFrame, features: list[str]) -> DataFrame:
 def boosted_folds(
     df: DataFrame, features: list[str], target: str, fold: str, folds: int, rounds: int = 10, depth: int = 4
 ) -> tuple[list[GBTRegressionModel], DataFrame]:
-    """One boosted-tree model per fold and the predictions for the rows it did not see."""
-    ready = assembled(df, features)
-    models, scored = [], []
-    for i in range(folds):
-        learner = GBTRegressor(labelCol=target, maxIter=rounds, maxDepth=depth, seed=42)
-        model = learner.fit(ready.where(F.col(fold) != i))
-        models.append(model)
-        scored.append(model.transform(ready.where(F.col(fold) == i)))
+    """One boosted-tree model per fold and the predictions for the rows it did not see.
+
+    The assembled rows are written once; all folds read them, side by side.
+    """
+    ready = pin(assembled(df, features))
+
+    def job(i: int):
+        own = ready.where(F.col(fold) != i).select("features", target)
+        return lambda: GBTRegressor(labelCol=target, maxIter=rounds, maxDepth=depth, seed=42).fit(own)
+
+    models = _fitted_in_parallel([job(i) for i in range(folds)], folds)
+    scored = [m.transform(ready.where(F.col(fold) == i)) for i, m in enumerate(models)]
     return models, reduce(lambda a, b: a.unionByName(b), scored).drop("features")
 
 
+def with_categories(df: DataFrame, numbers: list[str], categories: list[str]) -> DataFrame:
+    """``df`` with ``features``: numbers, and categories as indices that tree learners split as sets.
+
+    A value without an index, such as null, has an index of its own.
+    """
+    indexed = [f"_{c}_index" for c in categories]
+    stages = [StringIndexer(inputCols=categories, outputCols=indexed, handleInvalid="keep")] if categories else []
+    stages.append(VectorAssembler(inputCols=[*numbers, *indexed], outputCol="features"))
+    return Pipeline(stages=stages).fit(df).transform(df).drop(*indexed)
+
+
+@dataclass(frozen=True)
+class Boosted:
+    """Boosting in blocks of rounds; of each block the first ``used`` rounds count.
+
+    ``curve`` lists (round, training error, validation error) of every round tried.
+    """
+
+    blocks: tuple[GBTRegressionModel, ...]
+    used: tuple[int, ...]
+    curve: tuple[tuple[int, float, float], ...]
+
+    @property
+    def best(self) -> int:
+        return sum(self.used)
+
+    def scored(self, df: DataFrame, name: str) -> DataFrame:
+        """``df``, which has ``features``, with one more column."""
+        made, parts = df, []
+        for k, (block, used) in enumerate(zip(self.blocks, self.used, strict=True)):
+            if used == block.getNumTrees:
+                made = block.copy({block.predictionCol: f"_b{k}"}).transform(made)
+                parts.append(F.col(f"_b{k}"))
+                continue
+            for i, (tree, weight) in enumerate(zip(block.trees[:used], block.treeWeights[:used], strict=True)):
+                made = tree.copy({tree.predictionCol: f"_b{k}_{i}"}).transform(made)
+                parts.append(F.col(f"_b{k}_{i}") * weight)
+        total = reduce(lambda a, b: a + b, parts, F.lit(0.0))
+        return made.withColumn(name, total).select(*df.columns, name)
+
+
+def boosted_with_patience(
+    train: DataFrame, valid: DataFrame, target: str, rounds: int = 1000, patience: int = 100, block: int = 25,
+    depth: int = 6, step: float = 0.1, bins: int = 64,
+) -> Boosted:
+    """Boosted trees until the error on ``valid`` has not fallen for ``patience`` rounds, cut back to the best one.
+
+    ``block`` rounds are fitted at a time, on what the earlier blocks left; the
+    rests are written, so no round goes through earlier trees again. Without
+    validation rows all rounds are taken. Both tables have ``features``.
+    """
+    left, right = ([df.select("features", F.col(target).cast("double").alias("_rest"))] for df in (train, valid))
+    judged = not valid.isEmpty()
+    blocks: list[GBTRegressionModel] = []
+    curve: list[tuple[int, float, float]] = []
+    best, least = 0, math.inf
+    while len(curve) < rounds:
+        n = min(block, rounds - len(curve))
+        model = GBTRegressor(labelCol="_rest", maxIter=n, maxDepth=depth, stepSize=step, maxBins=bins, seed=42 + len(curve)).fit(left[0])
+        seen = model.evaluateEachIteration(left[0], "squared")
+        errors = model.evaluateEachIteration(right[0], "squared") if judged else [math.nan] * len(seen)
+        for here, there in zip(seen, errors, strict=True):
+            curve.append((len(curve) + 1, float(here), float(there)))
+            if not judged or there < least:
+                best, least = len(curve), there
+        blocks.append(model)
+        if len(curve) - best >= patience or len(curve) >= rounds:
+            break
+        for side in (left, right):
+            rest = F.col("_rest") - F.col("prediction")
+            side[0] = pin(model.transform(side[0]).select("features", rest.alias("_rest")))
+    used, start = [], 0
+    for model in blocks:
+        used.append(max(0, min(model.getNumTrees, best - start)))
+        start += model.getNumTrees
+    kept = [(m, u) for m, u in zip(blocks, used, strict=True) if u]
+    return Boosted(tuple(m for m, _ in kept), tuple(u for _, u in kept), tuple(curve))
+
+
+def patient_folds(
+    df: DataFrame, numbers: list[str], categories: list[str], target: str, fold: str, folds: int, parallelism: int = 5, **settings
+) -> tuple[dict[int, Boosted], DataFrame]:
+    """Per fold a model that stops early on the fold itself, as the rows scored by it do; and those scores.
+
+    The rows are written once, with their features. ``settings`` go to
+    :func:`boosted_with_patience`.
+    """
+    ready = pin(with_categories(df, numbers, categories))
+
+    def job(i: int):
+        train, valid = ready.where(F.col(fold) != i), ready.where(F.col(fold) == i)
+        return lambda: boosted_with_patience(train, valid, target, **settings)
+
+    models = dict(enumerate(_fitted_in_parallel([job(i) for i in range(folds)], parallelism)))
+    parts = [m.scored(ready.where(F.col(fold) == i), "prediction") for i, m in models.items()]
+    return models, reduce(lambda a, b: a.unionByName(b), parts).drop("features")
+
+
+def forest_regression_folds(
+    df: DataFrame, numbers: list[str], categories: list[str], target: str, fold: str, folds: int, trees: int = 40, depth: int = 10
+) -> DataFrame:
+    """Every row with the prediction of a random forest that was fitted on the other folds."""
+    ready = pin(with_categories(df, numbers, categories))
+
+    def job(i: int):
+        own = ready.where(F.col(fold) != i)
+        return lambda: RandomForestRegressor(labelCol=target, numTrees=trees, maxDepth=depth, maxBins=64, seed=42).fit(own)
+
+    models = _fitted_in_parallel([job(i) for i in range(folds)], folds)
+    parts = [m.transform(ready.where(F.col(fold) == i)) for i, m in enumerate(models)]
+    return reduce(lambda a, b: a.unionByName(b), parts).drop("features")
+
+
+def fold_curves(spark, models: dict[int, Boosted]) -> DataFrame:
+    """(fold, part, iteration, mse) of every round that was tried."""
+    rows = [
+        (i, part, n, error)
+        for i, m in models.items()
+        for n, here, there in m.curve
+        for part, error in (("train", here), ("valid", there))
+    ]
+    return spark.createDataFrame(rows, "fold int, part string, iteration int, mse double")
+
+
 def mean_of_models(models: list, df: DataFrame, features: list[str], key: list[str]) -> DataFrame:
     """Mean prediction of the fold models; each model adds one column, so nothing is shuffled."""
     ready = assembled(df, features)

@@ -62,6 +62,45 @@ def boosted_importances_facts(spark, sf):
     )
 
 
+SIZED_SQL = "FROM documents WHERE text IS NOT NULL AND n_chars IS NOT NULL"
+
+
+@query("B1 B5 F6 F9", f"SELECT count(*) AS rows, count(DISTINCT doc_id) AS documents, {FOLDS} AS folds, round(sum(ln(1.0::DOUBLE + n_chars)), 3) AS targets, true AS tells {SIZED_SQL}")
+def patient_facts(spark, sf):
+    """Every document is scored once; the error is below a third of that of the best constant."""
+    return error_facts(modelling.patient_out_of_fold(spark, sf))
+
+
+def error_facts(found, share=1 / 3):
+    error, spread = F.sqrt(F.avg((F.col("prediction") - F.col("target")) ** 2)), F.stddev_pop("target")
+    return found.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.countDistinct("doc_id").alias("documents"),
+        F.countDistinct("fold").cast("int").alias("folds"),
+        F.round(F.sum("target"), 3).alias("targets"),
+        F.coalesce(error < share * spread, F.lit(False)).alias("tells"),
+    )
+
+
+@query("K15 B5", f"SELECT unnest(range({FOLDS}))::INTEGER AS fold, true AS gapless, true AS falls, true AS waited")
+def patient_curve_facts(spark, sf):
+    """Rounds without a gap, training errors that fall, and an end once the patience is over."""
+    return curve_facts(modelling.patient_curves(spark, sf), modelling.SIZE_ROUNDS, modelling.SIZE_PATIENCE)
+
+
+def curve_facts(curves, rounds, patience):
+    sides = curves.groupBy("fold", "iteration").agg(
+        F.max(F.when(F.col("part") == "train", F.col("mse"))).alias("train"),
+        F.max(F.when(F.col("part") == "valid", F.col("mse"))).alias("valid"),
+    )
+    best, last = F.min_by("iteration", F.struct("valid", "iteration")), F.max("iteration")
+    return sides.groupBy("fold").agg(
+        ((F.count("train") == last) & (F.count("valid") == last)).alias("gapless"),
+        (F.max_by("train", "iteration") < F.min_by("train", "iteration")).alias("falls"),
+        ((last == rounds) | (last - best >= patience)).alias("waited"),
+    )
+
+
 @query("B3", "SELECT count(*) AS rows, count(DISTINCT doc_id) AS documents, true AS in_range, true AS tells FROM labels JOIN documents USING (doc_id)")
 def boosted_binary_facts(spark, sf):
     """Every labelled text is scored once, and good ones score higher."""

@@ -6,11 +6,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabulark.functions.numeric import tidy
-from tabulark.operators import ensemble, learn, linear, metrics, tuning
+from tabulark.operators import ensemble, learn, linear, metrics, sampling, tuning
 from tabulark.operators.scale import LinearScale
 from tabulark.plans.preparation import STORE_SQL
 from tabulark.plans.registry import query
 from tabulark.plans.shared import FEATURES, FOLDS, LINE_SQL, line_items, wide_store
+from tabulark.plans.sqlbits import digest as digest_sql
 from tabulark.plans.sqlbits import moment_sums, others, ridge_solution, total_of
 from tabulark.plans.sqlbits import tidy as tidy_sql
 from tabulark.session import fresh_folder, pin, read_table
@@ -397,6 +398,88 @@ def boosted_grid_search(spark, sf):
     return tuning.ranked(found, "rmse", rising=True)
 
 
+# Boosting with patience on a target with signal: the size of a text, from its words and its language
+
+
+SIZE_NUMBERS, SIZE_CATEGORIES = ["words", "lines", "distinct"], ["lang"]
+SIZE_ROUNDS, SIZE_PATIENCE = 120, 20
+
+
+def sized_documents(spark, sf):
+    """Documents with the log of their size, and folds that are even over ten quantile bins of the word count."""
+    words = F.split("text", " ", -1)
+    docs = read_table(spark, sf, "documents").where("text IS NOT NULL AND n_chars IS NOT NULL").select(
+        "doc_id",
+        F.size(words).cast("double").alias("words"),
+        F.size(F.split("text", "\\n", -1)).cast("double").alias("lines"),
+        (F.size(F.array_distinct(words)) / F.size(words)).alias("distinct"),
+        F.coalesce("lang", F.lit("und")).alias("lang"),
+        F.log1p("n_chars").alias("target"),
+    )
+    edges = sampling.quantile_edges(docs, "words", 10)
+    binned = docs.withColumn("bin", sampling.quantile_bin("words", edges))
+    return pin(sampling.stratified_folds(binned, "bin", ["doc_id"], "sizes", FOLDS))
+
+
+def patient_models(spark, sf):
+    rows = sized_documents(spark, sf)
+    return learn.patient_folds(
+        rows, SIZE_NUMBERS, SIZE_CATEGORIES, "target", "fold", FOLDS, rounds=SIZE_ROUNDS, patience=SIZE_PATIENCE, depth=4
+    )
+
+
+@query("B1 B5 F6 F9")
+def patient_out_of_fold(spark, sf):
+    """Every document scored by a model that did not see it and stopped at its best round."""
+    _, scored = patient_models(spark, sf)
+    return scored.select("doc_id", "fold", "target", "prediction")
+
+
+@query("B5 K15")
+def patient_curves(spark, sf):
+    models, _ = patient_models(spark, sf)
+    return learn.fold_curves(spark, models)
+
+
+@query("B5")
+def patient_rounds(spark, sf):
+    """Per fold the best round, the rounds tried, and the validation error of the best."""
+    models, _ = patient_models(spark, sf)
+    rows = [(i, m.best, len(m.curve), m.curve[m.best - 1][2]) for i, m in models.items()]
+    return spark.createDataFrame(rows, "fold int, best_round int, rounds int, mse double")
+
+
+@query("B1 F6 B11")
+def two_family_blend(spark, sf):
+    """Boosted trees and a random forest on the same bin folds, and half of each."""
+    rows = sized_documents(spark, sf)
+    _, boosted = learn.patient_folds(
+        rows, SIZE_NUMBERS, SIZE_CATEGORIES, "target", "fold", FOLDS, rounds=SIZE_ROUNDS, patience=SIZE_PATIENCE, depth=4
+    )
+    forest = learn.forest_regression_folds(rows, SIZE_NUMBERS, SIZE_CATEGORIES, "target", "fold", FOLDS)
+    both = boosted.select("doc_id", "fold", "target", F.col("prediction").alias("boosted")).join(
+        forest.select("doc_id", F.col("prediction").alias("forest")), "doc_id"
+    )
+    return both.withColumn("blend", 0.5 * F.col("boosted") + 0.5 * F.col("forest"))
+
+
+SIZE_BIN_SQL = """WITH w AS (SELECT doc_id, len(string_split(text, ' '))::DOUBLE AS words FROM documents WHERE text IS NOT NULL AND n_chars IS NOT NULL),
+    q AS (SELECT quantile_cont(words, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) AS edges FROM w),
+    e AS (SELECT DISTINCT unnest(edges) AS edge FROM q),
+    inner_edges AS (SELECT edge FROM e WHERE edge > (SELECT min(edge) FROM e) AND edge < (SELECT max(edge) FROM e)),
+    b AS (SELECT doc_id, (SELECT count(*) FROM inner_edges WHERE edge <= words) AS bin FROM w),"""
+
+
+@query(
+    "F6",
+    SIZE_BIN_SQL + f""" f AS (SELECT doc_id, bin, ((row_number() OVER (PARTITION BY bin ORDER BY {digest_sql('doc_id', 'sizes')}, doc_id) - 1) % {FOLDS})::INTEGER AS fold FROM b)
+    SELECT doc_id, bin::INTEGER AS bin, fold FROM f""",
+)
+def size_bin_folds(spark, sf):
+    """The folds of the models above."""
+    return sized_documents(spark, sf).select("doc_id", "bin", "fold")
+
+
 @query(
     "S7 E6",
     """WITH seg AS (SELECT c_mktsegment, row_number() OVER (ORDER BY count(*) DESC, c_mktsegment) - 1 AS slot

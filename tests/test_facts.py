@@ -60,3 +60,19 @@ def test_class_probabilities(spark):
     assert not values(facts.class_facts(good.withColumn("p", 1 - F.col("p"))))["tells"]
     assert not values(facts.class_facts(good.withColumn("p", F.col("p") * 2)))["whole"]
     assert not values(facts.class_facts(good.limit(0)))["whole"]
+
+
+def test_errors(spark):
+    good = spark.createDataFrame([(i, i % 2, float(i), i + 0.1) for i in range(10)], "doc_id long, fold int, target double, prediction double")
+    assert values(facts.error_facts(good)) == {"rows": 10, "documents": 10, "folds": 2, "targets": 45.0, "tells": True}
+    assert not values(facts.error_facts(good.withColumn("prediction", F.lit(4.5))))["tells"]
+    assert not values(facts.error_facts(good.limit(0)))["tells"]
+
+
+def test_curves(spark):
+    rows = [(0, p, n, e) for p, es in (("train", [4.0, 3.0, 2.0, 1.0]), ("valid", [4.0, 2.0, 3.0, 3.0])) for n, e in enumerate(es, 1)]
+    good = spark.createDataFrame(rows, "fold int, part string, iteration int, mse double")
+    assert values(facts.curve_facts(good, 9, 2)) == {"fold": 0, "gapless": True, "falls": True, "waited": True}
+    assert not values(facts.curve_facts(good, 9, 3))["waited"]
+    assert not values(facts.curve_facts(good.where("iteration <> 2"), 9, 2))["gapless"]
+    assert not values(facts.curve_facts(good.withColumn("mse", -F.col("mse")), 9, 2))["falls"]
