@@ -43,6 +43,14 @@ def pair_sums(cols: list[str]) -> list[Column]:
     ]
 
 
+def log_pair_sums(cols: list[str]) -> list[Column]:
+    """log1p of ``a*b + c*d`` for every four-fold pick with repetition."""
+    return [
+        F.log1p(_product(p[:2]) + _product(p[2:])).alias("log_" + _named(p, "_p_"))
+        for p in combinations_with_replacement(cols, 4)
+    ]
+
+
 def ratios(cols: list[str], shift: float = RATIO_SHIFT) -> list[Column]:
     """``a / (b + shift)`` for every pair with repetition."""
     return [

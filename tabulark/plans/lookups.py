@@ -326,6 +326,16 @@ def log_product_features(spark, sf):
     return made.select("row_id", *[F.round(c, 8).alias(c) for c in made.columns if c != "row_id"])
 
 
+@query("E11", _rows_sql({"log_" + _named(p, "_x_"): f"ln(1 + {_product_sql(p)})" for p in _picks(3)}, 8))
+def log_three_way_products(spark, sf):
+    return _rows(line_items(spark, sf).select("row_id", *feat.log_products(FEATURES, 3)), 8)
+
+
+@query("E11", _rows_sql({"log_" + _named(p, "_p_"): f"ln(1 + {p[0]}*{p[1]}+{p[2]}*{p[3]})" for p in _picks(4)}, 8))
+def log_four_way_sums(spark, sf):
+    return _rows(line_items(spark, sf).select("row_id", *feat.log_pair_sums(FEATURES)), 8)
+
+
 DOMAIN = {
     "body_index": "price / ((quantity / 100) * (quantity / 100))",
     "intensity": "price / line",

@@ -396,6 +396,38 @@ def sentences_with_several_numbers(spark, sf):
     )
 
 
+NAMED_SQL = (
+    MENTION_SQL
+    + ", top AS (SELECT entity FROM nm JOIN fr USING (entity) GROUP BY entity ORDER BY count(*) DESC, encode(entity) LIMIT 1), "
+    + SENTENCE_SQL.removeprefix("WITH ")
+    + f", named AS (SELECT doc_id, sentence_no, sentence, regexp_extract_all(sentence, '{ent.NAME_WORD}') AS es FROM sen)"
+)
+
+
+def sentences_about(spark, sf, least):
+    """Sentences that hold the most frequent name of the corpus, and so many names in all."""
+    docs = documents(spark, sf)
+    names = pin(ent.frequent_names(docs, "text", NAME_DOCUMENTS))
+    counts = ent.entity_counts(ent.listed_entities(docs, ["doc_id"], "text", names, "NAME"))
+    first = counts.orderBy(F.desc("n"), "entity").first()
+    name = first["entity"] if first else ""
+    found = ent.mentioning(ent.sentence_rows(docs, "doc_id", "text"), "NAME", least=least, entity=name)
+    return found.select("doc_id", F.col("sentence_no").cast("long").alias("sentence_no"), F.md5("sentence").alias("sentence_md5"), F.lit(name).alias("entity"))
+
+
+@query("T18", NAMED_SQL + " SELECT doc_id, sentence_no, md5(sentence) AS sentence_md5, entity FROM named, top WHERE list_contains(es, entity)")
+def sentences_about_a_name(spark, sf):
+    return sentences_about(spark, sf, 1)
+
+
+@query(
+    "T19",
+    NAMED_SQL + " SELECT doc_id, sentence_no, md5(sentence) AS sentence_md5, entity FROM named, top WHERE list_contains(es, entity) AND len(es) >= 2",
+)
+def sentences_about_a_name_and_others(spark, sf):
+    return sentences_about(spark, sf, 2)
+
+
 SPAN_SQL = SENTENCE_SQL + f""", al AS (SELECT *, regexp_extract_all(sentence, '{ent.PATTERNS['PHONE']}') AS es,
         regexp_split_to_array(sentence, '{ent.PATTERNS['PHONE']}') AS gs FROM sen),
     em AS (SELECT doc_id, sentence_no, sentence, gs, es, unnest(es) AS entity, generate_subscripts(es, 1) AS k FROM al),
