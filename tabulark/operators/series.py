@@ -202,3 +202,20 @@ def early_stop(
         F.coalesce(F.min_by("_v", stops), F.max_by("_v", "step")).alias("best_value"),
         (F.min(stops) + patience).alias("stop_step"),
     )
+
+
+def pair_moments(df: DataFrame, series: str, at: str, value: str) -> DataFrame:
+    """(first, second, correlation, covariance, n) of every two series over the times that both have.
+
+    The values of a time form one block; its outer product is added up per
+    pair, map-side first. There is no limit on the number of series, and a
+    block is as large as the number of series. A series has one value per time.
+    """
+    block = F.collect_list(F.struct(F.col(series).alias("s"), F.col(value).cast("double").alias("x")))
+    blocks = df.where(F.col(value).isNotNull()).groupBy(at).agg(block.alias("_v"))
+    outer = F.flatten(
+        F.transform("_v", lambda a: F.transform("_v", lambda b: F.struct(a["s"].alias("first"), b["s"].alias("second"), a["x"].alias("x"), b["x"].alias("y"))))
+    )
+    return blocks.select(F.explode(outer).alias("_p")).select("_p.*").groupBy("first", "second").agg(
+        F.corr("x", "y").alias("correlation"), F.covar_samp("x", "y").alias("covariance"), F.count(F.lit(1)).alias("n")
+    )

@@ -7,7 +7,6 @@ import math
 from pyspark.sql import functions as F
 
 from tabulark.operators import pricing, series
-from tabulark.operators.project import distinct_values
 from tabulark.plans.registry import query
 from tabulark.plans.sqlbits import density, distribution
 from tabulark.session import read_table
@@ -285,21 +284,9 @@ RETURN_SQL = DAILY_SQL + ", r AS (SELECT event_type, day, ln(nullif(price, 0) /
     FROM r a JOIN r b ON a.day = b.day WHERE a.x IS NOT NULL AND b.x IS NOT NULL GROUP BY a.event_type, b.event_type""",
 )
 def return_correlations(spark, sf):
-    """Daily returns side by side, one column per series, then one aggregate for all pairs."""
     moved = series.log_return(daily_last(spark, sf), ["event_type"], ["day"], "price").where("log_return IS NOT NULL")
-    names = distinct_values(moved, "event_type", most=50)
-    wide = moved.groupBy("day").agg(*[F.max(F.when(F.col("event_type") == n, F.col("log_return"))).alias(n) for n in names])
-    pairs = [
-        F.struct(
-            F.lit(a).alias("first"),
-            F.lit(b).alias("second"),
-            F.round(F.corr(a, b), 6).alias("correlation"),
-            F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias("days"),
-        )
-        for a in names
-        for b in names
-    ]
-    return wide.agg(F.array(*pairs).alias("_p")).select(F.explode("_p").alias("_p")).select("_p.*")
+    pairs = series.pair_moments(moved, "event_type", "day", "log_return")
+    return pairs.select("first", "second", F.round("correlation", 6).alias("correlation"), F.col("n").alias("days"))
 
 
 @query("Q7", RETURN_SQL + " SELECT event_type, round(stddev_samp(x), 6) AS volatility FROM r GROUP BY event_type")

@@ -138,3 +138,22 @@ def test_code_by_first_seen(spark, widths):
     rows = spark.createDataFrame([(3, "b"), (1, "c"), (2, "a"), (4, "c"), (5, None)], "i int, k string")
     assert {r["k"]: r["code"] for r in code_by_first_seen(rows, "k", "i").collect()} == {"c": 0, "a": 1, "b": 2}
     assert {r["k"]: r["code"] for r in code_by_value(rows, "k").collect()} == {"a": 0, "b": 1, "c": 2}
+
+
+def test_pair_moments_of_many_series(spark):
+    import numpy as np
+
+    from tabulark.operators.series import pair_moments
+
+    rng = np.random.default_rng(1)
+    values = rng.normal(size=(40, 70))
+    rows = [(f"s{j}", i, float(values[i, j])) for i in range(40) for j in range(70) if (i + j) % 5]
+    rows += [("s0", 99, None)]
+    got = {(r["first"], r["second"]): r for r in pair_moments(spark.createDataFrame(rows, "s string, t int, x double"), "s", "t", "x").collect()}
+    assert len(got) == 70 * 70
+    for a, b in ((0, 1), (5, 5), (69, 3)):
+        days = [i for i in range(40) if (i + a) % 5 and (i + b) % 5]
+        x, y = values[days, a], values[days, b]
+        found = got[f"s{a}", f"s{b}"]
+        assert found["n"] == len(days)
+        assert abs(found["correlation"] - np.corrcoef(x, y)[0, 1]) < 1e-9 and abs(found["covariance"] - np.cov(x, y)[0, 1]) < 1e-9
