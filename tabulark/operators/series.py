@@ -169,22 +169,33 @@ def _records(df: DataFrame, by: list[str], order: list[str], value: str) -> Data
 def _accepted(records: DataFrame, by: list[str], min_delta: float) -> DataFrame:
     """Records that beat the last accepted one by more than ``min_delta``.
 
-    Every round moves all series to their next accepted record, so the rounds
-    are bounded by the accepted records of one series, not by its rows.
+    Records fall, so the next one that may follow is found by one merge of two
+    orders: the records, and what each of them asks for. Pointer doubling then
+    marks what the first record leads to; its rounds grow with the logarithm of
+    the accepted records of a series.
     """
-    records = pin(records)
-    current = records.where("step = 1").select(*by, "step", "steps", "_v")
-    accepted = current
-    while True:
-        best = current.select(*by, F.col("step").alias("_at"), F.col("_v").alias("_best"))
-        ahead = lookup(records, best, by, pinned=True).where(
-            (F.col("step") > F.col("_at")) & (F.col("_v") < F.col("_best") - F.lit(min_delta))
-        )
-        nearest = F.min_by(F.struct("step", "steps", "_v"), "step").alias("_n")
-        current = pin(ahead.groupBy(*by).agg(nearest).select(*by, "_n.*"))
-        if current.isEmpty():
-            return accepted
-        accepted = accepted.unionByName(current)
+    keys = ["_v", "_kind"]
+    numbers = [F.col(c) for c in by]
+    # Falling values with a record before a demand of the same size: only smaller ones answer it.
+    sides = [F.struct((-F.col("_v")).alias("_v"), F.lit(0).alias("_kind")), F.struct((F.lit(min_delta) - F.col("_v")).alias("_v"), F.lit(1).alias("_kind"))]
+    merged = records.select(*numbers, "step", "steps", F.col("_v").alias("_value"), F.explode(F.array(*sides)).alias("_s")).select(
+        *by, "step", "steps", "_value", "_s._v", "_s._kind"
+    )
+    order = [*keys, "step"]
+    counted = running_sums(place(merged, by, order), by, order, {"_upto": (F.col("_kind") == 0).cast("long")})
+    own = counted.where("_kind = 0").select(*by, "step", "steps", F.col("_value").alias("_v"), F.col("_upto").alias("_at"))
+    after = counted.where((F.col("_kind") == 1) & (F.col("_upto") < F.col("_upto_total"))).select(
+        *by, "step", (F.col("_upto") + 1).alias("_next")
+    )
+    nodes = pin(null_safe_join(own, after, [*by, "step"], "left"))
+    reached = nodes.where("_at = 1").select(*by, "_at")
+    jump = nodes.where("_next IS NOT NULL").select(*by, "_at", "_next")
+    while not jump.isEmpty():
+        further = null_safe_join(reached, jump, [*by, "_at"]).select(*by, F.col("_next").alias("_at"))
+        reached = pin(reached.unionByName(further))
+        onward = jump.select(*by, F.col("_at").alias("_next"), F.col("_next").alias("_then"))
+        jump = pin(null_safe_join(jump, onward, [*by, "_next"]).select(*by, "_at", F.col("_then").alias("_next")))
+    return null_safe_join(nodes, reached, [*by, "_at"], "left_semi").select(*by, "step", "steps", "_v")
 
 
 def early_stop(

@@ -157,3 +157,13 @@ def test_pair_moments_of_many_series(spark):
         found = got[f"s{a}", f"s{b}"]
         assert found["n"] == len(days)
         assert abs(found["correlation"] - np.corrcoef(x, y)[0, 1]) < 1e-9 and abs(found["covariance"] - np.cov(x, y)[0, 1]) < 1e-9
+
+
+def test_early_stop_takes_logarithmically_many_rounds(spark, monkeypatch):
+    written = []
+    pinned = series.pin
+    monkeypatch.setattr(series, "pin", lambda df: written.append(1) or pinned(df))
+    falling = spark.createDataFrame([(1, i, 1000.0 - 2 * i) for i in range(300)] + [(2, 0, 5.0), (2, 1, 4.5)], "user int, at int, v double")
+    got = {r["user"]: tuple(r)[1:] for r in series.early_stop(falling, ["user"], ["at"], "v", 3, 1.0).collect()}
+    assert got == {1: (300, 402.0, None), 2: (1, 5.0, None)}
+    assert len(written) < 30
