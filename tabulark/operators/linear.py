@@ -12,9 +12,6 @@ from tabulark.functions.numeric import total
 from tabulark.operators.joins import bounded_rows
 
 
-ORIGIN_ROWS = 1_000
-
-
 @dataclass(frozen=True)
 class Moments:
     """Sums of products of (1, features..., target), measured from ``origin``; they add up over folds."""
@@ -55,9 +52,9 @@ class Moments:
 
 
 def origin_of(df: DataFrame, names: list[str]) -> np.ndarray:
-    """Mean of the first few rows that come along, with a leading 0 for the constant."""
-    near = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in names]).take(ORIGIN_ROWS)
-    return np.concatenate([[0.0], np.mean(near, axis=0) if near else np.zeros(len(names))])
+    """Mean of all rows, with a leading 0 for the constant; a column without values counts 0."""
+    row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"_{i}") for i, c in enumerate(names)]).first()
+    return np.array([0.0, *[x if x is not None else 0.0 for x in row]])
 
 
 def moments_by_fold(
@@ -70,7 +67,7 @@ def moments_by_fold(
 ) -> dict[int, Moments]:
     """One aggregate row per fold; the products are summed map-side first.
 
-    Values are measured from ``origin``, by default the mean of a few rows. Any
+    Values are measured from ``origin``, by default the mean of all rows. Any
     origin gives the same moments; one inside the data keeps the digits that
     large values would cost. Rows with a null fold belong to no moment.
     """

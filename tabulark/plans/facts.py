@@ -43,13 +43,22 @@ def boosted_test_mean_facts(spark, sf):
     return _scored_once(modelling.boosted_test_mean(spark, sf), truth, "row_id")
 
 
-@query("K15 B5", "SELECT part, 1 AS first, true AS gapless, true AS improved FROM (VALUES ('train'), ('test')) v(part)")
+@query("K15 B5", "SELECT 1 AS first, true AS gapless, true AS improved")
 def boosted_learning_curve_facts(spark, sf):
-    curve = modelling.boosted_learning_curve(spark, sf)
-    return curve.groupBy("part").agg(
+    """Both parts have every round from 1 on, and the training error ends below its start."""
+    return plain_curve_facts(modelling.boosted_learning_curve(spark, sf))
+
+
+def plain_curve_facts(curve):
+    train = F.when(F.col("part") == "train", F.col("mse"))
+    rounds, at = F.max("iteration"), F.when(train.isNotNull(), F.col("iteration"))
+    return curve.agg(
         F.min("iteration").alias("first"),
-        (F.max("iteration") == F.count(F.lit(1))).alias("gapless"),
-        (F.first("part").eqNullSafe("test") | (F.max_by("mse", "iteration") <= F.min_by("mse", "iteration"))).alias("improved"),
+        F.coalesce(
+            (F.count_if(F.col("part") == "train") == rounds) & (F.count_if(F.col("part") == "test") == rounds), F.lit(False)
+        ).alias("gapless"),
+        # A model that stopped at once has one round to show.
+        F.coalesce((rounds == 1) | (F.max_by(train, at) < F.min_by(train, at)), F.lit(False)).alias("improved"),
     )
 
 
@@ -258,8 +267,14 @@ def term_facts(found, known):
 
 @query("T15", "SELECT topic, 10 AS terms, true AS ranked FROM (SELECT unnest(range(10))::INTEGER AS topic)")
 def topic_keywords_facts(spark, sf):
-    return text_mining.topic_keywords(spark, sf).groupBy(F.col("topic").cast("int").alias("topic")).agg(
-        F.countDistinct("term").alias("terms"), (F.countDistinct("rank") == 10).alias("ranked")
+    """Ten terms a topic, ranked by falling weight."""
+    return topic_facts(pin(text_mining.topic_keywords(spark, sf)))
+
+
+def topic_facts(found):
+    falls = F.coalesce(F.lag("weight").over(Window.partitionBy("topic").orderBy("rank")) >= F.col("weight"), F.col("rank") == 1)
+    return found.withColumn("falls", falls & (F.col("weight") > 0)).groupBy(F.col("topic").cast("int").alias("topic")).agg(
+        F.countDistinct("term").alias("terms"), (F.bool_and("falls") & (F.max("rank") == F.count(F.lit(1)))).alias("ranked")
     )
 
 
@@ -273,12 +288,24 @@ def topic_shares_facts(spark, sf):
     )
 
 
-@query("W3", "SELECT count(*) AS rows, count(DISTINCT doc_id) AS documents, 5 AS keywords FROM documents")
+@query(
+    "W3",
+    """SELECT count(*) AS rows, count(DISTINCT doc_id) AS documents, 5 AS keywords, true AS strongest,
+        sum(doc_id)::BIGINT AS ids FROM documents""",
+)
 def main_topics_facts(spark, sf):
-    return text_mining.main_topics(spark, sf).agg(
+    """One topic per document, no weaker than an equal share, with five keywords."""
+    return main_topic_facts(text_mining.main_topics(spark, sf))
+
+
+def main_topic_facts(found):
+    return found.agg(
         F.count(F.lit(1)).alias("rows"),
         F.countDistinct("doc_id").alias("documents"),
         F.max(F.size(F.split("keywords", ", "))).alias("keywords"),
+        # A document without a known word has no share at all.
+        F.coalesce(F.bool_and((F.col("share") >= 0.0999) & (F.col("share") <= 1) | (F.col("share") == 0)), F.lit(False)).alias("strongest"),
+        F.sum("doc_id").alias("ids"),
     )
 
 

@@ -76,3 +76,24 @@ def test_curves(spark):
     assert not values(facts.curve_facts(good, 9, 3))["waited"]
     assert not values(facts.curve_facts(good.where("iteration <> 2"), 9, 2))["gapless"]
     assert not values(facts.curve_facts(good.withColumn("mse", -F.col("mse")), 9, 2))["falls"]
+
+
+def test_plain_curves(spark):
+    rows = [(p, n, e / n) for p, e in (("train", 4.0), ("test", 5.0)) for n in (1, 2, 3)]
+    good = spark.createDataFrame(rows, "part string, iteration int, mse double")
+    assert values(facts.plain_curve_facts(good)) == {"first": 1, "gapless": True, "improved": True}
+    assert not values(facts.plain_curve_facts(good.withColumn("mse", F.lit(1.0))))["improved"]
+    assert not values(facts.plain_curve_facts(good.where("part = 'train'")))["gapless"]
+    assert not values(facts.plain_curve_facts(good.limit(0)))["gapless"]
+
+
+def test_topics(spark):
+    rows = [(t, r, f"w{t}{r}", 1.0 / r) for t in range(2) for r in (1, 2, 3)]
+    good = spark.createDataFrame(rows, "topic int, rank int, term string, weight double")
+    assert all(r["ranked"] and r["terms"] == 3 for r in facts.topic_facts(good).collect())
+    assert not any(r["ranked"] for r in facts.topic_facts(good.withColumn("rank", 4 - F.col("rank"))).collect())
+    assert facts.topic_facts(good.limit(0)).count() == 0
+    main = spark.createDataFrame([(i, 0.5, "a, b") for i in (2, 1)], "doc_id long, share double, keywords string")
+    assert values(facts.main_topic_facts(main))["strongest"]
+    assert not values(facts.main_topic_facts(main.withColumn("share", F.lit(0.01))))["strongest"]
+    assert not values(facts.main_topic_facts(main.limit(0)))["strongest"]
