@@ -27,7 +27,7 @@ NO_LANG = "und"
 #: Hash classes of first words; the counts of classes are all that the driver sees.
 CLASSES = 1 << 16
 #: Suffixes in a group, the memory of one subtree.
-BUDGET = 1 << 21
+BUDGET = 1 << 20
 #: Bytes of text that are made into one partial tree.
 SLICE = 1 << 22
 
@@ -110,7 +110,7 @@ def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]
 
 def suffixes(words: Words, depth: int) -> np.ndarray:
     """One row per word: the codes of the words from there on, at most ``depth`` and inside the piece, then 0."""
-    out = np.zeros((len(words.codes), depth), np.int64)
+    out = np.zeros((len(words.codes), depth), np.int32)
     alive = np.ones(len(words.codes), bool)
     for k in range(depth):
         out[: len(alive), k] = np.where(alive, words.codes[k:], 0)
@@ -121,7 +121,7 @@ def suffixes(words: Words, depth: int) -> np.ndarray:
 def folded(rows: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Different rows in order, and how often each occurs."""
     width = int(rows.max(initial=0)) + 1
-    key, top = rows[:, 0], width
+    key, top = rows[:, 0].astype(np.int64), width
     for k in range(1, rows.shape[1]):
         if top > (1 << 62) // width:
             seen, key = np.unique(key, return_inverse=True)
@@ -249,7 +249,7 @@ def vertical_partition(texts: DataFrame, depth: int, budget: int) -> Partition:
 
 # ---- Subtrees ------------------------------------------------------------------------
 
-TREE = "grp long, lang string, names array<string>, leaves binary, counts binary"
+TREE = "grp long, lang string, names binary, leaves binary, counts binary"
 NODES = "lang string, size int, phrase string, n long"
 
 
@@ -278,8 +278,10 @@ def partial_trees(partition: Partition, depth: int):
             lists = pa.ListArray.from_arrays(
                 pa.array(np.cumsum([0, *[len(x) for x in names]]), pa.int32()), pa.concat_arrays(names)
             )
+            # A word holds no blank, so blanks part them.
+            texts = [coder.compress(t.as_buffer()) for t in pc.binary_join(lists, " ")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array([lang] * len(ids)), lists, pa.array(leaves, pa.binary()), pa.array(counts, pa.binary())],
+                [pa.array(ids), pa.array([lang] * len(ids)), *[pa.array(x, pa.binary()) for x in (texts, leaves, counts)]],
                 names=["grp", "lang", "names", "leaves", "counts"],
             )
 
@@ -312,10 +314,10 @@ def subtrees(partition: Partition, depth: int, least: int):
 
     def whole(lang: str, group: int, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
         names = pa.concat_arrays([p[0] for p in parts]).dictionary_encode()
-        code = names.indices.to_numpy().astype(np.int64) + 1
+        code = names.indices.to_numpy() + np.int32(1)
         rows, base = [], 0
         for own, leaves, _ in parts:
-            of = np.concatenate([[0], code[base : base + len(own)]])
+            of = np.concatenate([np.zeros(1, np.int32), code[base : base + len(own)]])
             rows.append(of[leaves.reshape(depth, -1).T])
             base += len(own)
         tree, total = folded(np.concatenate(rows), np.concatenate([p[2] for p in parts]))
@@ -342,7 +344,8 @@ def subtrees(partition: Partition, depth: int, least: int):
                 at = here
                 leaves = np.frombuffer(coder.decompress(batch.column(3)[i].as_py()), np.int32)
                 counts = np.frombuffer(coder.decompress(batch.column(4)[i].as_py()), np.int64)
-                parts.append((batch.column(2)[i].values.cast(pa.string()), leaves, counts))
+                text = pa.array([coder.decompress(batch.column(2)[i].as_py())], pa.binary()).cast(pa.string())
+                parts.append((pc.split_pattern(text, " ").flatten(), leaves, counts))
         if parts:
             yield from whole(at[1], at[0], parts)
 
