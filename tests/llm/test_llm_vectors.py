@@ -118,6 +118,31 @@ def test_near_vectors(spark, widths):
     assert sorted((tuple(r) for r in got), key=str) == linked_brute(rows)
 
 
+def test_one_key_with_several_vectors(spark):
+    a, b = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0]
+    rows = [(1, a, 0), (1, b, 0), (3, a, 0), (4, [0.0, 0.0, 1.0, 0.0], 0), (4, [0.0, 0.0, 0.99, 0.05], 0), (4, a, 2)]
+    got = sorted(tuple(r) for r in pigeonhole.near_vectors(table(spark, rows)).collect())
+    assert got == linked_brute(rows)
+    assert sorted(r[1] for r in got if r[0] == 1) == [0, 1]
+
+
+def test_range_joins_multiply_less_than_all_pairs():
+    draw = np.random.default_rng(2)
+    x = draw.standard_normal((1000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    turned = (x @ pigeonhole.rotation(64)).astype(np.float32)
+    done = 0
+    for d in range(0, 64, pigeonhole.BLOCK):
+        p = turned[:, d : d + pigeonhole.BLOCK]
+        met = np.zeros((1000, 1000), bool)
+        reach = math.sqrt(0.14 * pigeonhole.BLOCK / 64)
+        for i, j in pigeonhole.near_ranges(p, p, reach):
+            done += len(i) * len(j)
+            met[np.ix_(i, j)] = True
+        assert met[np.abs(p[:, None, :3] - p[None, :, :3]).max(axis=2) <= reach].all()
+    assert done < 0.55 * 8 * 1000 * 1000
+
+
 def test_links_of_earlier_strips_hold():
     root = np.arange(8)
     strips = [[(1, 7), (2, 5), (3, 4), (3, 6)], [(4, 5), (6, 7)]]
