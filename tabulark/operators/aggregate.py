@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulark.operators.joins import lookup
-from tabulark.operators.ordering import numbered, quantiles
+from tabulark.operators.ordering import numbered, quantiles, value_ranks
 
 
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -26,21 +27,98 @@ def melted(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.column", "_p.value")
 
 
+#: Equal-width buckets of a column that a first count tells apart.
+BUCKETS = 4096
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+
+
+def plain_statistics(df: DataFrame, cols: list[str]) -> list[dict]:
+    """Count, mean, sample std, min and max of each column, from one aggregate without a shuffle of rows."""
+    kinds = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    row = df.agg(*[f(F.col(c).cast("double")).alias(f"{k}_{i}") for i, c in enumerate(cols) for k, f in kinds.items()]).first()
+    return [{"column": c, **{k: row[f"{k}_{i}"] for k in kinds}} for i, c in enumerate(cols)]
+
+
+def _bucket(value: Column, low: float, high: float) -> Column:
+    """Which of ``BUCKETS`` equal parts of [low, high] holds the value; never falls as the value rises."""
+    if not high > low:
+        return F.lit(0)
+    return F.least(F.floor((value - F.lit(low)) / F.lit(high - low) * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+
+
+def narrowed_quantiles(
+    df: DataFrame, cols: list[str], probs: dict[str, float], stats: list[dict] | None = None
+) -> dict[str, dict[str, float | None]]:
+    """Exact, linearly interpolated quantiles of several columns.
+
+    A first scan counts equal-width buckets; a second one ranks the distinct
+    values of only those buckets that hold a wanted place. Columns with values
+    that are not finite are ranked in full. The driver sees bucket counts and
+    the values at the wanted places. A column without values has null quantiles.
+    """
+    stats = stats or plain_statistics(df, cols)
+    found: dict[str, dict[str, float | None]] = {s["column"]: dict.fromkeys(probs) for s in stats}
+    held = [s for s in stats if s["n"] and math.isfinite(s["min"]) and math.isfinite(s["max"]) and math.isfinite(s["max"] - s["min"])]
+    odd = [s["column"] for s in stats if s["n"] and s not in held]
+    if odd:
+        for row in quantiles(melted(df, odd), ["column"], "value", probs).collect():
+            found[row["column"]] = {n: row[n] for n in probs}
+    if not held:
+        return found
+    cells = [
+        F.struct(F.lit(s["column"]).alias("column"), F.col(s["column"]).cast("double").alias("value"), _bucket(F.col(s["column"]).cast("double"), s["min"], s["max"]).alias("bucket"))
+        for s in held
+    ]
+    long = df.select(F.explode(F.array(*cells)).alias("_p")).select("_p.*").where(F.col("value").isNotNull())
+    counts: dict[str, dict[int, int]] = {}
+    for row in long.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts.setdefault(row["column"], {})[row["bucket"]] = row["n"]
+    # (column, bucket, zero-based place inside it) of both neighbours of every wanted place.
+    wanted: dict[str, dict[int, tuple[int, int]]] = {}
+    for s in held:
+        ends, before = [], 0
+        for bucket, n in sorted(counts[s["column"]].items()):
+            ends.append((before + n, before, bucket))
+            before += n
+        spots = {k for p in probs.values() for k in (math.floor((s["n"] - 1) * p), math.ceil((s["n"] - 1) * p))}
+        wanted[s["column"]] = {k: next((b, k - first) for end, first, b in ends if k < end) for k in spots}
+    needed = reduce(
+        lambda a, b: a | b, [(F.col("column") == c) & F.col("bucket").isin(*{b for b, _ in w.values()}) for c, w in wanted.items()]
+    )
+    ranks = value_ranks(long.where(needed), ["column", "bucket"], "value", {"upto": F.lit(1)})
+    spots = [(c, b, at, k) for c, w in wanted.items() for k, (b, at) in w.items()]
+    table = df.sparkSession.createDataFrame(spots, "column string, bucket int, at long, place long")
+    inside = (F.col("at") < F.col("upto")) & (F.col("at") >= F.col("upto") - F.col("_upto"))
+    values = {(r["column"], r["place"]): r["value"] for r in ranks.join(F.broadcast(table), ["column", "bucket"]).where(inside).collect()}
+    for s in held:
+        for name, p in probs.items():
+            spot = (s["n"] - 1) * p
+            low, high = values[s["column"], math.floor(spot)], values[s["column"], math.ceil(spot)]
+            found[s["column"]][name] = low + (high - low) * (spot - math.floor(spot))
+    return found
+
+
+def quantile_table(df: DataFrame, cols: list[str], probs: dict[str, float], stats: list[dict] | None = None) -> DataFrame:
+    found = narrowed_quantiles(df, cols, probs, stats)
+    schema = ", ".join(["column string", *[f"{n} double" for n in probs]])
+    return df.sparkSession.createDataFrame([(c, *[found[c][n] for n in probs]) for c in cols], schema)
+
+
 def quartile_table(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Exact quartiles of several columns in one pass over their long form."""
-    return quantiles(melted(df, cols), ["column"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    """Exact quartiles of several columns."""
+    return quantile_table(df, cols, QUARTILES)
 
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Count, mean, sample std, min, quartiles and max, one row per column."""
-    plain = melted(df, cols).groupBy("column").agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    """Count, mean, sample std, min, quartiles and max, one row per column; one plain scan, then narrowed quartiles."""
+    stats = plain_statistics(df, cols)
+    quarts = narrowed_quantiles(df, cols, QUARTILES, stats)
+    rows = [
+        (s["column"], s["n"], s["mean"], s["std"], s["min"], s["max"], *[quarts[s["column"]][q] for q in QUARTILES]) for s in stats
+    ]
+    return df.sparkSession.createDataFrame(
+        rows, "column string, n long, mean double, std double, min double, max double, q25 double, q50 double, q75 double"
     )
-    return plain.join(quartile_table(df, cols), "column")
 
 
 def null_counts(df: DataFrame) -> DataFrame:

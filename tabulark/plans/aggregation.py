@@ -8,7 +8,6 @@ from tabulark.functions.numeric import clip
 from tabulark.functions.recode import recode
 from tabulark.operators import aggregate as agg
 from tabulark.operators.classes import centroid_rows
-from tabulark.operators.ordering import quantiles
 from tabulark.plans.registry import query
 from tabulark.plans.shared import line_items
 from tabulark.session import read_table
@@ -124,10 +123,11 @@ def duplicates_removed(spark, sf):
 def clipped_mean_median(spark, sf):
     events = read_table(spark, sf, "events")
     both = events.select(F.col("value").alias("raw"), clip(F.col("value"), 1.0, 100.0).alias("clipped"))
-    long = agg.melted(both, ["raw", "clipped"])
-    middle = quantiles(long, ["column"], "value", {"median": 0.5})
-    means = long.groupBy("column").agg(F.round(F.avg("value"), 6).alias("mean"))
-    return means.join(middle, "column").select("column", "mean", F.round("median", 6).alias("median"))
+    stats = agg.plain_statistics(both, ["raw", "clipped"])
+    middle = agg.narrowed_quantiles(both, ["raw", "clipped"], {"median": 0.5}, stats)
+    rows = [(s["column"], s["mean"], middle[s["column"]]["median"]) for s in stats]
+    table = spark.createDataFrame(rows, "column string, mean double, median double")
+    return table.select("column", F.round("mean", 6).alias("mean"), F.round("median", 6).alias("median"))
 
 
 @query(
