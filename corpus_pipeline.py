@@ -15,7 +15,11 @@ LEAST_CHARS = 50
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text was given a language; the filters learn from the labels of ``docs``."""
+    """Documents whose text was given a language; the filters learn from the labels of ``docs``.
+
+    Defined cases: a text that is null or holds no letter goes; with no label
+    in the table no language is known, every text is ``und`` and goes.
+    """
     named = language.identify(docs, language.fit_filters(docs))
     unknown = (F.col("score") < LEAST_SCORE) & (F.length("text") >= LEAST_CHARS)
     kept = (F.col("lang_pred") != language.NONE) & ~unknown
@@ -23,11 +27,15 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def unshared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that many of them share; a null text stays null."""
     return lines.drop_common_lines(docs).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; rows without an id all stay."""
+    """The document with the smallest id of each group of near copies; rows without an id all stay.
+
+    Of rows that repeat an id one stays, whichever it is.
+    """
     stay = minhash.near_copies(docs).where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
@@ -39,6 +47,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 1024 tokens; a null text is one end token."""
     return packing.pack_documents(docs, added=True)
 
 
