@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulark.llm.common import written
-from tabulark.llm.components import components
+from tabulark.llm.components import components, kept
 from tabulark.operators.joins import lookup
-from tabulark.session import pin, pin_small
 
 WORDS = 5
 LEAST = 0.8
@@ -280,34 +279,37 @@ def _groups(
     low = buckets.select(F.col("low").alias("a"), F.col("node").alias("b"))
     high = buckets.where(F.col("n") > 2).select(F.col("node").alias("a"), F.col("high").alias("b"))
     rows = 2 * buckets.count()
-    tried = pin_small(_ordered(low.union(high)), rows)
-    links = pin(verified(tried, facts, least, doubt))
+    tried = kept(_ordered(low.union(high)), rows)
+    links = written(verified(tried, facts, least, doubt), "links")
     groups = components(links)
     mixed = _mixed(buckets, groups, rows)
     few = mixed.where(F.col("n") <= small)
     other = few.select("bucket", F.col("node").alias("b"), F.col("group").alias("other"))
     across = few.join(other, "bucket").where((F.col("node") < F.col("b")) & (F.col("group") != F.col("other")))
-    fresh = pin(_ordered(across.select(F.col("node").alias("a"), "b")).join(tried, ["a", "b"], "left_anti"))
-    more = pin(verified(fresh, facts, least, doubt))
-    if not more.isEmpty():
-        links, groups = links.union(more), components(links.union(more))
+    fresh = written(_ordered(across.select(F.col("node").alias("a"), "b")).join(tried, ["a", "b"], "left_anti"), "fresh")
+    groups = _united(groups, written(verified(fresh, facts, least, doubt), "links"))
     crowded = buckets.where(F.col("n") > small)
     if crowded.isEmpty():
         return groups
     # Each member's best partner of another group, twice over its largest bucket: this unites what hangs together.
     most = F.max_by(F.struct("bucket", "n", "low", "high"), F.struct("n", "bucket")).alias("b")
-    largest = pin_small(crowded.groupBy("node").agg(most).select("node", "b.*"), rows)
+    largest = kept(crowded.groupBy("node").agg(most).select("node", "b.*"), rows)
     for _ in range(2):
         rest = _mixed(largest, groups, rows)
-        pairs = _ordered(best_pairs(rest, facts, doubt, tile))
-        more = pin(verified(pairs, facts, least, doubt))
-        if more.isEmpty():
+        pairs = written(_ordered(best_pairs(rest, facts, doubt, tile)), "pairs")
+        before, groups = groups, _united(groups, written(verified(pairs, facts, least, doubt), "links"))
+        if groups is before:
             break
-        links, groups = links.union(more), components(links.union(more))
     # What is left is verified pair by pair inside the tiles; only links leave them.
     rest = _mixed(crowded, groups, rows)
-    more = pin(tile_links(rest, facts, least, doubt, tile))
-    return groups if more.isEmpty() else components(links.union(more))
+    return _united(groups, written(tile_links(rest, facts, least, doubt, tile), "links"))
+
+
+def _united(groups: DataFrame, more: DataFrame) -> DataFrame:
+    """``groups`` after further links; a group goes on as links to its component, which settle at once."""
+    if more.isEmpty():
+        return groups
+    return components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more.select("a", "b")))
 
 
 def _mixed(buckets: DataFrame, groups: DataFrame, rows: int) -> DataFrame:
@@ -316,7 +318,7 @@ def _mixed(buckets: DataFrame, groups: DataFrame, rows: int) -> DataFrame:
         "bucket", "node", "n", F.coalesce("component", "node").alias("group")
     )
     ends = placed.groupBy("bucket").agg(F.min("group").alias("g"), F.max("group").alias("h")).where(F.col("g") != F.col("h"))
-    return pin_small(placed.join(ends.select("bucket"), "bucket"), rows)
+    return kept(placed.join(ends.select("bucket"), "bucket"), rows, "mixed")
 
 
 def _tiles(members: DataFrame, facts: DataFrame, columns: list[str], tile: int) -> DataFrame:
