@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulark.llm.common import text_of, written
+from tabulark.operators.joins import lookup
 
 WINDOW = 200
 ANCHOR = 64
@@ -30,7 +31,6 @@ SORTED = 1 << 16
 #: Groups with more different runs are settled window by window.
 CROWD = 4_000
 PLACE_BITS = 22
-TEXT_MASK = (1 << 17) - 1
 
 U = np.uint64
 
@@ -175,8 +175,8 @@ def runs_of(texts: list[bytes], window: int, anchor: int) -> Iterator[tuple[int,
             yield number, value[at[edge]], edge, count, at[edge] - edge, piece, base
 
 
-def packed(start: np.ndarray, count: np.ndarray, offset: np.ndarray, mark: int) -> np.ndarray:
-    return (start << 33) | (count << 25) | (offset << 17) | mark
+def packed(start: np.ndarray, count: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    return (start << 33) | (count << 25) | (offset << 17)
 
 
 def unpacked(pack: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -184,7 +184,7 @@ def unpacked(pack: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def run_table(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(anchor, print, doc, pack) per run; ``docs`` is (doc, mark, text)."""
+    """(anchor, print, doc, mark, pack) per run; ``docs`` is (doc, mark, text)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -204,7 +204,9 @@ def run_table(docs: DataFrame, window: int, anchor: int) -> DataFrame:
                     np.uint64,
                     len(start),
                 )
-                held.append((value.view(np.int64), prints.view(np.int64), np.full(len(start), doc[number]), packed(start + base, count, offset, mark[number])))
+                held.append(
+                    (value.view(np.int64), prints.view(np.int64), np.full(len(start), doc[number]), np.full(len(start), mark[number]), packed(start + base, count, offset))
+                )
                 size += len(start)
                 if size >= 1 << 16:
                     yield _batch(held)
@@ -213,9 +215,9 @@ def run_table(docs: DataFrame, window: int, anchor: int) -> DataFrame:
                 yield _batch(held)
 
     def _batch(held: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=["anchor", "print", "doc", "pack"])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=["anchor", "print", "doc", "mark", "pack"])
 
-    return docs.mapInArrow(emit, "anchor long, print long, doc long, pack long")
+    return docs.mapInArrow(emit, "anchor long, print long, doc long, mark long, pack long")
 
 
 # ---- Settling runs that share an anchor ----------------------------------------------
@@ -313,7 +315,7 @@ def covered(places: list[int], window: int) -> list[tuple[int, int]]:
 
 
 def sorted_groups(window: int):
-    """Task function: (anchor, pack, doc, copies, bytes), sorted by anchor, to repeated (doc, mark, from, to)."""
+    """Task function: (anchor, pack, doc, mark, copies, bytes), sorted by anchor, to repeated (doc, mark, from, to)."""
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -321,20 +323,20 @@ def sorted_groups(window: int):
                 yield from zip(*[c.to_pylist() for c in b.columns])
 
         def flush(waiting: list[list[tuple]]) -> pa.RecordBatch:
-            groups = [[(r[4], r[1] >> 17 & 255, r[3]) for r in g] for g in waiting]
+            groups = [[(r[5], r[1] >> 17 & 255, r[4]) for r in g] for g in waiting]
             out: list[tuple] = []
             for g, found in zip(waiting, settle(groups, window)):
-                for (_, pack, doc, copies, _), places in zip(g, found):
+                for (_, pack, doc, mark, copies, _), places in zip(g, found):
                     if copies == 1 and places:
                         start = pack >> 33
-                        out.extend((doc, pack & TEXT_MASK, start + a, start + z) for a, z in covered(places, window))
+                        out.extend((doc, mark, start + a, start + z) for a, z in covered(places, window))
             columns = list(zip(*out)) or [[], [], [], []]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "mark", "from", "to"])
 
         waiting, size = [], 0
         for _, group in groupby(rows(), key=lambda r: r[0]):
             waiting.append(list(group))
-            size += sum(len(r[4]) for r in waiting[-1])
+            size += sum(len(r[5]) for r in waiting[-1])
             if size >= SORTED:
                 yield flush(waiting)
                 waiting, size = [], 0
@@ -353,11 +355,11 @@ def window_prints(window: int):
         names = ["one", "two", "doc", "mark", "from", "copies"]
         for batch in batches:
             out: list[tuple] = []
-            for anchor, pack, doc, copies, data in zip(*[c.to_pylist() for c in batch.columns]):
+            for _, pack, doc, mark, copies, data in zip(*[c.to_pylist() for c in batch.columns]):
                 start, offset, view = pack >> 33, pack >> 17 & 255, memoryview(data)
                 for p in range(len(data) - window + 1):
                     value = xxhash.xxh3_128_intdigest(view[p : p + window], offset - p & 0xFFFF)
-                    out.append((value >> 65, value & (1 << 63) - 1, doc, pack & TEXT_MASK, start + p, copies))
+                    out.append((value >> 65, value & (1 << 63) - 1, doc, mark, start + p, copies))
                 if len(out) >= 1 << 15:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
                     out = []
@@ -388,16 +390,16 @@ def squeezed(docs: DataFrame) -> DataFrame:
 def _cut_runs(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     import zstandard
 
-    names = ["anchor", "pack", "doc", "copies", "crowd", "data"]
-    kinds = [*[pa.int64()] * 5, pa.binary()]
+    names = ["anchor", "pack", "doc", "mark", "copies", "crowd", "data"]
+    kinds = [*[pa.int64()] * 6, pa.binary()]
     for b in batches:
         coder = zstandard.ZstdDecompressor()
         out: list[tuple] = []
-        for doc, z, wanted in zip(*[c.to_pylist() for c in b.columns]):
+        for doc, mark, z, wanted in zip(*[c.to_pylist() for c in b.columns]):
             text = coder.decompress(z)
             for w in wanted:
                 start, count = w["pack"] >> 33, w["pack"] >> 25 & 255
-                out.append((w["anchor"], w["pack"], doc, w["copies"], w["crowd"], text[start : start + count + window - 1]))
+                out.append((w["anchor"], w["pack"], doc, mark, w["copies"], w["crowd"], text[start : start + count + window - 1]))
             if len(out) >= 1 << 14:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
                 out = []
@@ -451,14 +453,14 @@ def drop_repeated_strings(
     counted one by one, which is as exact and spreads over tasks.
 
     Defined cases: a null text counts as empty; a text below ``window`` bytes
-    loses nothing; null keys pass through; rows that repeat a key are documents
+    loses nothing; null keys pass through; a document is known by its key and a
+    64-bit hash of its text, so rows with a null or repeated key are documents
     of their own, so a repeated row loses what the other has; other columns are
     ignored; an empty table gives no rows. The key is an integer.
     """
     full = text_of(text)
-    mark = F.pmod(F.xxhash64(full), F.lit(TEXT_MASK + 1)).cast("long")
     none = F.lit(-(1 << 63)).cast("long")
-    rows = docs.select(F.coalesce(F.col(key).cast("long"), none).alias("doc"), mark.alias("mark"), full.alias("text"))
+    rows = docs.select(F.coalesce(F.col(key).cast("long"), none).alias("doc"), F.xxhash64(full).alias("mark"), full.alias("text"))
     runs = run_table(rows, window, anchor)
     short = F.shiftright("anchor", 32).cast("int")
     # Small sides are written before they are joined: both sides of the join are
@@ -467,37 +469,37 @@ def drop_repeated_strings(
     often = written(counted.where(F.col("n") > 1).select("short"), "often")
     again = written(runs.withColumn("short", short).join(often, "short").drop("short"), "runs")
     kinds = written(
-        again.groupBy("anchor", "print").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "pack")).alias("at")),
+        again.groupBy("anchor", "print").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "mark", "pack")).alias("at")),
         "kinds",
     )
     differing = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("crowd")).where(F.col("crowd") > 1)
-    place_mark = F.col("pack").bitwiseAND(F.lit(TEXT_MASK))
     start = F.shiftright("pack", 33)
     windows = F.shiftright("pack", 25).bitwiseAND(F.lit(255))
     copied = again.join(kinds.where(F.col("copies") > 1).select("anchor", "print"), ["anchor", "print"]).select(
-        "doc", place_mark.alias("mark"), start.alias("from"), (start + windows + (window - 1)).alias("to")
+        "doc", "mark", start.alias("from"), (start + windows + (window - 1)).alias("to")
     )
     wanted = (
-        kinds.join(differing, "anchor")
-        .select("anchor", "copies", "crowd", "at.doc", "at.pack")
-        .withColumn("mark", place_mark)
+        lookup(kinds, differing, ["anchor"], weight="crowd")
+        .select("anchor", "copies", "crowd", "at.doc", "at.mark", "at.pack")
         .groupBy("doc", "mark")
         .agg(F.collect_list(F.struct("anchor", "pack", "copies", "crowd")).alias("wanted"))
     )
     small = squeezed(rows)
     cut = written(
         small.join(wanted, ["doc", "mark"])
-        .select("doc", "z", "wanted")
-        .mapInArrow(lambda b: _cut_runs(b, window), "anchor long, pack long, doc long, copies long, crowd long, data binary"),
+        .select("doc", "mark", "z", "wanted")
+        .mapInArrow(
+            lambda b: _cut_runs(b, window), "anchor long, pack long, doc long, mark long, copies long, crowd long, data binary"
+        ),
         "cut",
     )
-    grouped = cut.where(F.col("crowd") <= crowd).select("anchor", "pack", "doc", "copies", "data")
+    grouped = cut.where(F.col("crowd") <= crowd).select("anchor", "pack", "doc", "mark", "copies", "data")
     by_sort = (
         grouped.repartition("anchor").sortWithinPartitions("anchor")
         .mapInArrow(sorted_groups(window), "doc long, mark long, from long, to long")
     )
     prints = (
-        cut.where(F.col("crowd") > crowd).select("anchor", "pack", "doc", "copies", "data")
+        cut.where(F.col("crowd") > crowd).select("anchor", "pack", "doc", "mark", "copies", "data")
         .mapInArrow(window_prints(window), "one long, two long, doc long, mark long, from long, copies long")
     )
     met = prints.groupBy("one", "two").agg(F.sum("copies").alias("n")).where(F.col("n") > 1).select("one", "two")

@@ -90,6 +90,12 @@ def test_same_as_brute_force(spark, crowd):
     assert found(S.drop_repeated_strings(documents(spark, rows), crowd=crowd)) == brute(rows)
 
 
+def test_null_and_repeated_keys_are_documents_of_their_own(spark):
+    passage = prose(1, 60)[:250]
+    rows = [(None if i % 3 else 7, prose(i + 50, 12) + "\n" * (i % 40) + passage + prose(i + 9000, 8)) for i in range(1500)]
+    assert found(S.drop_repeated_strings(documents(spark, rows))) == brute(rows)
+
+
 def test_long_texts_are_cut_where_it_does_not_matter(spark, monkeypatch):
     monkeypatch.setattr(S, "CHUNK", 1000)
     rows = [(1, prose(4, 900)), (2, prose(5, 20) + prose(4, 900)[500:4000] + prose(6, 50)), (3, words(500) + words(400))]
