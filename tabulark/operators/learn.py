@@ -16,6 +16,7 @@ from pyspark.ml.feature import (
     OneHotEncoder,
     StringIndexer,
     VectorAssembler,
+    VectorSlicer,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
@@ -162,6 +163,82 @@ def forest_regression_folds(
     return reduce(lambda a, b: a.unionByName(b), parts).drop("features")
 
 
+def selected_with_trees(
+    train: DataFrame, valid: DataFrame, start: list[str], candidates: list[str], target: str,
+    rounds: int = 20, depth: int = 4, step: float = 0.1, parallelism: int = 4,
+) -> list[tuple[int, str, float, bool]]:
+    """Forward selection with boosted trees: a candidate stays if it lowers the error on ``valid``.
+
+    Both tables are assembled and written once; every fit takes a slice of the
+    same vector. ``parallelism`` candidates are tried side by side on top of
+    what is kept; those behind one that stays are tried again on top of it, so
+    the trace is that of one at a time. Returns (step, candidate, rmse, kept);
+    step 0 is the starting set. Ties go to the smaller set.
+    """
+    names = [*start, *candidates]
+    if len(set(names)) < len(names):
+        raise ValueError("a column is named twice")
+
+    def layout(df: DataFrame) -> DataFrame:
+        return pin(VectorAssembler(inputCols=names, outputCol="_all").transform(df).select("_all", F.col(target).cast("double").alias("_y")))
+
+    seen, judge = layout(train), layout(valid)
+    measure = RegressionEvaluator(labelCol="_y", metricName="rmse")
+
+    def job(kept: list[str]):
+        def error() -> float:
+            pick = VectorSlicer(inputCol="_all", outputCol="features", indices=[names.index(n) for n in kept])
+            learner = GBTRegressor(labelCol="_y", maxIter=rounds, maxDepth=depth, stepSize=step, seed=42)
+            model = learner.fit(pick.transform(seen).select("features", "_y"))
+            return float(measure.evaluate(model.transform(pick.transform(judge))))
+
+        return error
+
+    kept, best = list(start), job(start)()
+    trace = [(0, "", best, True)]
+    at = 0
+    while at < len(candidates):
+        tried = candidates[at : at + parallelism]
+        errors = _fitted_in_parallel([job([*kept, c]) for c in tried], parallelism)
+        for c, e in zip(tried, errors, strict=True):
+            at += 1
+            trace.append((at, c, e, e < best))
+            if e < best:
+                kept, best = [*kept, c], e
+                break
+    return trace
+
+
+def searched_classifiers(
+    df: DataFrame, features: list[str], label: str, fold: str, folds: int, points: list[dict[str, float]], parallelism: int = 8
+) -> list[float]:
+    """Per point of parameters the loss of boosted classifiers: 1 - mean accuracy over the held-out folds.
+
+    Points hold ``depth``, ``rounds``, ``step`` and ``share`` (of the rows that
+    a round sees). The rows are assembled and written once; all fits read them,
+    some side by side. Rows with a null feature, label or fold take no part; a
+    fold without rows counts for nothing.
+    """
+    whole = df.select(*features, F.col(label).cast("double").alias("_y"), fold).na.drop()
+    ready = pin(assembled(whole, features).select("features", "_y", fold))
+    held = [r[fold] for r in ready.select(fold).distinct().collect() if 0 <= r[fold] < folds]
+
+    def job(point: dict[str, float], i: int):
+        def accuracy() -> float:
+            learner = GBTClassifier(
+                labelCol="_y", maxDepth=int(point["depth"]), maxIter=int(point["rounds"]),
+                stepSize=point["step"], subsamplingRate=point["share"], seed=42,
+            )
+            model = learner.fit(ready.where(F.col(fold) != i))
+            hits = model.transform(ready.where(F.col(fold) == i)).agg(F.avg((F.col("prediction") == F.col("_y")).cast("double")))
+            return float(hits.first()[0])
+
+        return accuracy
+
+    found = iter(_fitted_in_parallel([job(p, i) for p in points for i in held], parallelism))
+    return [1.0 - sum(next(found) for _ in held) / len(held) if held else math.nan for _ in points]
+
+
 def fold_curves(spark, models: dict[int, Boosted]) -> DataFrame:
     """(fold, part, iteration, mse) of every round that was tried."""
     rows = [

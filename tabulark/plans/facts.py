@@ -9,7 +9,7 @@ from tabulark.operators import metrics
 from tabulark.plans import modelling, scoring, text_mining
 from tabulark.plans.registry import query
 from tabulark.plans.shared import FOLDS, LINE_SQL, line_items
-from tabulark.plans.sqlbits import bucket32
+from tabulark.plans.sqlbits import bucket32, digest
 from tabulark.session import pin, read_table
 
 
@@ -110,6 +110,64 @@ def curve_facts(curves, rounds, patience):
     )
 
 
+@query(
+    "E14 B1",
+    modelling.SIZE_BIN_SQL + f""" f AS (SELECT doc_id, ((row_number() OVER (PARTITION BY bin ORDER BY {digest('doc_id', 'sizes')}, doc_id) - 1) % {FOLDS}) AS fold FROM b)
+    SELECT {len(modelling.SIZE_PRODUCTS)} AS tried, true AS in_order, true AS greedy, true AS tells,
+        round(stddev_pop(ln(1.0::DOUBLE + n_chars)), 6) AS spread FROM f JOIN documents USING (doc_id) WHERE fold = 0""",
+)
+def tree_selection_facts(spark, sf):
+    """Each product is tried once and kept exactly if it lowers the error, which stays below a third of the judge's spread."""
+    judge = modelling.sized_documents(spark, sf).where("fold = 0").agg(F.stddev_pop("target").alias("spread"))
+    return selection_facts(modelling.forward_selection_with_trees(spark, sf), modelling.SIZE_PRODUCTS, judge)
+
+
+def selection_facts(trace, candidates, judge):
+    """``trace`` is short: one row per candidate and the start; ``judge`` is one row, the spread of the target."""
+    steps = F.sort_array(F.collect_list(F.struct("step", "candidate", "rmse", "kept")))
+    found = trace.agg(steps.alias("s")).crossJoin(F.broadcast(judge))
+    before = lambda i: F.array_min(F.transform(F.slice("s", 1, i), lambda r: r["rmse"]))
+    greedy = F.forall(
+        F.sequence(F.lit(1), F.size("s") - 1), lambda i: F.get("s", i)["kept"] == (F.get("s", i)["rmse"] < before(i))
+    )
+    several = F.size("s") > 1
+    return found.select(
+        (F.size("s") - 1).alias("tried"),
+        (F.transform("s", lambda r: r["candidate"]) == F.array(F.lit(""), *[F.lit(c) for c in candidates])).alias("in_order"),
+        F.coalesce(F.when(several, greedy), F.lit(False)).alias("greedy"),
+        F.coalesce(F.array_min(F.transform("s", lambda r: r["rmse"])) < F.col("spread") / 3, F.lit(False)).alias("tells"),
+        F.round("spread", 6).alias("spread"),
+    )
+
+
+def _drawn(name: str) -> str:
+    low, high, step = (f"{x!r}::DOUBLE" for x in scoring.SEARCH_SPACE[name])
+    draw = f"('0x' || substr(md5(concat(run, '-{name}-classifier')), 1, 8))::UBIGINT / 4294967296.0::DOUBLE"
+    return f"round(round(({low} + {draw} * ({high} - {low})) / {step}) * {step}, 9) AS {name}"
+
+
+@query(
+    "B7 B3",
+    f"""SELECT run::INTEGER AS run, {', '.join(_drawn(n) for n in scoring.SEARCH_SPACE)}, true AS placed, true AS tells
+    FROM (SELECT unnest(range({scoring.SEARCH_RUNS})) AS run), (SELECT count(*) AS n FROM labels) WHERE n > 0""",
+)
+def classifier_search_facts(spark, sf):
+    """The points are those of the seeded draws; ranks follow the loss, which is below that of the more frequent class."""
+    rare = read_table(spark, sf, "labels").agg(F.least(F.avg("quality"), 1 - F.avg("quality")).alias("rare"))
+    return search_facts(pin(scoring.classifier_random_search(spark, sf)), list(scoring.SEARCH_SPACE), rare)
+
+
+def search_facts(found, names, rare):
+    other = found.select(F.col("loss").alias("_loss"))
+    below = found.join(other, F.col("_loss") < F.col("loss"), "left").groupBy("run").agg(F.count("_loss").alias("_below"))
+    return found.join(below, "run").crossJoin(F.broadcast(rare)).select(
+        "run",
+        *[F.round(n, 9).alias(n) for n in names],
+        (F.col("rank") == F.col("_below") + 1).alias("placed"),
+        F.coalesce(F.col("loss").between(0, F.col("rare")), F.lit(False)).alias("tells"),
+    )
+
+
 @query("B3", "SELECT count(*) AS rows, count(DISTINCT doc_id) AS documents, true AS in_range, true AS tells FROM labels JOIN documents USING (doc_id)")
 def boosted_binary_facts(spark, sf):
     """Every labelled text is scored once, and good ones score higher."""

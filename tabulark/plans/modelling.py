@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import combinations_with_replacement
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabulark.functions.numeric import tidy
-from tabulark.operators import ensemble, learn, linear, metrics, sampling, tuning
+from tabulark.operators import ensemble, features, learn, linear, metrics, sampling, tuning
 from tabulark.operators.scale import LinearScale
 from tabulark.plans.preparation import STORE_SQL
 from tabulark.plans.registry import query
@@ -207,44 +209,51 @@ def configured_search(spark, sf):
     return listed.join(errors, "alpha").select("block", "position", "alpha", F.round("mean_score", 8).alias("rmse"))
 
 
-def _selection_sql() -> str:
-    """Unrolled forward selection: each step solves a masked system on the shared moments."""
-    start, candidates = [1], list(range(2, P + 1))
-    base = SCALED_SQL + (
+def _selection_sql(moments: str, names: list[str], first: int) -> str:
+    """Unrolled forward selection: each step solves a masked system on the shared moments.
+
+    The first ``first`` of ``names`` are the starting set.
+    """
+    count = len(names)
+    start, candidates = list(range(1, first + 1)), list(range(first + 1, count + 1))
+    base = moments + (
         ", valid AS (SELECT * FROM own WHERE fold = 0), fit_on AS (SELECT * FROM train WHERE fold = 0)"
     )
     ctes = [base]
-    masks = {i: "1.0::DOUBLE" if i in start else "0.0::DOUBLE" for i in range(1, P + 1)}
+    masks = {i: "1.0::DOUBLE" if i in start else "0.0::DOUBLE" for i in range(1, count + 1)}
 
     def step(label: str, state: str) -> str:
-        flags = [f"k_{i}" for i in range(1, P + 1)]
+        flags = [f"k_{i}" for i in range(1, count + 1)]
         cols = ["n"]
-        cols += [f"s_{i}*k_{i} AS s_{i}" for i in range(1, P + 1)]
+        cols += [f"s_{i}*k_{i} AS s_{i}" for i in range(1, count + 1)]
         cols.append("sy")
         cols += [
             f"q_{i}_{j}*k_{i}*k_{j}{f' + (1 - k_{i})' if i == j else ''} AS q_{i}_{j}"
-            for i in range(1, P + 1)
-            for j in range(i, P + 1)
+            for i in range(1, count + 1)
+            for j in range(i, count + 1)
         ]
-        cols += [f"c_{i}*k_{i} AS c_{i}" for i in range(1, P + 1)]
+        cols += [f"c_{i}*k_{i} AS c_{i}" for i in range(1, count + 1)]
         masked = f"{label}_masked AS (SELECT {', '.join(flags)}, {', '.join(cols)} FROM fit_on, {state})"
-        solved = ridge_solution(f"{label}_masked", P, flags, "1.0::DOUBLE", f"{label}_")
-        w = [f"w_{i}" for i in range(1, P + 1)]
+        solved = ridge_solution(f"{label}_masked", count, flags, "1.0::DOUBLE", f"{label}_")
+        w = [f"w_{i}" for i in range(1, count + 1)]
         sse = "qy + n*w_0*w_0 - 2*w_0*sy"
-        for i in range(1, P + 1):
+        for i in range(1, count + 1):
             sse += f" - 2*{w[i - 1]}*c_{i} + 2*w_0*{w[i - 1]}*s_{i}"
-            for j in range(i, P + 1):
+            for j in range(i, count + 1):
                 sse += f" + {1 if i == j else 2}*{w[i - 1]}*{w[j - 1]}*q_{i}_{j}"
         return f"{masked}, {solved}, {label}_err AS (SELECT sqrt(({sse})/n) AS rmse FROM valid, {label}_fitted)"
 
     flags0 = ", ".join(f"{m} AS k_{i}" for i, m in masks.items())
-    ctes.append(f"state_1 AS (SELECT {flags0}), {step('st1', 'state_1')}, best_1 AS (SELECT rmse AS best FROM st1_err)")
-    rows = ["SELECT 0 AS step, '' AS candidate, round(best, 8) AS rmse, true AS kept FROM best_1"]
+    ctes.append(
+        f"state_{first} AS (SELECT {flags0}), {step(f'st{first}', f'state_{first}')}, "
+        f"best_{first} AS (SELECT rmse AS best FROM st{first}_err)"
+    )
+    rows = [f"SELECT 0 AS step, '' AS candidate, round(best, 8) AS rmse, true AS kept FROM best_{first}"]
     for c in candidates:
-        tried = ", ".join("1.0::DOUBLE AS k_%d" % i if i == c else f"k_{i}" for i in range(1, P + 1))
+        tried = ", ".join("1.0::DOUBLE AS k_%d" % i if i == c else f"k_{i}" for i in range(1, count + 1))
         kept = ", ".join(
             f"CASE WHEN rmse < best THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS k_{i}" if i == c else f"k_{i}"
-            for i in range(1, P + 1)
+            for i in range(1, count + 1)
         )
         ctes.append(
             f"try_{c} AS (SELECT {tried} FROM state_{c - 1}), {step(f'st{c}', f'try_{c}')}, "
@@ -252,19 +261,44 @@ def _selection_sql() -> str:
             f"best_{c} AS (SELECT least(best, rmse) AS best FROM best_{c - 1}, st{c}_err)"
         )
         rows.append(
-            f"SELECT {c - 1}, '{Z[c - 1]}', round(rmse, 8), rmse < best FROM st{c}_err, best_{c - 1}"
+            f"SELECT {c - first}, '{names[c - 1]}', round(rmse, 8), rmse < best FROM st{c}_err, best_{c - 1}"
         )
     return ", ".join(ctes) + " " + " UNION ALL ".join(rows)
 
 
-@query("E14", _selection_sql())
+TRACE = "step int, candidate string, rmse double, kept boolean"
+
+
+@query("E14", _selection_sql(SCALED_SQL, Z, 1))
 def forward_selection(spark, sf):
     _, by_fold = scaled_lines(spark, sf)
     train = linear.all_moments(by_fold) - by_fold[0]
     trace = linear.forward_selection(train, by_fold[0], Z[:1], Z[1:])
-    return spark.createDataFrame(trace, "step int, candidate string, rmse double, kept boolean").withColumn(
-        "rmse", F.round("rmse", 8)
-    )
+    return spark.createDataFrame(trace, TRACE).withColumn("rmse", F.round("rmse", 8))
+
+
+PAIRS = list(combinations_with_replacement(Z, 2))
+GENERATED = [*Z, *["_x_".join(p) for p in PAIRS]]
+GENERATED_SQL = (
+    LINE_SQL
+    + SCALED_SQL.removeprefix(LINE_SQL).split(", own AS", 1)[0]
+    + f", wide AS (SELECT fold, target, {', '.join(Z)}, "
+    + ", ".join(f"{a}*{b} AS {a}_x_{b}" for a, b in PAIRS)
+    + " FROM scaled WHERE NOT is_test), "
+    + f"own AS (SELECT fold, {moment_sums(GENERATED, 'target')} FROM wide GROUP BY fold), "
+    + f"whole AS ({total_of('own', len(GENERATED))}), train AS ({others('own', 'whole', len(GENERATED), 'fold')})"
+)
+
+
+@query("E14 E7", _selection_sql(GENERATED_SQL, GENERATED, P))
+def forward_selection_of_products(spark, sf):
+    """Every two-way product tried once on top of the plain columns; one pass gives the moments of all subsets."""
+    li, _ = scaled_lines(spark, sf)
+    rows = li.where("NOT is_test").select("fold", "target", *Z, *features.products(Z, 2))
+    by_fold = linear.moments_by_fold(rows, GENERATED, "target", "fold")
+    train = linear.all_moments(by_fold) - by_fold[0]
+    trace = linear.forward_selection(train, by_fold[0], Z, GENERATED[P:])
+    return spark.createDataFrame(trace, TRACE).withColumn("rmse", F.round("rmse", 8))
 
 
 # Ensembles
@@ -463,6 +497,19 @@ def two_family_blend(spark, sf):
     return both.withColumn("blend", 0.5 * F.col("boosted") + 0.5 * F.col("forest"))
 
 
+SIZE_PRODUCTS = ["_x_".join(p) for p in combinations_with_replacement(SIZE_NUMBERS, 2)]
+
+
+@query("E14 B1")
+def forward_selection_with_trees(spark, sf):
+    """Two-way products of the counts of a text, tried on top of the counts with boosted trees; fold 0 judges."""
+    rows = sized_documents(spark, sf).select("fold", "target", *SIZE_NUMBERS, *features.products(SIZE_NUMBERS, 2))
+    trace = learn.selected_with_trees(
+        rows.where("fold <> 0"), rows.where("fold = 0"), SIZE_NUMBERS, SIZE_PRODUCTS, "target", rounds=BOOST_ROUNDS
+    )
+    return spark.createDataFrame(trace, TRACE)
+
+
 SIZE_BIN_SQL = """WITH w AS (SELECT doc_id, len(string_split(text, ' '))::DOUBLE AS words FROM documents WHERE text IS NOT NULL AND n_chars IS NOT NULL),
     q AS (SELECT quantile_cont(words, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) AS edges FROM w),
     e AS (SELECT DISTINCT unnest(edges) AS edge FROM q),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabulark.functions.numeric import array_sum
 from tabulark.operators import classes as cls
-from tabulark.operators import learn, logistic, metrics, sampling
+from tabulark.operators import learn, logistic, metrics, sampling, tuning
 from tabulark.operators.aggregate import balanced_weights, share_of_total
 from tabulark.operators.project import distinct_values
 from tabulark.plans.registry import query
@@ -376,6 +376,20 @@ def boosted_binary_scores(spark, sf):
     return scored.select("doc_id", "fold", "quality", "score", "prediction")
 
 
+SEARCH_SPACE = {"depth": (2.0, 4.0, 1.0), "rounds": (4.0, 12.0, 2.0), "step": (0.05, 0.5, 0.05), "share": (0.6, 1.0, 0.1)}
+SEARCH_RUNS = 6
+SEARCH_POINTS = tuning.sampled_points(SEARCH_SPACE, SEARCH_RUNS, "classifier")
+
+
+@query("B7 B3")
+def classifier_random_search(spark, sf):
+    """Points from quantised ranges of four parameters; the loss of a point is 1 - accuracy over the folds."""
+    losses = learn.searched_classifiers(quality_rows(spark, sf), QUALITY, "quality", "fold", 5, SEARCH_POINTS)
+    rows = [(run, *[float(p[n]) for n in SEARCH_SPACE], loss) for run, (p, loss) in enumerate(zip(SEARCH_POINTS, losses, strict=True))]
+    found = spark.createDataFrame(rows, "run int, " + ", ".join(f"{n} double" for n in SEARCH_SPACE) + ", loss double")
+    return tuning.ranked(found, "loss", rising=True)
+
+
 # Several classes: models per fold, probabilities of unseen rows, log loss and MAP@3 per fold, decoded top three
 
 

@@ -60,3 +60,29 @@ def test_every_row_is_scored_once_by_a_model_of_its_fold(spark, table):
     assert curves.count() == 2 * sum(len(m.curve) for m in models.values())
     forest = learn.forest_regression_folds(table, ["a", "b"], ["kind"], "y", "fold", 3, trees=5, depth=5)
     assert forest.count() == 600 and error(forest, "prediction") < 0.5 * table.agg(F.stddev_pop("y")).first()[0]
+
+
+def test_selection_with_trees_keeps_what_helps(table):
+    rows = table.withColumn("noise", F.rand(3)).withColumn("index", F.substring("kind", 2, 1).cast("double"))
+    train, valid = rows.where("fold > 0"), rows.where("fold = 0")
+    one = learn.selected_with_trees(train, valid, ["a"], ["noise", "index", "b"], "y", rounds=6, parallelism=1)
+    assert [c for _, c, _, _ in one] == ["", "noise", "index", "b"] and one[2][3]
+    best = one[0][2]
+    for _, _, e, kept in one[1:]:
+        assert kept == (e < best)
+        best = min(best, e)
+    # Tried side by side, the trace is the same.
+    assert learn.selected_with_trees(train, valid, ["a"], ["noise", "index", "b"], "y", rounds=6, parallelism=3) == one
+    assert len(learn.selected_with_trees(train, valid, ["a"], [], "y", rounds=2)) == 1
+    with pytest.raises(ValueError, match="twice"):
+        learn.selected_with_trees(train, valid, ["a"], ["a"], "y")
+
+
+def test_searched_classifiers_lose_less_with_deeper_trees(table):
+    rows = table.withColumn("label", ((F.col("a") > 0.5) != (F.col("b") > 0.5)).cast("int"))
+    points = [{"depth": d, "rounds": 4.0, "step": 0.3, "share": 1.0} for d in (1.0, 4.0)]
+    weak, strong = learn.searched_classifiers(rows, ["a", "b"], "label", "fold", 3, points)
+    assert strong < 0.15 < weak
+    spoiled = rows.withColumn("a", F.when(F.col("id") > 20, F.col("a"))).withColumn("fold", F.when(F.col("id") > 30, F.col("fold")))
+    assert 0 <= learn.searched_classifiers(spoiled, ["a", "b"], "label", "fold", 3, points[:1])[0] <= 1
+    assert math.isnan(learn.searched_classifiers(rows.limit(0), ["a", "b"], "label", "fold", 3, points[:1])[0])

@@ -97,3 +97,25 @@ def test_topics(spark):
     assert values(facts.main_topic_facts(main))["strongest"]
     assert not values(facts.main_topic_facts(main.withColumn("share", F.lit(0.01))))["strongest"]
     assert not values(facts.main_topic_facts(main.limit(0)))["strongest"]
+
+
+def test_selection(spark):
+    names = ["x", "y"]
+    judge = spark.createDataFrame([(3.0,)], "spread double")
+    schema = "step int, candidate string, rmse double, kept boolean"
+    good = spark.createDataFrame([(0, "", 0.9, True), (1, "x", 0.8, True), (2, "y", 0.85, False)], schema)
+    assert values(facts.selection_facts(good, names, judge)) == {"tried": 2, "in_order": True, "greedy": True, "tells": True, "spread": 3.0}
+    assert not values(facts.selection_facts(good.withColumn("kept", F.lit(True)), names, judge))["greedy"]
+    assert not values(facts.selection_facts(good, names[::-1], judge))["in_order"]
+    assert not values(facts.selection_facts(good.withColumn("rmse", F.col("rmse") * 2), names, judge))["tells"]
+    empty = values(facts.selection_facts(good.limit(0), names, judge))
+    assert not empty["in_order"] and not empty["greedy"] and not empty["tells"]
+
+
+def test_search(spark):
+    rare = spark.createDataFrame([(0.4,)], "rare double")
+    good = spark.createDataFrame([(0, 2.0, 0.3, 2), (1, 3.0, 0.1, 1), (2, 4.0, 0.3, 2)], "run int, depth double, loss double, rank int")
+    flags = facts.search_facts(good, ["depth"], rare).collect()
+    assert len(flags) == 3 and all(r["placed"] and r["tells"] for r in flags)
+    assert not all(r["placed"] for r in facts.search_facts(good.withColumn("rank", F.col("run") + 1), ["depth"], rare).collect())
+    assert not any(r["tells"] for r in facts.search_facts(good.withColumn("loss", F.col("loss") + 0.4), ["depth"], rare).collect())
