@@ -29,6 +29,11 @@ def place(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     return pin(df.repartitionByRange(*keys).withColumn(CHUNK, F.spark_partition_id()))
 
 
+def placed_once(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """``df`` itself if it still has the chunks of an earlier placement by the same series and order."""
+    return df if CHUNK in df.columns else place(df, by, order)
+
+
 def running_sums(
     placed: DataFrame, by: list[str], order: list[str], sums: dict[str, Column]
 ) -> DataFrame:
@@ -79,31 +84,35 @@ def neighbour(
 
 def numbered(df: DataFrame, by: list[str], order: list[str], name: str = "_n") -> DataFrame:
     """One-based row number per series (all rows when ``by`` is empty)."""
-    return running_sums(place(df, by, order), by, order, {name: F.lit(1)})
+    return running_sums(placed_once(df, by, order), by, order, {name: F.lit(1)})
 
 
-def trailing_blocks(rows: DataFrame, by: list[str], number: str, size: int, block: int) -> DataFrame:
-    """Cut numbered series into blocks; a block also gets the ``size - 1`` rows before it.
+def with_run_up(placed: DataFrame, by: list[str], order: list[str], value: str, rows: int) -> DataFrame:
+    """Each chunk of a series, preceded by the last ``rows`` values before it.
 
-    ``_own`` is false on the rows that are there only as a run-up.
+    ``_own`` is false on the run-up, where only ``by``, the chunk, ``value`` and
+    ``_at`` are filled. ``_at`` falls from the last row of the run-up backwards
+    and is null on own rows, so ``_own, _at desc, order`` sorts a chunk. A
+    chunk hands on one array of at most ``rows`` values; short chunks are
+    bridged by those before them.
     """
-    if block < size:
-        raise ValueError("a block must hold at least one full frame")
-    home = F.floor((F.col(number) - 1) / F.lit(block))
-    late = F.pmod(F.col(number) - 1, F.lit(block)) >= block - size + 1
-    return (
-        rows.withColumn("_home", home)
-        .withColumn(
-            "_block",
-            F.explode(
-                F.when(late, F.array(F.col("_home"), F.col("_home") + 1)).otherwise(
-                    F.array(F.col("_home"))
-                )
-            ),
-        )
-        .withColumn("_own", F.col("_block") == F.col("_home"))
-        .drop("_home")
+    backwards = Window.partitionBy(*by, CHUNK).orderBy(*[F.desc(c) for c in order])
+    last = placed.select(*by, CHUNK, *order, value, F.row_number().over(backwards).alias("_at")).where(F.col("_at") <= rows)
+    # Falling "_at" is the order of the series; a struct keeps null values.
+    tails = F.sort_array(F.collect_list(F.struct((-F.col("_at")).alias("_at"), F.col(value).alias("v"))))
+    earlier = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(-rows, -1)
+    handed = (
+        last.groupBy(*by, CHUNK)
+        .agg(tails.alias("_tail"))
+        .select(*by, CHUNK, F.flatten(F.collect_list("_tail").over(earlier)).alias("_before"))
+    )
+    cut = F.slice("_before", F.greatest(F.lit(1), F.size("_before") - rows + 1), rows)
+    run_up = handed.where(F.size("_before") > 0).select(*by, CHUNK, cut.alias("_cut")).select(
+        *by, CHUNK, F.size("_cut").alias("_n"), F.posexplode("_cut").alias("_i", "_s")
     )
+    carried = run_up.select(*by, CHUNK, F.col("_s.v").alias(value), F.lit(False).alias("_own"), (F.col("_n") - F.col("_i")).alias("_at"))
+    own = placed.withColumns({"_own": F.lit(True), "_at": F.lit(None).cast("int")})
+    return own.unionByName(carried, allowMissingColumns=True)
 
 
 def value_ranks(df: DataFrame, by: list[str], value: str, sums: dict[str, Column]) -> DataFrame:

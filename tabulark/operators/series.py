@@ -13,8 +13,9 @@ from tabulark.operators.ordering import (
     neighbour,
     numbered,
     place,
+    placed_once,
     running_sums,
-    trailing_blocks,
+    with_run_up,
 )
 from tabulark.session import pin
 
@@ -33,26 +34,32 @@ def percent_change(df: DataFrame, by: list[str], order: list[str], price: str) -
     )
 
 
-def log_return(df: DataFrame, by: list[str], order: list[str], price: str) -> DataFrame:
+def log_return(df: DataFrame, by: list[str], order: list[str], price: str, chunks: bool = False) -> DataFrame:
+    """Log of ``price / previous``; null on the first row of a series and where a price is not positive.
+
+    With ``chunks`` the rows keep their chunk, and a later operator on the same
+    series and order works on them without placing them again.
+    """
     moved = with_previous(df, by, order, price)
     usable = (F.col(price) > 0) & (F.col("previous") > 0)
-    return moved.withColumn(
+    found = moved.withColumn(
         "log_return", F.when(usable, F.log(F.col(price) / F.col("previous")))
-    ).drop("previous", CHUNK)
+    ).drop("previous")
+    return found if chunks else found.drop(CHUNK)
 
 
-def rolling_volatility(
-    df: DataFrame, by: list[str], order: list[str], change: str, size: int = 20, block: int = 65_536
-) -> DataFrame:
+def rolling_volatility(df: DataFrame, by: list[str], order: list[str], change: str, size: int = 20) -> DataFrame:
     """Sample std of the last ``size`` changes times the root of the trading days.
 
-    Null until ``size`` non-null changes lie in the frame.
+    Null until ``size`` non-null changes lie in the frame. A chunk works on its
+    own rows and the ``size - 1`` changes before them.
     """
-    rows = numbered(df, by, order).drop("_n_total", CHUNK)
-    cut = trailing_blocks(rows, by, "_n", size, block)
-    frame = Window.partitionBy(*by, "_block").orderBy("_n").rowsBetween(1 - size, 0)
+    if size < 2:
+        raise ValueError("a deviation needs two changes")
+    rows = with_run_up(placed_once(df, by, order), by, order, change, size - 1)
+    frame = Window.partitionBy(*by, CHUNK).orderBy("_own", F.desc("_at"), *order).rowsBetween(1 - size, 0)
     return (
-        cut.select(
+        rows.select(
             "*",
             F.when(
                 F.count(change).over(frame) == size,
@@ -60,14 +67,14 @@ def rolling_volatility(
             ).alias("volatility"),
         )
         .where("_own")
-        .drop("_n", "_block", "_own")
+        .drop("_at", "_own", CHUNK)
     )
 
 
 def price_index(df: DataFrame, by: list[str], order: list[str], log_step: str) -> DataFrame:
     """``exp`` of the running sum of log steps; the first step counts as 0."""
     step = F.coalesce(F.col(log_step), F.lit(0.0))
-    summed = running_sums(place(df, by, order), by, order, {"_level": step})
+    summed = running_sums(placed_once(df, by, order), by, order, {"_level": step})
     return summed.withColumn("price_index", F.exp("_level")).drop("_level", "_level_total", CHUNK)
 
 

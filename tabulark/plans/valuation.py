@@ -39,7 +39,7 @@ def log_returns(spark, sf):
     FROM c WINDOW f AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""",
 )
 def rolling_volatility(spark, sf):
-    moved = series.log_return(prices(spark, sf), BY, ORDER, "value")
+    moved = series.log_return(prices(spark, sf), BY, ORDER, "value", chunks=True)
     rolled = series.rolling_volatility(moved, BY, ORDER, "log_return", 20)
     return rolled.select("event_id", F.round("volatility", 6).alias("volatility"))
 
@@ -50,7 +50,7 @@ def rolling_volatility(spark, sf):
     SELECT event_id, round(exp(sum(r) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)), 8) AS price_index FROM c""",
 )
 def cumulative_price_index(spark, sf):
-    moved = series.log_return(prices(spark, sf), BY, ORDER, "value").withColumn("log_return", F.col("log_return") / 100)
+    moved = series.log_return(prices(spark, sf), BY, ORDER, "value", chunks=True).withColumn("log_return", F.col("log_return") / 100)
     indexed = series.price_index(moved, BY, ORDER, "log_return")
     return indexed.select("event_id", F.round("price_index", 8).alias("price_index"))
 
@@ -91,7 +91,7 @@ def tail_holdout(spark, sf):
     SELECT event_id, round(ln(nullif(price, 0)) + slope * k, 6) AS trend FROM f LEFT JOIN h USING (user_id)""",
 )
 def drift_trend(spark, sf):
-    moved = series.log_return(prices(spark, sf), BY, ORDER, "value")
+    moved = series.log_return(prices(spark, sf), BY, ORDER, "value", chunks=True)
     held = series.tail_holdout(moved, BY, ORDER, 10)
     lined = series.drift_line(held, BY, "value", "log_return")
     return lined.select("event_id", F.round("trend", 6).alias("trend"))

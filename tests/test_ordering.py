@@ -56,12 +56,33 @@ def test_chunks_split_the_long_series(spark, frame):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-@pytest.mark.parametrize("block", [20, 33, 10_000])
-def test_rolling_frames_cross_blocks(table, frame, block):
-    got = by_key(series.rolling_volatility(table, ["user"], ["at"], "v", 20, block), "volatility")
-    want = frame.groupby("user")["v"].rolling(20).std().reset_index(drop=True) * np.sqrt(255)
-    assert len(got) == len(frame)
+@pytest.mark.parametrize("size", [2, 20, 90])
+def test_rolling_frames_cross_chunks(spark, table, frame, size):
+    # Without merged partitions sixteen chunks hold about forty rows each, so the longest frame spans several.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        holes = table.withColumn("w", F.when(F.col("at") % 97 != 0, F.col("v")))
+        got = by_key(series.rolling_volatility(holes, ["user"], ["at"], "w", size), "volatility")
+        again = ordering.place(holes, ["user"], ["at"])
+        kept = by_key(series.rolling_volatility(again, ["user"], ["at"], "w", size), "volatility")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    known = frame.assign(w=frame["v"].where(frame["at"] % 97 != 0))
+    want = known.groupby("user")["w"].rolling(size).std().reset_index(drop=True) * np.sqrt(255)
+    assert len(got) == len(frame) == len(kept)
     assert np.allclose(got["volatility"], want, equal_nan=True)
+    assert np.allclose(kept["volatility"], want, equal_nan=True)
+
+
+def test_one_placement_serves_returns_and_frames(spark, frame, monkeypatch):
+    placed = []
+    whole = ordering.place
+    monkeypatch.setattr(ordering, "place", lambda *a: placed.append(1) or whole(*a))
+    monkeypatch.setattr(series, "place", ordering.place)
+    moved = series.log_return(spark.createDataFrame(frame), ["user"], ["at"], "v", chunks=True)
+    for done in (series.rolling_volatility(moved, ["user"], ["at"], "log_return", 5), series.price_index(moved, ["user"], ["at"], "log_return")):
+        assert done.count() == len(frame) and ordering.CHUNK not in done.columns
+    assert len(placed) == 1
 
 
 def test_quantiles_match_numpy(table, frame):
