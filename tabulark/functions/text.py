@@ -21,7 +21,25 @@ SHORT_STOP_WORDS = (
     "me", "my", "no", "nor", "not", "of", "off", "on", "or", "our", "out", "own", "she", "so",
     "the", "to", "too", "up", "was", "we", "who", "why", "you",
 )
+# The English list that ships with Spark, in its order.
+ENGLISH_STOP_WORDS = (
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours", "yourself", "yourselves",
+    "he", "him", "his", "himself", "she", "her", "hers", "herself", "it", "its", "itself", "they", "them", "their",
+    "theirs", "themselves", "what", "which", "who", "whom", "this", "that", "these", "those", "am", "is", "are",
+    "was", "were", "be", "been", "being", "have", "has", "had", "having", "do", "does", "did", "doing", "a", "an",
+    "the", "and", "but", "if", "or", "because", "as", "until", "while", "of", "at", "by", "for", "with", "about",
+    "against", "between", "into", "through", "during", "before", "after", "above", "below", "to", "from", "up",
+    "down", "in", "out", "on", "off", "over", "under", "again", "further", "then", "once", "here", "there", "when",
+    "where", "why", "how", "all", "any", "both", "each", "few", "more", "most", "other", "some", "such", "no",
+    "nor", "not", "only", "own", "same", "so", "than", "too", "very", "s", "t", "can", "will", "just", "don",
+    "should", "now", "i'll", "you'll", "he'll", "she'll", "we'll", "they'll", "i'd", "you'd", "he'd", "she'd",
+    "we'd", "they'd", "i'm", "you're", "he's", "she's", "it's", "we're", "they're", "i've", "we've", "you've",
+    "they've", "isn't", "aren't", "wasn't", "weren't", "haven't", "hasn't", "hadn't", "don't", "doesn't", "didn't",
+    "won't", "wouldn't", "shan't", "shouldn't", "mustn't", "can't", "couldn't", "cannot", "could", "here's",
+    "how's", "let's", "ought", "that's", "there's", "what's", "when's", "where's", "who's", "why's", "would",
+)
 LETTER_RUN = r"(\p{L}+)"
+SPOKEN_RUN = r"([\p{L}']+)"
 WORD_RUN = r"([\p{L}\p{N}_]{2,})"
 
 
@@ -31,6 +49,11 @@ def letter_tokens(text: Column, shortest: int = 4, longest: int = 15) -> Column:
     return F.filter(runs, lambda t: F.length(t).between(shortest, longest))
 
 
+def spoken_tokens(text: Column) -> Column:
+    """Lower-case runs of letters and apostrophes, so that contractions stay whole."""
+    return F.regexp_extract_all(F.lower(text), F.lit(SPOKEN_RUN))
+
+
 def word_tokens(text: Column) -> Column:
     """Lower-case runs of two or more word characters."""
     return F.regexp_extract_all(F.lower(text), F.lit(WORD_RUN))

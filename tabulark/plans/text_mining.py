@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabulark.functions.text import (
+    ENGLISH_STOP_WORDS,
     SHORT_STOP_WORDS,
     STOP_WORDS,
     letter_tokens,
     plural_stem,
+    spoken_tokens,
     without,
     word_tokens,
 )
@@ -67,6 +69,24 @@ def stop_words_removed(spark, sf):
     return documents(spark, sf).select("doc_id", F.md5(F.array_join(kept, " ")).alias("tokens_md5"))
 
 
+SHIPPED_SQL = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS) + "]"
+SPOKEN_SQL = r"regexp_extract_all(lower(text), '([\p{L}'']+)', 1)"
+
+
+@query(
+    "T2",
+    f"""WITH k AS (SELECT doc_id, {SPOKEN_SQL} AS every, list_filter({SPOKEN_SQL}, lambda w: NOT list_contains({SHIPPED_SQL}, w)) AS kept FROM documents)
+    SELECT doc_id, len(every)::INTEGER AS tokens, len(kept)::INTEGER AS left_over, md5(array_to_string(kept, ' ')) AS tokens_md5 FROM k""",
+)
+def shipped_stop_words_removed(spark, sf):
+    """Words of any length, contractions whole, without Spark's own English list."""
+    every = spoken_tokens(F.col("text"))
+    rows = documents(spark, sf).select("doc_id", every.alias("every")).withColumn("kept", without(F.col("every"), ENGLISH_STOP_WORDS))
+    return rows.select(
+        "doc_id", F.size("every").alias("tokens"), F.size("kept").alias("left_over"), F.md5(F.array_join("kept", " ")).alias("tokens_md5")
+    )
+
+
 @query("T3", TOPIC_SQL + " SELECT term, count(*) AS n FROM tok GROUP BY term")
 def stemmed_counts(spark, sf):
     long = documents(spark, sf).select(F.explode(topic_tokens()).alias("term"))

@@ -156,3 +156,14 @@ def test_topics(spark, docs):
     assert len(best) == 4
     top = {(r["doc"]): max(x["share"] for x in shares.where(F.col("doc") == r["doc"]).collect()) for r in best}
     assert all(r["share"] == round(top[r["doc"]], 4) and len(r["keywords"].split(", ")) == 3 for r in best)
+
+
+def test_shipped_stop_words_are_those_of_spark(spark):
+    from pyspark.ml.feature import StopWordsRemover
+
+    from tabulark.functions import text as words
+
+    assert list(words.ENGLISH_STOP_WORDS) == StopWordsRemover.loadDefaultStopWords("english")
+    rows = spark.createDataFrame([(1, "I don't THINK, they've gone: the over-\nview"), (2, ""), (3, None)], "i int, t string")
+    kept = rows.select("i", words.without(words.spoken_tokens(F.col("t")), words.ENGLISH_STOP_WORDS).alias("k"))
+    assert {r["i"]: r["k"] for r in kept.collect()} == {1: ["think", "gone", "view"], 2: [], 3: None}
