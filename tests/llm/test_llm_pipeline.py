@@ -80,7 +80,7 @@ def test_stages(spark, tmp_path):
 
 def test_registered_names():
     numbers = [int(m[1]) for n in entry.queries() if (m := re.match(r"op(\d+)_", n))]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert "pipeline" in entry.queries() and corpus_pipeline.ORACLE_SQL is None
 
 
