@@ -28,8 +28,8 @@ SLOTS = 1 << 20
 HASHES = 2
 SAMPLE = 1_000
 MOST_LANGUAGES = 63
-#: Characters that are hashed at once.
-CHUNK = 1 << 19
+#: Characters that are hashed at once; the arrays made of them take some 80 bytes a character.
+CHUNK = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -200,13 +200,13 @@ def fit_filters(
     return Filters(languages, table, sizes, hashes)
 
 
-def scores(column: pa.Array, filters: Filters) -> tuple[list[str], np.ndarray]:
-    """Language and score of every text of ``column``."""
+def scores(column: pa.Array, filters: Filters) -> Iterator[tuple[int, list[str], np.ndarray]]:
+    """(first row, languages, scores) for runs of rows of bounded length that cover ``column`` in order."""
     n = len(filters.languages)
     wrong = np.minimum(filters.false_positives, 0.999) if n else np.zeros(0)
-    named: list[str] = []
-    found = np.zeros(len(column))
     for first, rows, points, owner in batches_of_text(column):
+        named: list[str] = []
+        found = np.zeros(rows)
         words, of = bare_words(points, owner)
         written = np.bincount(owner[letters()[points]], minlength=rows) > 0
         hits, grams = np.zeros((n, rows)), np.zeros(rows)
@@ -227,8 +227,19 @@ def scores(column: pa.Array, filters: Filters) -> tuple[list[str], np.ndarray]:
             true = np.clip((hits[:, r] - wrong * grams[r]) / (1 - wrong), 0, grams[r])
             best = int(true.argmax())
             named.append(filters.languages[best])
-            found[first + r] = true[best] / grams[r] if grams[r] else 0.0
-    return named, found
+            found[r] = true[best] / grams[r] if grams[r] else 0.0
+        yield first, named, found
+
+
+def named_rows(batch: pa.RecordBatch, judged: int, width: int, filters: Filters) -> Iterator[pa.RecordBatch]:
+    """The first ``width`` columns plus language and score of column ``judged``.
+
+    The rows leave in runs of bounded length, as slices of ``batch``: no copy of its texts is made.
+    """
+    names = [*batch.schema.names[:width], "lang_pred", "score"]
+    for first, named, found in scores(batch.column(judged), filters):
+        columns = batch.slice(first, len(named)).columns[:width]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(named, pa.string()), pa.array(found)], names=names)
 
 
 def identify(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:
@@ -237,6 +248,7 @@ def identify(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame
     The score is the share of the text's n-grams that the filter of the named
     language holds, corrected for its false positives. Ties go to the language
     that sorts first. The filters are broadcast; their size is fixed by ``slots``.
+    A text goes to the Python worker once, in the column that also comes back.
 
     Defined cases: a text that is null or holds no letter is ``und`` with score
     0, as is every text when no language was learned; a text without a known
@@ -248,14 +260,14 @@ def identify(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame
     schema = T.StructType(
         [*[docs.schema[c] for c in kept], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     )
+    inside = text in kept
+    judged, width = kept.index(text) if inside else len(kept), len(kept)
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            named, found = scores(batch.column(batch.num_columns - 1), shared.value)
-            columns = [*batch.columns[:-1], pa.array(named, pa.string()), pa.array(found)]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            yield from named_rows(batch, judged, width, shared.value)
 
-    return docs.select(*kept, F.col(text).alias("_judged")).mapInArrow(name, schema)
+    return docs.select(*kept, *([] if inside else [F.col(text).alias("_judged")])).mapInArrow(name, schema)
 
 
 def held_out(key: str) -> Column:

@@ -13,6 +13,7 @@ import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ from pyspark.sql import types as T
 
 WINDOW = 1024
 POOL = 16_384
+#: Pieces that leave a task at once, 4 MB of ids at the usual window.
+PIECES = 1024
 SEQUENCE_BITS = 36
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: The one added token of the ``tokenizers`` file, which the rank file does not hold.
@@ -194,43 +197,31 @@ def pack_documents(
         *[T.StructField(n, T.LongType()) for n in ("doc_tokens", "sequence_id", "offset")],
     ]
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         encode = byte_pair_encoder(vocabulary, added)
         packer = Packer(window, TaskContext.get().partitionId() << SEQUENCE_BITS)
         end = np.array([end_id], "<u4").tobytes()
-        kinds = None
-
-        def batch(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[f.name for f in fields]
-            )
-
         for part in batches:
-            kinds = [part.schema.field(0).type, pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 3]
-            out: list[tuple] = []
             for k, words in zip(part.column(0).to_pylist(), part.column(1)):
                 ids = np.array(encode(words.as_py() or ""), "<u4").tobytes() + end
                 total = len(ids) // 4
                 full = total - total % window
                 for start in range(0, full, window):
-                    out.append(packer.place((k, start, ids[start * 4 : (start + window) * 4], total), 0))
+                    yield packer.place((k, start, ids[start * 4 : (start + window) * 4], total), 0)
                     packer.sequence += 1
                 if full < total:
                     packer.add(k, full, ids[full * 4 :], total)
                 if packer.size >= pool:
-                    out.extend(packer.drain(pool // 2))
-                if len(out) >= 4096:
-                    yield batch(out)
-                    out = []
-            if out:
-                yield batch(out)
-        rest: list[tuple] = []
-        for row in packer.drain(0):
-            rest.append(row)
-            if len(rest) >= 4096:
-                yield batch(rest)
-                rest = []
-        if rest:
-            yield batch(rest)
+                    yield from packer.drain(pool // 2)
+        yield from packer.drain(0)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for first in batches:
+            kinds = [first.schema.field(0).type, pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 3]
+            found = pieces(chain([first], batches))
+            while rows := list(islice(found, PIECES)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[f.name for f in fields]
+                )
 
     return docs.select(key, text).mapInArrow(pack, T.StructType(fields))

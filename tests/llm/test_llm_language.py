@@ -72,6 +72,32 @@ def test_texts_do_not_run_into_each_other():
     assert (first, rows) == (0, 4) and doc.tolist() == [0, 3, 3]
 
 
+def test_rows_leave_in_bounded_runs():
+    slots = np.random.default_rng(3).integers(0, 4, 1 << 16).astype(np.uint64)
+    filters = L.Filters(("aa", "bb"), slots, L.SIZES, 2)
+    texts = [spoken(i, 8_000, A if i % 2 else B) for i in range(40)] + [None, "", "1 2", "ka" * 200_000, "to"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(45)), pa.array(texts), pa.array([7] * 45)], names=["doc_id", "text", "key"])
+    parts = list(L.named_rows(batch, 1, 3, filters))
+    assert len(parts) > 10
+    for part in parts:
+        *before, _ = [len(t or "") for t in part.column(1).to_pylist()]
+        assert sum(before) < L.CHUNK <= 1 << 17
+    whole = pa.Table.from_batches(parts)
+    assert whole.schema.names == ["doc_id", "text", "key", "lang_pred", "score"]
+    assert whole.select([0, 1, 2]).equals(pa.Table.from_batches([batch]))
+    alone = [L.scores(pa.array([t], pa.string()), filters) for t in texts]
+    assert whole.select([3, 4]).to_pylist() == [
+        {"lang_pred": named[0], "score": found[0]} for runs in alone for _, named, found in runs
+    ]
+
+
+def test_a_text_is_sent_once(spark):
+    docs = labelled(spark)
+    plan = L.identify(docs, L.fit_filters(docs))._jdf.queryExecution().analyzed()
+    sent = plan.children().apply(0).output()
+    assert sent.size() == len(docs.columns)
+
+
 def test_held_out_rule(spark):
     import zlib
 

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import awkward, documents, words
 from hypothesis import given, settings
@@ -13,6 +14,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from corpus_pipeline import packed
+from tabulark.llm import packing
 from tabulark.llm.packing import Packer, byte_pair_encoder, fullest, pack_documents
 from tabulark.llm.queries import op1_minimum_bin_slack
 
@@ -118,3 +120,19 @@ def test_pieces_are_the_documents(spark, slow):
 
 def test_empty_table(spark):
     assert pack_documents(documents(spark, [(1, "x")]).where("false")).count() == 0
+
+
+def test_pieces_leave_in_bounded_batches(spark, monkeypatch):
+    tasks = []
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.mapInArrow", lambda self, task, schema: tasks.append(task))
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 2})())
+    pack_documents(documents(spark, []))
+    (task,) = tasks
+    texts = [words(20, i) for i in range(3000)] + [words(400_000), None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3002)), pa.array(texts)], names=["doc_id", "text"])
+    parts = list(task(iter([batch])))
+    assert len(parts) > 3 and max(p.num_rows for p in parts) <= 1024
+    got = Counter()
+    for row in pa.Table.from_batches(parts).to_pylist():
+        got[row["doc_id"]] += row["length"]
+    assert got == {i: len(byte_pair_encoder()(t or "")) + 1 for i, t in enumerate(texts)}
