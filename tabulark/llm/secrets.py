@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +61,9 @@ ENCODINGS = (
 )
 #: Candidates are the maximal runs of each of these; ``=`` belongs to one only as padding behind it.
 TOKENS = (r"[A-Za-z0-9+/]{20,}={0,2}", r"[A-Za-z0-9_-]{20,}={0,2}", r"[A-Za-z0-9]{20,}={0,2}")
+#: What a text must hold for any match of a token or of a pattern without a group, and for one of the pattern with a group.
+RUN = r"[A-Za-z0-9+/_-]{20}"
+MARKS = (":", "=")
 #: Lower ends of the length bands that are controlled one by one.
 BANDS = (20, 28, 40, 64, 128)
 BINS = 200
@@ -67,51 +71,84 @@ SURE = 0.5
 LEAST_P = 1e-12
 
 
+def named(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, however often ``then`` uses it."""
+    return F.transform(F.array(value), then)[0]
+
+
 def running_totals(sizes: Column) -> Column:
-    """Sum of all earlier sizes for each element, by blocks: no step copies the whole array."""
+    """Sum of all earlier sizes for each element, by blocks: no step copies the whole array.
+
+    Sizes and block sums are named: inside a lambda they would be worked out again for every element.
+    """
     zero = F.lit(0).cast("long")
 
     def total(part: Column) -> Column:
         return F.aggregate(part, zero, lambda a, x: a + x)
 
-    width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(sizes).cast("double"))).cast("int"))
-    starts = F.sequence(F.lit(0), F.greatest(F.size(sizes) - 1, F.lit(0)), width)
-    blocks = F.transform(starts, lambda s: total(F.slice(sizes, s + 1, width)))
-    return F.flatten(
-        F.transform(
-            F.transform(starts, lambda s, k: F.struct(s.alias("s"), total(F.slice(blocks, 1, k)).alias("base"))),
-            lambda b: F.transform(
-                F.slice(sizes, b["s"] + 1, width), lambda _, k: b["base"] + total(F.slice(sizes, b["s"] + 1, k))
-            ),
-        )
-    )
+    def of(v: Column) -> Column:
+        width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(v).cast("double"))).cast("int"))
+        starts = F.sequence(F.lit(0), F.greatest(F.size(v) - 1, F.lit(0)), width)
+
+        def spread(blocks: Column) -> Column:
+            return F.flatten(
+                F.transform(
+                    F.transform(starts, lambda s, k: F.struct(s.alias("s"), total(F.slice(blocks, 1, k)).alias("base"))),
+                    lambda b: named(
+                        F.slice(v, b["s"] + 1, width), lambda own: F.transform(own, lambda _, k: b["base"] + total(F.slice(own, 1, k)))
+                    ),
+                )
+            )
+
+        return named(F.transform(starts, lambda s: total(F.slice(v, s + 1, width))), spread)
+
+    return named(sizes, of)
 
 
 def matches(text: Column, regex: str, group: int = 0) -> Column:
     """(start, end, part) of every leftmost non-overlapping match, in code points; ``part`` is the group.
 
-    The text between matches comes from a split at the same pattern.
+    The text between matches comes from a split at the same pattern. A text is
+    searched once if nothing matches and once for each of the three lists
+    otherwise, however many matches it holds.
     """
-    whole = F.regexp_extract_all(text, F.lit(regex), F.lit(0))
-    part = F.regexp_extract_all(text, F.lit(regex), F.lit(group)) if group else whole
-    gaps = F.transform(F.split(text, regex, -1), lambda g: F.length(g).cast("long"))
     kind = "array<struct<start:bigint,end:bigint,part:string>>"
-    steps = F.zip_with(gaps, whole, lambda g, m: g + F.coalesce(F.length(m), F.lit(0)))
-    before = running_totals(steps)
-    found = F.zip_with(
-        F.arrays_zip(before.alias("b"), F.slice(gaps, 1, F.size(whole)).alias("g"), whole.alias("m")),
-        part,
-        lambda x, p: F.struct(
-            (x["b"] + x["g"]).alias("start"), (x["b"] + x["g"] + F.length(x["m"])).alias("end"), p.alias("part")
-        ),
-    )
-    return F.when(F.size(whole) > 0, F.filter(found, lambda x: x["part"].isNotNull())).otherwise(F.array()).cast(kind)
 
+    def placed(whole: Column) -> Column:
+        part = F.regexp_extract_all(text, F.lit(regex), F.lit(group)) if group else whole
+        gaps = F.transform(F.split(text, regex, -1), lambda g: F.length(g).cast("long"))
+
+        def spans(gaps: Column) -> Column:
+            steps = F.zip_with(gaps, whole, lambda g, m: g + F.coalesce(F.length(m), F.lit(0)))
+            return F.zip_with(
+                F.arrays_zip(running_totals(steps).alias("b"), F.slice(gaps, 1, F.size(whole)).alias("g"), whole.alias("m")),
+                part,
+                lambda x, p: F.struct(
+                    (x["b"] + x["g"]).alias("start"), (x["b"] + x["g"] + F.length(x["m"])).alias("end"), p.alias("part")
+                ),
+            )
+
+        found = F.filter(named(gaps, spans), lambda x: x["part"].isNotNull())
+        return F.when(F.size(whole) > 0, found).otherwise(F.array()).cast(kind)
+
+    return named(F.regexp_extract_all(text, F.lit(regex), F.lit(0)), placed)
+
+
+def searched(text: Column) -> tuple[Column, Column]:
+    """``text`` where a run of :data:`RUN` stands, and where a pattern with a group matches; empty elsewhere.
+
+    One search tells that most texts hold neither, which spares them the many scans of :func:`matches`.
+    """
+    marked = reduce(lambda a, b: a | b, [F.contains(text, F.lit(m)) for m in MARKS])
+    named_value = reduce(lambda a, b: a | b, [text.rlike(p.regex) for p in PATTERNS if p.group])
+    return F.when(text.rlike(RUN), text).otherwise(""), F.when(marked & named_value, text).otherwise("")
 
-def base_spans(text: Column) -> Column:
-    """(start, order, end, kind) of all pattern matches, sorted."""
+
+def base_spans(text: Column, assigned: Column | None = None) -> Column:
+    """(start, order, end, kind) of all pattern matches, sorted; those with a group are looked for in ``assigned``."""
     def of(order: int, pattern: Pattern) -> Column:
-        long_enough = F.filter(matches(text, pattern.regex, pattern.group), lambda m: F.length(m["part"]) >= pattern.least)
+        where = text if assigned is None or not pattern.group else assigned
+        long_enough = F.filter(matches(where, pattern.regex, pattern.group), lambda m: F.length(m["part"]) >= pattern.least)
         return F.transform(
             long_enough,
             lambda m: F.struct(
@@ -122,11 +159,6 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[of(i, p) for i, p in enumerate(PATTERNS)]))
 
 
-def named(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then`` of a value that is worked out once, however often ``then`` uses it."""
-    return F.transform(F.array(value), then)[0]
-
-
 def _polynomial(x: Column, coefficients: tuple[float, ...]) -> Column:
     total = F.lit(coefficients[0])
     for c in coefficients[1:]:
@@ -265,7 +297,9 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", share
     characters, three tests judge uniformity of the alphabet, runs and serial
     correlation, and their combined p is held against the cut of its stratum,
     encoding by length band, so short tokens, for which the tests say little,
-    and long ones are controlled apart.
+    and long ones are controlled apart. Texts without a run of 20 characters
+    and without an assignment are told apart first (:func:`searched`); they
+    have no span.
 
     Offsets are code points, ends exclusive. Only spans and p values are kept
     between the two passes; texts are scanned once and never shuffled.
@@ -274,9 +308,11 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", share
     repeated keys pass through, row by row; other columns are ignored; with no
     token in a stratum there is nothing to cut; an empty table gives no rows.
     """
-    full = text_of(text)
-    tokens = F.array_distinct(F.concat(*[matches(full, t) for t in TOKENS]))
-    rows = docs.select(F.col(key).alias(key), base_spans(full).alias("_base"), tokens.alias("_tokens"))
+    runs_in, assigned_in = searched(text_of(text))
+    # Two columns of a projection of their own: each is used several times and worked out once.
+    found = docs.select(F.col(key).alias(key), runs_in.alias("_runs"), assigned_in.alias("_assigned"))
+    tokens = F.array_distinct(F.concat(*[matches(F.col("_runs"), t) for t in TOKENS]))
+    rows = found.select(key, base_spans(F.col("_runs"), F.col("_assigned")).alias("_base"), tokens.alias("_tokens"))
 
     def clear(token: Column) -> Column:
         return ~F.exists("_base", lambda b: (b["start"] < token["end"]) & (token["start"] < b["end"]))
@@ -311,11 +347,14 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", share
     else:
         taken = F.col("_tested")
     # What lies inside another one is not told twice.
-    outer = F.filter(
+    outer = named(
         taken,
-        lambda t: ~F.exists(
-            taken,
-            lambda o: (o["start"] <= t["start"]) & (t["end"] <= o["end"]) & (o["end"] - o["start"] > t["end"] - t["start"]),
+        lambda those: F.filter(
+            those,
+            lambda t: ~F.exists(
+                those,
+                lambda o: (o["start"] <= t["start"]) & (t["end"] <= o["end"]) & (o["end"] - o["start"] > t["end"] - t["start"]),
+            ),
         ),
     )
     added = F.transform(

@@ -26,6 +26,7 @@ def drawn(seed, alphabet, n):
     return "".join(random.Random(seed).choices(alphabet, k=n))
 
 
+RUN_20 = "[A-Za-z0-9+/_-]{20}"
 HEX, B64 = "0123456789abcdef", string.ascii_letters + string.digits + "+/"
 
 
@@ -168,3 +169,22 @@ def test_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     plan = S.find_secrets(documents(spark, [(1, "x")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_text_is_searched_as_often_for_many_matches_as_for_one(spark):
+    # What a lambda names as a whole expression is worked out again for every element.
+    for regex, group in ((S.TOKENS[0], 0), (S.PATTERNS[0].regex, S.PATTERNS[0].group)):
+        plan = spark.createDataFrame([("x",)], "t string").select(S.matches(F.col("t"), regex, group))._jdf.queryExecution().analyzed().toJSON()
+        assert plan.count("expressions.RegExpExtractAll\"") <= 3 and plan.count("expressions.StringSplit\"") <= 2
+    text = "".join(f"token: {drawn(i, HEX, 24)}{'é' * (i % 3)} " for i in range(3000))
+    got = spark.createDataFrame([(text,)], "t string").select(S.matches(F.col("t"), S.PATTERNS[2].regex)).first()[0]
+    assert [(m["start"], m["end"], m["part"]) for m in got] == [(*m.span(), m[0]) for m in re.finditer("[0-9a-f]{24,}", text)]
+
+
+def test_texts_are_searched_for_every_pattern_and_alphabet(spark):
+    held = ["AKIA" + "Z" * 16, "0123456789ab" * 2, "x " + "a-_" * 7, "b+/" * 7 + "==", "password = hunter22", "API_KEY:abcdef"]
+    bare = ["", "a : b = c", "AKIA" + "Z" * 15, "word " * 50, "password hunter22"]
+    rows = spark.createDataFrame([(t,) for t in held + bare], "t string")
+    for r in rows.select("t", *[c.alias(n) for n, c in zip(("runs", "assigned"), S.searched(F.col("t")), strict=True)]).collect():
+        full = [r["t"] if re.search(RUN_20, r["t"]) else "", r["t"] if ASSIGN.search(r["t"]) else ""]
+        assert [r["runs"], r["assigned"]] == full and any(full) == (r["t"] in held)
