@@ -7,11 +7,13 @@ from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import LDA, KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import (
+    Bucketizer,
     CountVectorizerModel,
     OneHotEncoder,
     StringIndexer,
@@ -20,7 +22,6 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,21 +33,144 @@ def assembled(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="features").transform(df)
 
 
+#: Bins that tree learners cut a number into, and rows from which they take the cuts at least.
+TREE_BINS, CUT_ROWS = 32, 10_000
+
+
+def learner_cuts(values: np.ndarray, bins: int = TREE_BINS) -> tuple[float, ...]:
+    """The cuts that Spark's tree learners take from these values: between all if they are few, else at even shares."""
+    found, counts = np.unique(values, return_counts=True)
+    middles = (found[:-1] + found[1:]) / 2
+    if len(found) <= bins:
+        return tuple(middles.tolist())
+    stride = len(values) / bins
+    wanted, reached, cuts = stride, counts[0], []
+    for i in range(1, len(found)):
+        before, reached = reached, reached + counts[i]
+        if abs(before - wanted) < abs(reached - wanted):
+            cuts.append(float(middles[i - 1]))
+            wanted += stride
+    return tuple(cuts)
+
+
+def with_bins(df: DataFrame, names: list[str], cuts: list[tuple[float, ...]], made: list[str]) -> DataFrame:
+    """Columns ``made``: how many of its cuts lie below the value of each of ``names``; NaN is an error."""
+    cut = [i for i, c in enumerate(cuts) if c]
+    out = df.withColumns({made[i]: F.col(names[i]) * 0.0 for i in range(len(names)) if not cuts[i]})
+    if not cut:
+        return out
+    # A value that equals a cut belongs below it, to Bucketizer's left.
+    edges = [[-math.inf, *np.nextafter(cuts[i], math.inf).tolist(), math.inf] for i in cut]
+    return Bucketizer(splitsArray=edges, inputCols=[names[i] for i in cut], outputCols=[made[i] for i in cut]).transform(out)
+
+
+@dataclass(frozen=True)
+class BinnedTrees:
+    """Boosted trees over the bins of the features, and the cuts of each feature."""
+
+    model: GBTRegressionModel
+    cuts: tuple[tuple[float, ...], ...]
+
+    def scored(self, df: DataFrame, name: str) -> DataFrame:
+        """``df``, which has the vector ``features``, with one more column."""
+        values, bins = ([f"_{kind}{k}" for k in range(len(self.cuts))] for kind in ("value", "bin"))
+        plain = df.withColumn("_values", vector_to_array("features"))
+        plain = plain.withColumns({v: F.col("_values")[k] for k, v in enumerate(values)})
+        ready = VectorAssembler(inputCols=bins, outputCol="_bins").transform(with_bins(plain, values, list(self.cuts), bins))
+        own = self.model.copy({self.model.featuresCol: "_bins", self.model.predictionCol: name})
+        return own.transform(ready).select(*df.columns, name)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.scored(df, "prediction")
+
+
+@dataclass(frozen=True)
+class Cells:
+    """Rows summed up by fold model, by whether the model may see them, and by the bins of their features.
+
+    A tree learner sees a row only as its bins, its weight and its label, and
+    the squared error takes equal bins together: their count and mean give the
+    trees that the rows give. So a fit goes over at most ``bins`` to the power of
+    the features cells, however many rows there are, and never over more cells than rows.
+    """
+
+    rows: DataFrame
+    cuts: tuple[tuple[tuple[float, ...], ...], ...]
+    sizes: dict[tuple[int, bool], int]
+
+    def of(self, i: int, held: bool) -> DataFrame:
+        bins = [f"_bin{k}" for k in range(len(self.cuts[i]))]
+        own = self.rows.where((F.col("_model") == i) & (F.col("_held") == held))
+        return VectorAssembler(inputCols=bins, outputCol="features").transform(own).select("features", "_n", "_mean", "_spread")
+
+    def fitted(self, i: int, rounds: int, depth: int) -> BinnedTrees:
+        """Boosted trees of the rows outside fold ``i``."""
+        # So many bins are allowed that the learner looks at every cell for its cuts, which are those between the bins.
+        bins = max(TREE_BINS, math.isqrt(self.sizes.get((i, False), 0)) + 1)
+        learner = GBTRegressor(labelCol="_mean", weightCol="_n", maxIter=rounds, maxDepth=depth, maxBins=bins, seed=42)
+        return BinnedTrees(learner.fit(self.of(i, False)), self.cuts[i])
+
+
+def cells_of_folds(df: DataFrame, features: list[str], target: str, fold: str, folds: int, counts: dict, held: bool = False) -> Cells:
+    """The :class:`Cells` of ``folds`` models in one pass over the rows; ``held`` adds those of each fold's own rows.
+
+    ``counts`` has the rows of each fold, and at None of all. Each model has
+    cuts of its own, taken as the learner takes them: from all its rows, or from
+    so many drawn ones as it draws. Rows are read three times in all and not written.
+    """
+    values = [f"_value{k}" for k in range(len(features))]
+    given = df.where(F.col(fold).isNotNull())
+    numbers = [F.col(f).cast("double").alias(v) for f, v in zip(features, values, strict=True)]
+    least = min([counts[None] - counts[i] for i in range(folds) if counts[None] > counts[i]], default=0)
+    share = max(TREE_BINS**2, CUT_ROWS) / max(least, 1)
+    drawn = given.select(F.col(fold).alias("_fold"), *numbers)
+    seen = (drawn.sample(share, seed=42) if share < 1 else drawn).toPandas()
+    cuts = tuple(tuple(learner_cuts(seen.loc[seen["_fold"] != i, v].dropna().to_numpy(float)) for v in values) for i in range(folds))
+    # Folds mostly have some cuts in common; each list is looked up once a row.
+    lists = list(dict.fromkeys((v, c) for own in cuts for v, c in zip(values, own, strict=True)))
+    names = {x: f"_cut{j}" for j, x in enumerate(lists)}
+    label = F.col(target).cast("double")
+    good = label.isNotNull() & ~F.isnan(label) & (F.abs(label) < math.inf)
+    checked = F.when(good, label).otherwise(F.raise_error(F.lit("labels must be numbers, neither null nor NaN nor infinite")))
+    binned = with_bins(
+        given.select(F.col(fold).alias("_fold"), checked.alias("_label"), *numbers), [v for v, _ in lists], [c for _, c in lists], list(names.values())
+    )
+
+    def cell(i: int):
+        own = F.struct(
+            F.lit(i).alias("_model"), (F.col("_fold") == i).alias("_held"),
+            *[F.col(names[v, c]).alias(f"_bin{k}") for k, (v, c) in enumerate(zip(values, cuts[i], strict=True))],
+        )
+        return own if held else F.when(F.col("_fold") != i, own)
+
+    each = binned.select("_label", F.explode(F.array(*[cell(i) for i in range(folds)])).alias("_c")).where(F.col("_c").isNotNull())
+    keys = ["_model", "_held", *[f"_bin{k}" for k in range(len(features))]]
+    summed = each.select("_label", *[F.col(f"_c.{k}").alias(k) for k in keys]).groupBy(*keys).agg(
+        F.count(F.lit(1)).cast("double").alias("_n"), F.avg("_label").alias("_mean"), F.var_pop("_label").alias("_spread")
+    )
+    rows = pin(summed)
+    sizes = {(r["_model"], r["_held"]): r["n"] for r in rows.groupBy("_model", "_held").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return Cells(rows, cuts, sizes)
+
+
+def fold_counts(df: DataFrame, fold: str, folds: int) -> dict:
+    """Rows of each fold, and at None of all rows that have one."""
+    found = df.agg(F.count(fold).alias("n"), *[F.count_if(F.col(fold) == i).alias(f"n{i}") for i in range(folds)]).first()
+    return {None: found["n"]} | {i: found[f"n{i}"] for i in range(folds)}
+
+
 def boosted_folds(
     df: DataFrame, features: list[str], target: str, fold: str, folds: int, rounds: int = 10, depth: int = 4
-) -> tuple[list[GBTRegressionModel], DataFrame]:
+) -> tuple[list[BinnedTrees], DataFrame]:
     """One boosted-tree model per fold and the predictions for the rows it did not see.
 
-    The assembled rows are written once; all folds read them, side by side.
+    The models are fitted side by side on :class:`Cells`; ``df`` is read again
+    for the scores and has to give the same rows each time.
     """
-    ready = pin(assembled(df, features))
-
-    def job(i: int):
-        own = ready.where(F.col(fold) != i).select("features", target)
-        return lambda: GBTRegressor(labelCol=target, maxIter=rounds, maxDepth=depth, seed=42).fit(own)
-
-    models = _fitted_in_parallel([job(i) for i in range(folds)], folds)
-    scored = [m.transform(ready.where(F.col(fold) == i)) for i, m in enumerate(models)]
+    cells = cells_of_folds(df, features, target, fold, folds, fold_counts(df, fold, folds))
+    models = _fitted_in_parallel([lambda i=i: cells.fitted(i, rounds, depth) for i in range(folds)], folds)
+    ready = assembled(df, features)
+    scored = [m.scored(ready.where(F.col(fold) == i), "prediction") for i, m in enumerate(models)]
     return models, reduce(lambda a, b: a.unionByName(b), scored).drop("features")
 
 
@@ -250,11 +374,11 @@ def fold_curves(spark, models: dict[int, Boosted]) -> DataFrame:
     return spark.createDataFrame(rows, "fold int, part string, iteration int, mse double")
 
 
-def mean_of_models(models: list, df: DataFrame, features: list[str], key: list[str]) -> DataFrame:
+def mean_of_models(models: list[BinnedTrees], df: DataFrame, features: list[str], key: list[str]) -> DataFrame:
     """Mean prediction of the fold models; each model adds one column, so nothing is shuffled."""
     ready = assembled(df, features)
     for i, model in enumerate(models):
-        ready = model.copy({model.predictionCol: f"_p{i}"}).transform(ready)
+        ready = model.scored(ready, f"_p{i}")
     mean = reduce(lambda a, b: a + b, [F.col(f"_p{i}") for i in range(len(models))])
     return ready.select(*key, (mean / len(models)).alias("prediction"))
 
@@ -387,18 +511,33 @@ def boosted_grid(
     df: DataFrame, features: list[str], target: str, fold: str, folds: int,
     depths: list[int], rounds: list[int], parallelism: int = 4,
 ) -> DataFrame:
-    """Grid search over given folds: parameters, mean RMSE and rank of every point."""
-    learner = GBTRegressor(labelCol=target, seed=42)
-    grid = ParamGridBuilder().addGrid(learner.maxDepth, depths).addGrid(learner.maxIter, rounds).build()
-    search = CrossValidator(
-        estimator=learner, estimatorParamMaps=grid, numFolds=folds, foldCol=fold,
-        evaluator=RegressionEvaluator(labelCol=target), parallelism=parallelism, seed=42,
-    )
-    found = search.fit(assembled(df, features))
-    rows = [
-        (int(g[learner.maxDepth]), int(g[learner.maxIter]), float(m), float(s))
-        for g, m, s in zip(grid, found.avgMetrics, found.stdMetrics, strict=True)
-    ]
+    """Grid search over given folds: parameters, mean RMSE and rank of every point.
+
+    Every point is fitted and judged on :class:`Cells`; the error of a cell is
+    that of its mean and the spread of its rows.
+    """
+    counts = fold_counts(df, fold, folds)
+    if df.count() != sum(counts[i] for i in range(folds)):
+        raise ValueError(f"folds have to be numbers from 0 to {folds - 1}")
+    for i in range(folds):
+        if not 0 < counts[i] < counts[None]:
+            raise ValueError(f"the training or the validation data of fold {i} is empty")
+    cells = cells_of_folds(df, features, target, fold, folds, counts, held=True)
+
+    def job(depth: int, n: int, i: int):
+        def error() -> float:
+            judged = cells.fitted(i, n, depth).model.transform(cells.of(i, True))
+            squares = F.col("_n") * ((F.col("_mean") - F.col("prediction")) ** 2 + F.col("_spread"))
+            return float(judged.agg(F.sqrt(F.sum(squares) / F.sum("_n"))).first()[0])
+
+        return error
+
+    points = [(d, n) for d in depths for n in rounds]
+    errors = iter(_fitted_in_parallel([job(d, n, i) for d, n in points for i in range(folds)], parallelism))
+    rows = []
+    for d, n in points:
+        own = [next(errors) for _ in range(folds)]
+        rows.append((d, n, float(np.mean(own)), float(np.std(own))))
     return df.sparkSession.createDataFrame(rows, "max_depth int, rounds int, rmse double, std double")
 
 

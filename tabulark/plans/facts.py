@@ -31,7 +31,8 @@ def _scored_once(scored, truth, key):
         count(DISTINCT fold) AS folds FROM line WHERE NOT is_test""",
 )
 def boosted_out_of_fold_facts(spark, sf):
-    scored = pin(modelling.boosted_out_of_fold(spark, sf))
+    # The models are fitted by now; the folds are counted without their scores.
+    scored = modelling.boosted_out_of_fold(spark, sf)
     truth = line_items(spark, sf).select("row_id", F.col("price").alias("truth"))
     folds = scored.agg(F.countDistinct("fold").alias("folds"))
     return _scored_once(scored.select("row_id", "prediction"), truth, "row_id").crossJoin(folds)

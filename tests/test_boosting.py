@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from tabulark.operators import learn
@@ -86,3 +87,51 @@ def test_searched_classifiers_lose_less_with_deeper_trees(table):
     spoiled = rows.withColumn("a", F.when(F.col("id") > 20, F.col("a"))).withColumn("fold", F.when(F.col("id") > 30, F.col("fold")))
     assert 0 <= learn.searched_classifiers(spoiled, ["a", "b"], "label", "fold", 3, points[:1])[0] <= 1
     assert math.isnan(learn.searched_classifiers(rows.limit(0), ["a", "b"], "label", "fold", 3, points[:1])[0])
+
+
+def test_fold_models_on_cells_are_those_of_the_rows(spark):
+    """Features of few and of many values, rows that repeat, a fold that no model holds out."""
+    rng = np.random.default_rng(8)
+    n = 900
+    a, b = rng.integers(0, 9, n), rng.random(n)
+    y = 3.0 * (a > 4) + 2.0 * (b > 0.3) * (a > 2) + 0.3 * rng.standard_normal(n)
+    rows = [(i, float(p), float(q), float(t), i % 4) for i, (p, q, t) in enumerate(zip(a, b, y, strict=True))]
+    df = spark.createDataFrame([*rows, *rows[:300]], "id int, a double, b double, y double, fold int")
+    models, scored = learn.boosted_folds(df, ["a", "b"], "y", "fold", 3, rounds=6, depth=3)
+    mine = {r["id"]: r["prediction"] for r in scored.collect()}
+    assert scored.count() == df.where("fold < 3").count() and scored.columns == [*df.columns, "prediction"]
+    for i, model in enumerate(models):
+        ready = learn.assembled(df, ["a", "b"])
+        plain = GBTRegressor(labelCol="y", maxIter=6, maxDepth=3, seed=42).fit(ready.where(f"fold <> {i}"))
+        want = {r["id"]: r["prediction"] for r in plain.transform(ready.where(f"fold = {i}")).collect()}
+        assert model.model.getNumTrees == 6 and all(mine[k] == pytest.approx(v, abs=1e-9) for k, v in want.items())
+
+
+def test_a_fit_goes_over_cells_and_not_over_rows(spark):
+    df = spark.range(20_000).select(
+        (F.rand(1) * 100).alias("a"), F.floor(F.rand(2) * 5).alias("b"), F.rand(3).alias("y"), F.pmod("id", F.lit(2)).cast("int").alias("fold")
+    )
+    cells = learn.cells_of_folds(df, ["a", "b"], "y", "fold", 2, learn.fold_counts(df, "fold", 2), held=True)
+    assert set(cells.sizes) == {(i, h) for i in range(2) for h in (True, False)}
+    assert max(cells.sizes.values()) <= (learn.TREE_BINS + 1) * 5
+    totals = {(r["_model"], r["_held"]): r["n"] for r in cells.rows.groupBy("_model", "_held").agg(F.sum("_n").alias("n")).collect()}
+    assert set(totals.values()) == {10_000.0}
+
+
+def test_grid_on_cells_has_the_errors_of_the_rows(table):
+    found = {(r["max_depth"], r["rounds"]): r for r in learn.boosted_grid(table, ["a", "b"], "y", "fold", 3, [1, 3], [2, 5]).collect()}
+    ready = learn.assembled(table, ["a", "b"])
+    for (depth, rounds), r in found.items():
+        errors = []
+        for i in range(3):
+            model = GBTRegressor(labelCol="y", maxIter=rounds, maxDepth=depth, seed=42).fit(ready.where(f"fold <> {i}"))
+            errors.append(error(model.transform(ready.where(f"fold = {i}")), "prediction"))
+        assert r["rmse"] == pytest.approx(np.mean(errors)) and r["std"] == pytest.approx(np.std(errors))
+
+
+def test_spoiled_rows_are_errors(table):
+    for spoiled in (table.withColumn("y", F.lit(None).cast("double")), table.withColumn("a", F.when(F.col("id") > 5, F.col("a")))):
+        with pytest.raises(Exception, match="null|invalid|numbers"):
+            learn.boosted_folds(spoiled, ["a", "b"], "y", "fold", 3, rounds=2)[1].collect()
+    with pytest.raises(ValueError, match="from 0 to 1"):
+        learn.boosted_grid(table, ["a", "b"], "y", "fold", 2, [1], [1])
